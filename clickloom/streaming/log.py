@@ -1,0 +1,89 @@
+"""Result tables of a stream, kept as the log of their batches."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clickloom.operators.upsert import merge_log
+
+INSERT = "insert"
+BATCH = "batch"
+
+
+class BatchLog:
+    """A keyed table written by ``foreachBatch``.
+
+    Each batch writes what it changes to a folder of its own, so a batch costs its own
+    size and not the table's. A retried batch overwrites that folder and so counts once.
+    The table's state merges the folders by ``mode``. Every ``fold_every`` batches their
+    folders are merged into one, which bounds the number of folders a reader opens.
+    """
+
+    def __init__(
+        self,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        mode: str,
+        value: str = "clickCount",
+        fold_every: int = 100,
+    ) -> None:
+        self.path = path
+        self.schema = schema
+        self.keys = list(keys)
+        self.mode = mode
+        self.value = value
+        self.fold_every = fold_every
+        self._stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Record the rows batch ``batch_id`` changes."""
+        self._write(df.select(*self.schema.names), "delta", batch_id)
+        if (batch_id + 1) % self.fold_every == 0:
+            first = batch_id + 1 - self.fold_every
+            deltas = self._read(df.sparkSession, "delta", range(first, batch_id + 1))
+            self._write(self._merge(deltas), "fold", batch_id)
+
+    def rows(self, spark: SparkSession, upto: int) -> DataFrame:
+        """The log through batch ``upto``, each row with its batch."""
+        folds = range(self.fold_every - 1, upto + 1, self.fold_every)
+        folded = len(folds) * self.fold_every
+        deltas = self._read(spark, "delta", range(folded, upto + 1))
+        return self._read(spark, "fold", folds).unionByName(deltas) if folds else deltas
+
+    def state(self, spark: SparkSession, upto: int, dates: tuple[str, str] | None = None) -> DataFrame:
+        """The table after batch ``upto``; with ``dates`` only of that (inclusive) range,
+        of which alone the folders are read."""
+        rows = self.rows(spark, upto)
+        if dates is not None:
+            rows = rows.where(F.col("date").between(*dates))
+        return self._merge(rows)
+
+    def latest(self, spark: SparkSession) -> DataFrame:
+        """The table after the last batch, for readers outside the stream."""
+        return self._merge(spark.read.schema(self._stored).parquet(f"{self.path}/delta"))
+
+    def _merge(self, rows: DataFrame) -> DataFrame:
+        if self.mode == INSERT:
+            return rows.select(*self.keys).distinct()
+        merged = merge_log(rows, self.keys, self.mode, self.value, BATCH)
+        return merged.select(*self.schema.names)
+
+    def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
+        writer = df
+        if "date" in self.schema.names:
+            writer = df.hint("rebalance", F.col("date")).write.partitionBy("date")
+        else:
+            writer = df.hint("rebalance").write
+        writer.mode("overwrite").parquet(f"{self.path}/{kind}/{BATCH}={batch_id}")
+
+    def _read(self, spark: SparkSession, kind: str, batches: Sequence[int]) -> DataFrame:
+        if not batches:
+            return spark.createDataFrame([], self._stored)
+        base = f"{self.path}/{kind}"
+        paths = [f"{base}/{BATCH}={b}" for b in batches]
+        return spark.read.schema(self._stored).option("basePath", base).parquet(*paths)
