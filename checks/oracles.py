@@ -231,6 +231,14 @@ SELECT start_s, start_s + {Q.WINDOW[0]} AS end_s, adid, count(*) AS "clickCount"
       CAST(floor(epoch(ts)) AS BIGINT) // {Q.WINDOW[1]} * {Q.WINDOW[1]}, {Q.WINDOW[1]})) AS start_s
   FROM ad) GROUP BY 1, 3"""
 
+def _recent(minutes: int) -> str:
+    return f"""SELECT strftime(m, '%Y-%m-%d') AS date, strftime(m, '%H') AS hour,
+      strftime(m, '%M') AS minute, adid, count(*) AS "clickCount"
+    FROM (SELECT date_trunc('minute', ts) AS m, adid FROM ad)
+    WHERE m > (SELECT date_trunc('minute', max(ts)) FROM ad) - INTERVAL {minutes} MINUTE
+    GROUP BY ALL"""
+
+
 _HALVES = f"""
 h1 AS (SELECT userid, adid, count(*) AS "clickCount" FROM ad WHERE date < '{Q.SPLIT}' GROUP BY 1, 2),
 h2 AS (SELECT userid, adid, count(*) AS "clickCount" FROM ad WHERE date >= '{Q.SPLIT}' GROUP BY 1, 2)"""
@@ -438,13 +446,8 @@ ORACLES: dict[str, str] = {
         'SELECT date, province, adid, count(*) AS "clickCount" FROM ad GROUP BY ALL'
     ),
     "ad_top3_by_province_only": _with(_top3("ad", "province", "province")),
-    "ad_trend_recent": _with(
-        """SELECT strftime(m, '%Y-%m-%d') AS date, strftime(m, '%H') AS hour,
-          strftime(m, '%M') AS minute, adid, count(*) AS "clickCount"
-        FROM (SELECT date_trunc('minute', ts) AS m, adid FROM ad)
-        WHERE m > (SELECT date_trunc('minute', max(ts)) FROM ad) - INTERVAL 60 MINUTE
-        GROUP BY ALL"""
-    ),
+    "ad_trend_recent": _with(_recent(60)),
+    "ad_stored_trend_recent": _with(_recent(1440)),
     "ad_sliding_window": _with(_SLIDING),
     "ad_stat": _with(_stat("ad")),
     "ad_province_top3": _with(_top3("ad", "province", "date, province")),

@@ -168,7 +168,9 @@ def hour_quota(spark, sf):
 
 @query
 def session_sample(spark, sf):
-    return session_jobs.random_sample(_sessions(spark, sf), TASK, SAMPLE, SEED)
+    return session_jobs.random_sample(
+        D.actions(spark, sf), _sessions(spark, sf), TASK, SAMPLE, SEED
+    )
 
 
 @query
@@ -507,7 +509,12 @@ def ad_top3_by_province_only(spark, sf):
 
 @query
 def ad_trend_recent(spark, sf):
-    return ads.recent(ads.minute_counts(D.ad_clicks(spark, sf)), 60)
+    return ads.minute_counts(ads.last_minutes(D.ad_clicks(spark, sf), 60))
+
+
+@query
+def ad_stored_trend_recent(spark, sf):
+    return ads.recent(ads.minute_counts(D.ad_clicks(spark, sf)), 1440)
 
 
 @query

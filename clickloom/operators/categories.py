@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import predicates as P
 from clickloom.functions.text import id_list
-from clickloom.operators.skew import top_per_group
+from clickloom.operators.skew import broadcast_up_to, top_per_group
 
 KINDS = ("click", "order", "pay")
 
@@ -112,8 +112,12 @@ def session_category_counts(actions: DataFrame) -> DataFrame:
 
 
 def keep_sessions(counts: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Session-category counts of the given sessions."""
-    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+    """Session-category counts of the given sessions (one row each).
+
+    An inner join stays above the counting; Catalyst would move a semi-join below it, onto
+    the single actions of a hot session.
+    """
+    return counts.join(sessions.select("session_id"), "session_id")
 
 
 def sum_categories(counts: DataFrame) -> DataFrame:
@@ -136,13 +140,10 @@ def category_rows(top: DataFrame, task_id: str) -> DataFrame:
     )
 
 
-def in_categories(actions: DataFrame, categories: DataFrame) -> DataFrame:
-    """Clicks on the given categories (a top-n list, hence broadcast)."""
-    return actions.join(
-        F.broadcast(categories.select(F.col("categoryid").alias("click_category_id"))),
-        "click_category_id",
-        "left_semi",
-    )
+def in_categories(actions: DataFrame, categories: DataFrame, n: int = 10) -> DataFrame:
+    """Clicks on the given ``n`` categories."""
+    ids = categories.select(F.col("categoryid").alias("click_category_id"))
+    return actions.join(broadcast_up_to(ids, n), "click_category_id", "left_semi")
 
 
 def category_session_clicks(actions: DataFrame) -> DataFrame:
@@ -155,10 +156,9 @@ def category_session_clicks(actions: DataFrame) -> DataFrame:
 
 
 def top_sessions(clicks: DataFrame, categories: DataFrame, n: int = 10) -> DataFrame:
-    """For each of the given top categories the ``n`` sessions that click it most."""
-    wanted = clicks.where(F.col("clickCount") > 0).join(
-        F.broadcast(categories.select("categoryid")), "categoryid"
-    )
+    """For each of the ``n`` given categories the ``n`` sessions that click it most."""
+    ids = broadcast_up_to(categories.select("categoryid"), n)
+    wanted = clicks.where(F.col("clickCount") > 0).join(ids, "categoryid")
     return top_per_group(
         wanted, ["categoryid"], [F.desc("clickCount"), F.asc("session_id")], n
     ).select("categoryid", "session_id", "clickCount")
@@ -173,10 +173,12 @@ def top_session_rows(top: DataFrame, task_id: str) -> DataFrame:
     )
 
 
-def top_session_actions(actions: DataFrame, top: DataFrame, distinct: bool = False) -> DataFrame:
+def top_session_actions(
+    actions: DataFrame, top: DataFrame, n: int = 10, distinct: bool = False
+) -> DataFrame:
     """Actions of the top sessions: once per category that lists the session, or once
-    with ``distinct``. The list has n x n rows at most and is broadcast."""
-    ids = top.select("session_id")
+    with ``distinct``. ``top`` has ``n`` sessions for each of ``n`` categories."""
+    ids = broadcast_up_to(top.select("session_id"), n * n)
     if distinct:
-        return actions.join(F.broadcast(ids), "session_id", "left_semi")
-    return actions.join(F.broadcast(ids), "session_id").select(*actions.columns)
+        return actions.join(ids, "session_id", "left_semi")
+    return actions.join(ids, "session_id").select(*actions.columns)

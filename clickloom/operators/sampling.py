@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import DATE, format_time
-from clickloom.operators.skew import top_per_group
+from clickloom.operators.sessions import aggregate_sessions
+from clickloom.operators.skew import broadcast_up_to, top_per_group
 
 
 def with_hour(sessions: DataFrame) -> DataFrame:
@@ -36,14 +37,14 @@ def hour_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
 
 
 def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "42") -> DataFrame:
-    """Draw each hour's quota in the order of ``md5(session_id || seed)``.
+    """``(session_id, start_time, date, hour)``: each hour's quota, in the order of ``md5(session_id || seed)``.
 
     No hour's quota exceeds ``total``, so that many rows per hour and task are all that
     is shuffled, however many sessions an hour has.
     """
-    draw = F.md5(F.concat(F.col("session_id"), F.lit(seed)))
+    starts = with_hour(sessions.select("session_id", "start_time"))
     drawn = top_per_group(
-        with_hour(sessions).withColumn("_draw", draw),
+        starts.withColumn("_draw", F.md5(F.concat(F.col("session_id"), F.lit(seed)))),
         ["date", "hour"],
         [F.col("_draw"), F.col("session_id")],
         total,
@@ -53,22 +54,24 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "42") ->
     return (
         drawn.join(quota, ["date", "hour"])
         .where(F.col("_rn") <= F.col("quota"))
-        .drop("_rn", "_draw", "quota")
+        .select("session_id", "start_time", "date", "hour")
     )
 
 
-def extract_rows(sample: DataFrame, task_id: str) -> DataFrame:
-    """The sampled sessions as result rows."""
-    return sample.select(
+def sample_actions(actions: DataFrame, sample: DataFrame, total: int = 100) -> DataFrame:
+    """Actions of the sampled sessions. The quotas add up to ``total`` at most, so the ids
+    are broadcast unless that is large."""
+    ids = broadcast_up_to(sample.select("session_id"), total)
+    return actions.join(ids, "session_id", "left_semi")
+
+
+def extract_rows(sampled: DataFrame, task_id: str) -> DataFrame:
+    """Result rows of the sessions aggregated from ``sample_actions``: keywords and
+    categories are gathered for sampled sessions alone."""
+    return aggregate_sessions(sampled).select(
         F.lit(task_id).alias("taskid"),
         F.col("session_id").alias("sessionid"),
         format_time("start_time").alias("startTime"),
         F.col("search_keywords").alias("searchKeywords"),
         F.col("click_category_ids").alias("clickCategoryIds"),
     )
-
-
-def sample_actions(actions: DataFrame, sample: DataFrame) -> DataFrame:
-    """Actions of the sampled sessions. Quotas add up to at most the sample's total, so
-    their ids are few enough to broadcast."""
-    return actions.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi")

@@ -116,11 +116,12 @@ def filtered_histogram(sessions: DataFrame, users: DataFrame, params: TaskParams
     """``session_histogram(filter_sessions(...))``, counted per user before the join.
 
     A user's sessions meet in one row on the map side, so a user with a third of all
-    sessions joins as cheaply as any other.
+    sessions joins as cheaply as any other. The join is an inner one because Catalyst moves a
+    semi-join below the aggregate, back onto the single sessions.
     """
     names = ["session_count"] + [name for name, *_ in BUCKETS]
     per_user = sessions.where(session_filter()).groupBy("user_id").agg(*_bucket_counts())
-    kept = per_user.join(users.where(user_filter(params)).select("user_id"), "user_id", "left_semi")
+    kept = per_user.join(users.where(user_filter(params)).select("user_id"), "user_id")
     return kept.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 

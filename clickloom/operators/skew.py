@@ -14,11 +14,22 @@ PARTS = 512
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
 
+# Most rows a relation may be promised to have and be broadcast unseen.
+BROADCAST_ROWS = 100_000
+
 _SALT = "_salt"
 _SALTS = "_salts"
 
 
-def heavy_keys(df: DataFrame, key: str, weight: Column | None = None, parts: int = PARTS) -> DataFrame:
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast ``df``, which has at most ``rows`` rows by construction, if that is few;
+    else leave the choice to Spark, which goes by measured size."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def heavy_keys(
+    df: DataFrame, key: str, weight: Column | None = None, parts: int = PARTS
+) -> DataFrame:
     """``(key, _salts)`` of the keys that hold more than ``1/parts`` of the rows (or of
     ``weight``), with the number of pieces to cut each into.
 
@@ -50,11 +61,8 @@ def salted_join(
     """
     heavy = F.broadcast(heavy)
     piece = F.pmod(F.xxhash64(*spread), F.col(_SALTS)).cast("int")
-    salted = (
-        many.join(heavy, key, "left")
-        .withColumn(_SALT, F.coalesce(piece, F.lit(0)))
-        .drop(_SALTS)
-    )
+    salt = F.when(F.col(_SALTS).isNotNull(), piece).otherwise(0)
+    salted = many.join(heavy, key, "left").withColumn(_SALT, salt).drop(_SALTS)
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
     repeated = one.join(heavy, key, "left").withColumn(_SALT, copies).drop(_SALTS)
     return salted.join(repeated, [key, _SALT], how).drop(_SALT)

@@ -41,15 +41,18 @@ def ratio_statistics(inputs: SessionInputs, task_id: str) -> DataFrame:
     return sessions.session_ratios(counts, task_id)
 
 
-def random_sample(filtered: DataFrame, task_id: str, total: int = 100, seed: str = "42") -> DataFrame:
-    return sampling.extract_rows(sampling.sample_sessions(filtered, total, seed), task_id)
+def random_sample(
+    actions: DataFrame, filtered: DataFrame, task_id: str, total: int = 100, seed: str = "42"
+) -> DataFrame:
+    sample = sampling.sample_sessions(filtered, total, seed)
+    return sampling.extract_rows(sampling.sample_actions(actions, sample, total), task_id)
 
 
 def sample_detail(
     actions: DataFrame, filtered: DataFrame, task_id: str, total: int = 100, seed: str = "42"
 ) -> DataFrame:
     sample = sampling.sample_sessions(filtered, total, seed)
-    return sessions.session_detail(sampling.sample_actions(actions, sample), task_id)
+    return sessions.session_detail(sampling.sample_actions(actions, sample, total), task_id)
 
 
 def top_categories(actions: DataFrame, filtered: DataFrame, n: int = 10) -> DataFrame:
@@ -70,11 +73,12 @@ def run_session_jobs(
 ) -> Mapping[str, DataFrame]:
     """All four results, each given to ``sink(table, rows)``.
 
-    Sessions, and the counts of filtered sessions, are written once; every result starts
-    from those tables.
+    The filtered sessions (without their lists, which only sampled ones need) and their
+    category counts are written once; every result starts from those tables.
     """
     actions = inputs.scan()
-    all_sessions = materialize(inputs.sessions(), "sessions")
+    lists = ("search_keywords", "click_category_ids")
+    all_sessions = materialize(inputs.sessions().drop(*lists), "sessions")
     filtered = materialize(
         sessions.filter_sessions(all_sessions, inputs.users, inputs.params), "filtered"
     )
@@ -85,13 +89,13 @@ def run_session_jobs(
     top = materialize(categories.top_categories(categories.sum_categories(counts)), "top")
     best = materialize(categories.top_sessions(counts, top), "best")
 
-    histogram = sessions.session_histogram(filtered)
-    sample_actions = sampling.sample_actions(actions, sample)
+    sampled = sampling.sample_actions(actions, sample, total)
     best_actions = categories.top_session_actions(actions, best)
+    histogram = sessions.session_histogram(filtered)
     results = {
         "session_aggr_stat": sessions.session_ratios(histogram, task_id),
-        "session_random_extract": sampling.extract_rows(sample, task_id),
-        "session_detail": sessions.session_detail(sample_actions, task_id),
+        "session_random_extract": sampling.extract_rows(sampled, task_id),
+        "session_detail": sessions.session_detail(sampled, task_id),
         "top10_category": categories.category_rows(top, task_id),
         "top10_session": categories.top_session_rows(best, task_id),
         "top10_session_detail": sessions.session_detail(best_actions, task_id),

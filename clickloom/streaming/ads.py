@@ -47,7 +47,7 @@ class BlacklistLoop:
         threshold: int = THRESHOLD,
         top_n: int = 3,
         top_partition: Sequence[str] = tuple(ads.PROVINCE_KEYS),
-        fold_every: int = 100,
+        fold_every: int = 32,
     ) -> None:
         def log(name, schema, keys, mode):
             return BatchLog(f"{folder}/{name}", schema, keys, mode, fold_every=fold_every)
@@ -94,7 +94,7 @@ class StatsSink:
     """Stores the running counts a batch changed (update mode) and the top ads of the
     dates and provinces they belong to."""
 
-    def __init__(self, folder: str, top_n: int = 3, fold_every: int = 100) -> None:
+    def __init__(self, folder: str, top_n: int = 3, fold_every: int = 32) -> None:
         self.top_n = top_n
         self.stats = BatchLog(
             f"{folder}/ad_stat", schemas.AD_STAT, ads.STAT_KEYS, OVERWRITE, fold_every=fold_every
@@ -127,7 +127,7 @@ def running_panes(clicks: DataFrame, seconds: int, late: str) -> DataFrame:
 class TrendSink:
     """Stores per-minute counts (update mode, panes of 60 seconds)."""
 
-    def __init__(self, folder: str, fold_every: int = 100) -> None:
+    def __init__(self, folder: str, fold_every: int = 32) -> None:
         self.trend = BatchLog(
             f"{folder}/ad_click_trend",
             schemas.AD_CLICK_TREND,
@@ -143,7 +143,7 @@ class TrendSink:
 class PaneSink:
     """Stores pane counts (update mode), from which sliding windows are read."""
 
-    def __init__(self, folder: str, fold_every: int = 100) -> None:
+    def __init__(self, folder: str, fold_every: int = 32) -> None:
         self.panes = BatchLog(
             f"{folder}/ad_panes",
             schemas.AD_PANES,

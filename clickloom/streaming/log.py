@@ -19,8 +19,11 @@ class BatchLog:
 
     Each batch writes what it changes to a folder of its own, so a batch costs its own
     size and not the table's. A retried batch overwrites that folder and so counts once.
-    The table's state merges the folders by ``mode``. Every ``fold_every`` batches their
-    folders are merged into one, which bounds the number of folders a reader opens.
+    The table's state merges the folders by ``mode``.
+
+    Every ``fold_every`` batches their folders are merged into one, every ``fold_every`` of
+    those into one again, and so on: a state is read from a number of folders that grows
+    with the logarithm of the number of batches.
     """
 
     def __init__(
@@ -30,7 +33,7 @@ class BatchLog:
         keys: Sequence[str],
         mode: str,
         value: str = "clickCount",
-        fold_every: int = 100,
+        fold_every: int = 32,
     ) -> None:
         self.path = path
         self.schema = schema
@@ -42,30 +45,53 @@ class BatchLog:
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Record the rows batch ``batch_id`` changes."""
-        self._write(df.select(*self.schema.names), "delta", batch_id)
-        if (batch_id + 1) % self.fold_every == 0:
-            first = batch_id + 1 - self.fold_every
-            deltas = self._read(df.sparkSession, "delta", range(first, batch_id + 1))
-            self._write(self._merge(deltas), "fold", batch_id)
-
-    def rows(self, spark: SparkSession, upto: int) -> DataFrame:
-        """The log through batch ``upto``, each row with its batch."""
-        folds = range(self.fold_every - 1, upto + 1, self.fold_every)
-        folded = len(folds) * self.fold_every
-        deltas = self._read(spark, "delta", range(folded, upto + 1))
-        return self._read(spark, "fold", folds).unionByName(deltas) if folds else deltas
-
-    def state(self, spark: SparkSession, upto: int, dates: tuple[str, str] | None = None) -> DataFrame:
-        """The table after batch ``upto``; with ``dates`` only of that (inclusive) range,
-        of which alone the folders are read."""
-        rows = self.rows(spark, upto)
+        self._write(df.select(*self.schema.names), 0, batch_id)
+        level, size = 1, self.fold_every
+        while (batch_id + 1) % size == 0:
+            step = size // self.fold_every
+            parts = range(batch_id + 1 - size + step - 1, batch_id + 1, step)
+            merged = self._merge(self._read(df.sparkSession, level - 1, parts))
+            self._write(merged, level, batch_id)
+            level, size = level + 1, size * self.fold_every
+
+    def state(
+        self, spark: SparkSession, upto: int, dates: tuple[str, str] | None = None
+    ) -> DataFrame:
+        """The table after batch ``upto``; with ``dates`` only that (inclusive) range,
+        which the scans are pruned to."""
+        rows = None
+        for level, ends in self._folders(upto):
+            part = self._read(spark, level, ends)
+            rows = part if rows is None else rows.unionByName(part)
+        if rows is None:
+            return self._empty(spark)
         if dates is not None:
             rows = rows.where(F.col("date").between(*dates))
         return self._merge(rows)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """The table after the last batch, for readers outside the stream."""
-        return self._merge(spark.read.schema(self._stored).parquet(f"{self.path}/delta"))
+        written = spark.read.schema(self._stored).parquet(f"{self.path}/level0")
+        newest = written.agg(F.max(BATCH)).first()[0]
+        return self.state(spark, -1 if newest is None else newest)
+
+    def _folders(self, upto: int) -> list[tuple[int, list[int]]]:
+        """Levels and last batches of the fewest folders that hold batches 0 to ``upto``."""
+        level = 0
+        while self.fold_every ** (level + 1) <= upto + 1:
+            level += 1
+        found, done = [], 0
+        for lv in range(level, -1, -1):
+            size = self.fold_every**lv
+            ends = list(range(done + size - 1, upto + 1, size))
+            if ends:
+                found.append((lv, ends))
+                done = ends[-1] + 1
+        return found
+
+    def _empty(self, spark: SparkSession) -> DataFrame:
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        return spark.range(1).select(*nulls).where(F.lit(False))
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         if self.mode == INSERT:
@@ -73,17 +99,14 @@ class BatchLog:
         merged = merge_log(rows, self.keys, self.mode, self.value, BATCH)
         return merged.select(*self.schema.names)
 
-    def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
-        writer = df
-        if "date" in self.schema.names:
+    def _write(self, df: DataFrame, level: int, batch_id: int) -> None:
+        if level and "date" in self.schema.names:
             writer = df.hint("rebalance", F.col("date")).write.partitionBy("date")
         else:
             writer = df.hint("rebalance").write
-        writer.mode("overwrite").parquet(f"{self.path}/{kind}/{BATCH}={batch_id}")
+        writer.mode("overwrite").parquet(f"{self.path}/level{level}/{BATCH}={batch_id}")
 
-    def _read(self, spark: SparkSession, kind: str, batches: Sequence[int]) -> DataFrame:
-        if not batches:
-            return spark.createDataFrame([], self._stored)
-        base = f"{self.path}/{kind}"
+    def _read(self, spark: SparkSession, level: int, batches: Sequence[int]) -> DataFrame:
+        base = f"{self.path}/level{level}"
         paths = [f"{base}/{BATCH}={b}" for b in batches]
         return spark.read.schema(self._stored).option("basePath", base).parquet(*paths)
