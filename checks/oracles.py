@@ -148,8 +148,9 @@ cs AS (SELECT categoryid, session_id, count(*) AS "clickCount" FROM cc
 best AS (SELECT * FROM cs QUALIFY row_number() OVER (
   PARTITION BY categoryid ORDER BY "clickCount" DESC, session_id) <= 10)"""
 
-_QUOTA = f"""
-sh AS (SELECT *, strftime(start_at, '%Y-%m-%d') AS date, strftime(start_at, '%H') AS hour FROM ses),
+def _quota(source: str) -> str:
+    return f"""
+sh AS (SELECT *, strftime(start_at, '%Y-%m-%d') AS date, strftime(start_at, '%H') AS hour FROM {source}),
 hc AS (SELECT date, hour, count(*) AS hour_count FROM sh GROUP BY 1, 2),
 hq AS (
   SELECT date, hour, hour_count, day_quota, day_count,
@@ -287,15 +288,15 @@ ORACLES: dict[str, str] = {
     "filtered_actions": _with(
         f"SELECT {_DETAIL} FROM act a WHERE session_id IN (SELECT session_id FROM fs)", _filtered()
     ),
-    "hour_quota": _with("SELECT * FROM hq", _QUOTA),
+    "hour_quota": _with("SELECT * FROM hq", _quota("ses")),
     "session_sample": _with(
         f"""SELECT '{Q.TASK}' AS taskid, session_id AS sessionid,
           strftime(start_at, '%Y-%m-%d %H:%M:%S') AS "startTime",
           search_keywords AS "searchKeywords", click_category_ids AS "clickCategoryIds" FROM sam""",
-        _QUOTA,
+        _quota("su"),
     ),
     "session_sample_detail": _with(
-        f"SELECT {_DETAIL} FROM act a WHERE session_id IN (SELECT session_id FROM sam)", _QUOTA
+        f"SELECT {_DETAIL} FROM act a WHERE session_id IN (SELECT session_id FROM sam)", _quota("su")
     ),
     "category_click_count": _with(
         'SELECT categoryid, count(*) AS "clickCount" FROM cc GROUP BY 1', _category_ctes("act")

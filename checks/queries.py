@@ -17,8 +17,8 @@ from clickloom.functions.sql import register_sql_functions
 from clickloom.operators import ads, categories, funnel, regions, sampling, sessions, upsert
 from clickloom.params import TaskParams
 from clickloom.plans.funnel_job import page_conversion as page_conversion_job
-from clickloom.plans import session_jobs
 from clickloom.plans.region_job import area_top_products
+from clickloom.plans.session_jobs import SessionRun, ratio_statistics
 from clickloom.shared import shared_folder
 from clickloom.sources import ad_log, tables
 from clickloom.sources import driver_tables as D
@@ -51,7 +51,7 @@ SEED = "42"
 THRESHOLD = 2
 SPLIT = "2024-01-16"
 # First day after each batch of the replayed stream; the last batch is open.
-BATCH_ENDS = ("2024-01-08", "2024-01-15", "2024-01-22")
+BATCH_ENDS = ("2024-01-11", "2024-01-21")
 WINDOW = (3600, 600)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,8 +67,8 @@ def _sessions(spark: SparkSession, sf: str, params: TaskParams = TaskParams()) -
     return sessions.aggregate_sessions(D.actions(spark, sf, params), params)
 
 
-def _filtered(spark: SparkSession, sf: str, params: TaskParams = FILTER) -> DataFrame:
-    return sessions.filter_sessions(_sessions(spark, sf, params), D.users(spark, sf), params)
+def _run(spark: SparkSession, sf: str, params: TaskParams = FILTER) -> SessionRun:
+    return SessionRun(D.actions(spark, sf, params), D.users(spark, sf), params, SAMPLE, SEED)
 
 
 # --- scans ---------------------------------------------------------------------------
@@ -121,7 +121,8 @@ def session_user_join(spark, sf):
 
 @query
 def session_filter(spark, sf):
-    return sessions.format_sessions(_filtered(spark, sf, ALL_SIX))
+    found = _sessions(spark, sf, ALL_SIX)
+    return sessions.format_sessions(sessions.filter_sessions(found, D.users(spark, sf), ALL_SIX))
 
 
 @query
@@ -148,14 +149,12 @@ def session_histogram(spark, sf):
 
 @query
 def session_ratio_stat(spark, sf):
-    inputs = session_jobs.SessionInputs(D.actions(spark, sf), D.users(spark, sf), FILTER)
-    return session_jobs.ratio_statistics(inputs, TASK)
+    return ratio_statistics(D.actions(spark, sf), D.users(spark, sf), FILTER, TASK)
 
 
 @query
 def filtered_actions(spark, sf):
-    found = sessions.session_actions(D.actions(spark, sf), _filtered(spark, sf))
-    return sessions.session_detail(found, TASK)
+    return sessions.session_detail(_run(spark, sf).filtered_actions(), TASK)
 
 
 # --- sample --------------------------------------------------------------------------
@@ -168,16 +167,12 @@ def hour_quota(spark, sf):
 
 @query
 def session_sample(spark, sf):
-    return session_jobs.random_sample(
-        D.actions(spark, sf), _sessions(spark, sf), TASK, SAMPLE, SEED
-    )
+    return _run(spark, sf, TaskParams()).random_extract(TASK)
 
 
 @query
 def session_sample_detail(spark, sf):
-    return session_jobs.sample_detail(
-        D.actions(spark, sf), _sessions(spark, sf), TASK, SAMPLE, SEED
-    )
+    return _run(spark, sf, TaskParams()).random_detail(TASK)
 
 
 # --- categories ----------------------------------------------------------------------
@@ -220,8 +215,7 @@ def category_counts(spark, sf):
 
 @query
 def top10_category(spark, sf):
-    top = session_jobs.top_categories(D.actions(spark, sf), _filtered(spark, sf))
-    return categories.category_rows(top, TASK)
+    return _run(spark, sf).category_rows(TASK)
 
 
 @query
@@ -239,15 +233,12 @@ def clicks_in_top_categories(spark, sf):
 
 @query
 def top10_session(spark, sf):
-    top = session_jobs.top_sessions(D.actions(spark, sf), _filtered(spark, sf))
-    return categories.top_session_rows(top, TASK)
+    return _run(spark, sf).top_session_rows(TASK)
 
 
 @query
 def top10_session_detail(spark, sf):
-    actions = D.actions(spark, sf)
-    top = session_jobs.top_sessions(actions, _filtered(spark, sf))
-    return sessions.session_detail(categories.top_session_actions(actions, top), TASK)
+    return _run(spark, sf).top_session_detail(TASK)
 
 
 # --- funnel --------------------------------------------------------------------------
@@ -570,10 +561,10 @@ def ad_sliding_stream(spark, sf):
 
 
 def _run_loop(spark, sf) -> BlacklistLoop:
-    """Feed the click log to the blacklist loop in four pieces, stopping and restarting the
+    """Feed the click log to the blacklist loop in three pieces, stopping and restarting the
     query in between."""
     folder = shared_folder(spark, "ad-loop")
-    loop = BlacklistLoop(f"{folder}/tables", THRESHOLD, fold_every=3)
+    loop = BlacklistLoop(f"{folder}/tables", THRESHOLD)
     clicks = ads.with_date(_no_spaces(D.ad_clicks(spark, sf)))
     bounds = [None, *BATCH_ENDS, None]
     for start, end in zip(bounds, bounds[1:]):

@@ -142,11 +142,11 @@ def session_actions(
 ) -> DataFrame:
     """The actions of the given sessions.
 
-    ``sessions`` needs its ``step_length``, which tells the heavy sessions without another
-    pass over the actions.
+    ``heavy`` are the heavy sessions among the actions, given or not: where all sessions
+    have been aggregated already, ``heavy_keys`` of their step lengths saves a pass.
     """
     if heavy is None:
-        heavy = heavy_keys(sessions, "session_id", F.col("step_length"))
+        heavy = heavy_keys(actions, "session_id")
     spread = [c for c in actions.columns if c != "session_id"]
     return salted_join(
         actions, sessions.select("session_id"), "session_id", "left_semi", heavy, spread

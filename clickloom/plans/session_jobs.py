@@ -2,104 +2,126 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickloom.operators import categories, sampling, sessions
+from clickloom.operators.skew import heavy_keys
 from clickloom.params import TaskParams
 from clickloom.shared import materialize
 from clickloom.sources.tables import in_date_range
 
 Sink = Callable[[str, DataFrame], None]
 
+LISTS = ("search_keywords", "click_category_ids")
 
-@dataclass(frozen=True)
-class SessionInputs:
-    """What all results of a run start from."""
 
-    actions: DataFrame
-    users: DataFrame
-    params: TaskParams
-
-    def scan(self) -> DataFrame:
-        return in_date_range(self.actions, self.params)
-
-    def sessions(self) -> DataFrame:
-        """All sessions, with their filter matches."""
-        return sessions.aggregate_sessions(self.scan(), self.params)
-
-    def filtered(self) -> DataFrame:
-        """The sessions the filters keep."""
-        return sessions.filter_sessions(self.sessions(), self.users, self.params)
-
-
-def ratio_statistics(inputs: SessionInputs, task_id: str) -> DataFrame:
-    """Shares of visit and step lengths among the filtered sessions."""
-    counts = sessions.filtered_histogram(inputs.sessions(), inputs.users, inputs.params)
-    return sessions.session_ratios(counts, task_id)
-
-
-def random_sample(
-    actions: DataFrame, filtered: DataFrame, task_id: str, total: int = 100, seed: str = "42"
+def ratio_statistics(
+    actions: DataFrame, users: DataFrame, params: TaskParams, task_id: str
 ) -> DataFrame:
-    sample = sampling.sample_sessions(filtered, total, seed)
-    return sampling.extract_rows(sampling.sample_actions(actions, sample, total), task_id)
+    """Shares of visit and step lengths among the filtered sessions, when nothing else is
+    asked: one plan that stores nothing."""
+    found = sessions.aggregate_sessions(in_date_range(actions, params), params)
+    return sessions.session_ratios(sessions.filtered_histogram(found, users, params), task_id)
 
 
-def sample_detail(
-    actions: DataFrame, filtered: DataFrame, task_id: str, total: int = 100, seed: str = "42"
-) -> DataFrame:
-    sample = sampling.sample_sessions(filtered, total, seed)
-    return sessions.session_detail(sampling.sample_actions(actions, sample, total), task_id)
-
-
-def top_categories(actions: DataFrame, filtered: DataFrame, n: int = 10) -> DataFrame:
-    """Top categories of the filtered sessions."""
-    counts = categories.keep_sessions(categories.session_category_counts(actions), filtered)
-    return categories.top_categories(categories.sum_categories(counts), n)
-
-
-def top_sessions(actions: DataFrame, filtered: DataFrame, n: int = 10) -> DataFrame:
-    """Top sessions of each top category."""
-    counts = categories.keep_sessions(categories.session_category_counts(actions), filtered)
-    top = categories.top_categories(categories.sum_categories(counts), n)
-    return categories.top_sessions(counts, top, n)
+class SessionRun:
+    """The results of one run, and the relations several of them start from.
 
+    Each shared relation is worked out and written to shared storage when first asked for;
+    the actions are then scanned once for it however many results (or parts of one result)
+    use it.
+    """
 
-def run_session_jobs(
-    inputs: SessionInputs, task_id: str, sink: Sink, total: int = 100, seed: str = "42"
-) -> Mapping[str, DataFrame]:
-    """All four results, each given to ``sink(table, rows)``.
+    def __init__(
+        self,
+        actions: DataFrame,
+        users: DataFrame,
+        params: TaskParams = TaskParams(),
+        total: int = 100,
+        seed: str = "42",
+    ) -> None:
+        self.actions = in_date_range(actions, params)
+        self.users = users
+        self.params = params
+        self.total = total
+        self.seed = seed
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        """All sessions, without the lists that only sampled ones need."""
+        found = sessions.aggregate_sessions(self.actions, self.params).drop(*LISTS)
+        return materialize(found, "sessions")
 
-    The filtered sessions (without their lists, which only sampled ones need) and their
-    category counts are written once; every result starts from those tables.
-    """
-    actions = inputs.scan()
-    lists = ("search_keywords", "click_category_ids")
-    all_sessions = materialize(inputs.sessions().drop(*lists), "sessions")
-    filtered = materialize(
-        sessions.filter_sessions(all_sessions, inputs.users, inputs.params), "filtered"
-    )
-    counts = materialize(
-        categories.keep_sessions(categories.session_category_counts(actions), filtered), "counts"
-    )
-    sample = materialize(sampling.sample_sessions(filtered, total, seed), "sample")
-    top = materialize(categories.top_categories(categories.sum_categories(counts)), "top")
-    best = materialize(categories.top_sessions(counts, top), "best")
-
-    sampled = sampling.sample_actions(actions, sample, total)
-    best_actions = categories.top_session_actions(actions, best)
-    histogram = sessions.session_histogram(filtered)
-    results = {
-        "session_aggr_stat": sessions.session_ratios(histogram, task_id),
-        "session_random_extract": sampling.extract_rows(sampled, task_id),
-        "session_detail": sessions.session_detail(sampled, task_id),
-        "top10_category": categories.category_rows(top, task_id),
-        "top10_session": categories.top_session_rows(best, task_id),
-        "top10_session_detail": sessions.session_detail(best_actions, task_id),
-    }
-    for table, rows in results.items():
-        sink(table, rows)
-    return results
+    @cached_property
+    def filtered(self) -> DataFrame:
+        """The sessions the filters keep."""
+        kept = sessions.filter_sessions(self.sessions, self.users, self.params)
+        return materialize(kept, "filtered")
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Clicks, orders and payments per filtered session and category."""
+        found = categories.session_category_counts(self.actions)
+        return materialize(categories.keep_sessions(found, self.filtered), "counts")
+
+    @cached_property
+    def top_categories(self) -> DataFrame:
+        found = categories.top_categories(categories.sum_categories(self.counts))
+        return materialize(found, "categories")
+
+    @cached_property
+    def top_sessions(self) -> DataFrame:
+        found = categories.top_sessions(self.counts, self.top_categories)
+        return materialize(found, "top-sessions")
+
+    @cached_property
+    def sample(self) -> DataFrame:
+        found = sampling.sample_sessions(self.filtered, self.total, self.seed)
+        return materialize(found, "sample")
+
+    def filtered_actions(self) -> DataFrame:
+        """All actions of the filtered sessions."""
+        heavy = heavy_keys(self.sessions, "session_id", F.col("step_length"))
+        return sessions.session_actions(self.actions, self.filtered, heavy)
+
+    def sampled_actions(self) -> DataFrame:
+        return sampling.sample_actions(self.actions, self.sample, self.total)
+
+    def ratios(self, task_id: str) -> DataFrame:
+        return sessions.session_ratios(sessions.session_histogram(self.filtered), task_id)
+
+    def random_extract(self, task_id: str) -> DataFrame:
+        return sampling.extract_rows(self.sampled_actions(), task_id)
+
+    def random_detail(self, task_id: str) -> DataFrame:
+        return sessions.session_detail(self.sampled_actions(), task_id)
+
+    def category_rows(self, task_id: str) -> DataFrame:
+        return categories.category_rows(self.top_categories, task_id)
+
+    def top_session_rows(self, task_id: str) -> DataFrame:
+        return categories.top_session_rows(self.top_sessions, task_id)
+
+    def top_session_detail(self, task_id: str) -> DataFrame:
+        found = categories.top_session_actions(self.actions, self.top_sessions)
+        return sessions.session_detail(found, task_id)
+
+    def tables(self, task_id: str) -> dict[str, DataFrame]:
+        """All results, by result table."""
+        return {
+            "session_aggr_stat": self.ratios(task_id),
+            "session_random_extract": self.random_extract(task_id),
+            "session_detail": self.random_detail(task_id),
+            "top10_category": self.category_rows(task_id),
+            "top10_session": self.top_session_rows(task_id),
+            "top10_session_detail": self.top_session_detail(task_id),
+        }
+
+    def run(self, task_id: str, sink: Sink) -> None:
+        """Give every result to ``sink(table, rows)``."""
+        for table, rows in self.tables(task_id).items():
+            sink(table, rows)

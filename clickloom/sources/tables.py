@@ -36,8 +36,8 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
 
 
 def city_info(spark: SparkSession) -> DataFrame:
-    """The built-in city dimension."""
-    return spark.createDataFrame(CITIES, schemas.CITY)
+    """The built-in city dimension; its ten rows are always broadcast."""
+    return F.broadcast(spark.createDataFrame(CITIES, schemas.CITY))
 
 
 def in_date_range(actions: DataFrame, params: TaskParams) -> DataFrame:

@@ -141,11 +141,10 @@ click = st.tuples(
 @given(st.lists(st.lists(click, min_size=1, max_size=8), min_size=1, max_size=4))
 def test_replay_equals_the_loop(spark, batches):
     kept, listed = loop(list(enumerate(batches)), 3)
-    data = [(b, i, c) for b, batch in enumerate(batches) for i, c in enumerate(batch)]
-    clicks = None
-    for b, i, c in data:
-        row = clicks_of(spark, [c]).withColumn("batch", F.lit(b)).withColumn("id", F.lit(i))
-        clicks = row if clicks is None else clicks.unionByName(row)
+    data = [(b, i, *c) for b, batch in enumerate(batches) for i, c in enumerate(batch)]
+    clicks = spark.createDataFrame(
+        data, "batch int, id int, time string, userid bigint, adid bigint"
+    ).withColumn("ts", F.col("time").cast("timestamp"))
     assert dict(rows(ads.listing_batches(clicks, 3))) == listed
     got = ads.replay_blacklist(clicks, 3, ["id"]).select(
         "batch", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "userid", "adid"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import sampling, sessions
 from clickloom.params import TaskParams
-from clickloom.plans.session_jobs import SessionInputs, ratio_statistics, run_session_jobs
+from clickloom.plans.session_jobs import SessionRun, ratio_statistics
 from tests.conftest import rows
 
 START = datetime.datetime(2024, 1, 1, 9, 5, 3)
@@ -48,10 +48,9 @@ def test_buckets_at_their_bounds(spark):
 
 
 def test_ratios_of_no_sessions_are_zero(make_actions, make_users):
-    inputs = SessionInputs(
-        make_actions({}), make_users({"user_id": 1, "age": 30}), TaskParams(start_age=40, end_age=50)
-    )
-    got = ratio_statistics(inputs, "t").first().asDict()
+    params = TaskParams(start_age=40, end_age=50)
+    users = make_users({"user_id": 1, "age": 30})
+    got = ratio_statistics(make_actions({}), users, params, "t").first().asDict()
     assert got.pop("taskid") == "t"
     assert set(got.values()) == {0}
 
@@ -169,8 +168,11 @@ def test_run_writes_all_results(spark, make_actions, make_users):
     )
     users = make_users(*[{"user_id": i, "age": 30} for i in range(5)])
     written = {}
-    inputs = SessionInputs(actions, users, TaskParams(end_date="2024-01-31"))
-    run_session_jobs(inputs, "t", lambda table, df: written.update({table: rows(df)}))
+    params = TaskParams(end_date="2024-01-31")
+    run = SessionRun(actions, users, params)
+    run.run("t", lambda table, df: written.update({table: rows(df)}))
+    assert written["session_aggr_stat"] == rows(ratio_statistics(actions, users, params, "t"))
+    assert run.filtered_actions().count() == 200
     assert written["session_aggr_stat"][0][:2] == ("t", 20)
     assert len(written["session_random_extract"]) == 20
     assert len(written["session_detail"]) == 200
