@@ -119,11 +119,16 @@ def sum_categories(counts: DataFrame) -> DataFrame:
     )
 
 
-def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` categories with most clicks, then orders, then payments."""
+def order_categories(counts: DataFrame) -> DataFrame:
+    """By falling clicks, then orders, then payments; equal ones by id."""
     return counts.orderBy(
         F.desc("clickCount"), F.desc("orderCount"), F.desc("payCount"), F.asc("categoryid")
-    ).limit(n)
+    )
+
+
+def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` categories in that order."""
+    return order_categories(counts).limit(n)
 
 
 def category_rows(top: DataFrame, task_id: str) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from clickloom.functions.text import round_half_up
 from clickloom.functions.times import parse_time
 
-# Sessions are cut at multiples of this many seconds.
-BLOCK_SECONDS = 3600
+# Sessions are cut at multiples of this many seconds. An ordinary session has a few such
+# blocks; one that lasts for the whole table has 4,320 a month, sorted apart.
+BLOCK_SECONDS = 600
 
 
 def _pair(first: Column, second: Column) -> Column:

@@ -2,7 +2,8 @@
 
 Dates and times are strings at the edges (``yyyy-MM-dd`` and
 ``yyyy-MM-dd HH:mm:ss``), as in the stored tables; operators parse them to
-``timestamp_ntz`` so that no result depends on the session time zone.
+``timestamp_ntz``. Seconds between times, and the dates of ad clicks, go by
+``spark.sql.session.timeZone``; pin it to UTC for results that do not depend on the place.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.schemas import AD_CLICK
+# Numbers of up to 18 digits always fit a bigint; fields after the fifth are ignored.
+LINE = r"^-?\d{1,18} [^ ]+ [^ ]+ -?\d{1,18} -?\d{1,18}( .*)?$"
 
 
 def kafka_lines(
@@ -33,16 +34,16 @@ def file_lines(spark: SparkSession, folder: str, max_files: int | None = None) -
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Lines to columns; a line that does not parse is dropped."""
-    part = F.split("value", " ")
-    typed = lines.select(
-        F.timestamp_millis(F.get(part, F.lit(0)).try_cast("bigint")).alias("ts"),
-        F.get(part, F.lit(1)).alias("province"),
-        F.get(part, F.lit(2)).alias("city"),
-        F.get(part, F.lit(3)).try_cast("bigint").alias("userid"),
-        F.get(part, F.lit(4)).try_cast("bigint").alias("adid"),
+    """Lines to columns; a line that is not of the form is dropped. The test is one pattern
+    on the whole line, so each line is matched once and split once."""
+    fields = lines.where(F.col("value").rlike(LINE)).select(F.split("value", " ").alias("field"))
+    return fields.select(
+        F.timestamp_millis(F.col("field")[0].cast("bigint")).alias("ts"),
+        F.col("field")[1].alias("province"),
+        F.col("field")[2].alias("city"),
+        F.col("field")[3].cast("bigint").alias("userid"),
+        F.col("field")[4].cast("bigint").alias("adid"),
     )
-    return typed.dropna(subset=AD_CLICK.names)
 
 
 def format_lines(clicks: DataFrame) -> DataFrame:

@@ -27,13 +27,13 @@ def clicks_of(spark, data):
 def test_lines(spark):
     good = "1538928000123 p1 c2 3 4"
     lines = spark.createDataFrame(
-        [(good,), ("x p c 3 4",), ("1538928000123 p c 3",), ("",), ("1 p c u 4",)], "value string"
+        [(good,), (f"{good} more",), ("x p c 3 4",), ("9" * 19 + " p c 3 4",), ("1538928000123 p c 3",), ("",), ("1 p c u 4",)], "value string"
     )
     parsed = parse_lines(lines)
     assert rows(parsed.select(F.unix_millis("ts"), "province", "city", "userid", "adid")) == [
         (1538928000123, "p1", "c2", 3, 4)
-    ]
-    assert rows(format_lines(parsed)) == [(good,)]
+    ] * 2
+    assert rows(format_lines(parsed)) == [(good,)] * 2
 
 
 def test_kafka_needs_its_connector(spark):

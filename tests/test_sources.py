@@ -1,9 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom.params import TaskParams
 from clickloom.shared import shared_folder
 from clickloom.sources import tables
-from clickloom.sources.sinks import replace_table
+from clickloom.sources.sinks import replace_table, write_jdbc
 from tests.conftest import rows
 
 
@@ -56,3 +57,9 @@ def test_replace_table(spark):
         replace_table(df, "replaced", path, ["date"])
     assert rows(spark.table("replaced")) == [(0, "2024-01-01"), (1, "2024-01-01")]
     spark.sql("DROP TABLE replaced")
+
+
+def test_jdbc_goes_to_the_driver_of_the_url(spark):
+    """No database is started for the tests; the write ends where one would be looked up."""
+    with pytest.raises(Exception, match="No suitable driver"):
+        write_jdbc(spark.range(1), "jdbc:none:x", "t", properties={"user": "u"})
