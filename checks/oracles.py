@@ -318,6 +318,10 @@ ORACLES: dict[str, str] = {
     ),
     "category_counts_joined": _with("SELECT * FROM cnt", _category_ctes("act")),
     "category_counts": _with("SELECT * FROM cnt", _category_ctes("act")),
+    "categories_in_order": _with(
+        'SELECT * FROM cnt ORDER BY "clickCount" DESC, "orderCount" DESC, "payCount" DESC, categoryid',
+        _category_ctes("act"),
+    ),
     "top10_category": _with(
         f"SELECT '{Q.TASK}' AS taskid, * FROM top", _FILTERED_ACT + _category_ctes("fa")
     ),

@@ -213,6 +213,11 @@ def category_counts(spark, sf):
     return categories.category_counts(D.actions(spark, sf))
 
 
+@query
+def categories_in_order(spark, sf):
+    return categories.order_categories(categories.category_counts(D.actions(spark, sf)))
+
+
 @query
 def top10_category(spark, sf):
     return _run(spark, sf).category_rows(TASK)

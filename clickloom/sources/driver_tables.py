@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import DATE
@@ -22,11 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _key() -> F.Column:
+def _key() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-def _when(event_type: str, value) -> F.Column:
+def _when(event_type: str, value: Column) -> Column:
     return F.when(F.col("event_type") == event_type, value)
 
 

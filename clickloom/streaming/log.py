@@ -23,7 +23,7 @@ class BatchLog:
 
     Every ``fold_every`` batches their folders are merged into one, every ``fold_every`` of
     those into one again, and so on: a state is read from a number of folders that grows
-    with the logarithm of the number of batches.
+    with the logarithm of the number of batches. A table keeps the ``fold_every`` it began with.
     """
 
     def __init__(

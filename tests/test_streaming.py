@@ -75,7 +75,7 @@ def random_batches(seed, days=2):
             (f"2024-01-0{dice.randint(1, days)}T10:0{dice.randint(0, 9)}:00", dice.randint(1, 6), dice.randint(1, 2))
             for _ in range(25)
         ]
-        for _ in range(4)
+        for _ in range(3)
     ]
 
 
@@ -84,7 +84,7 @@ def arrive(spark, incoming, batch):
 
 
 def test_blacklist_loop_over_restarts(spark, folder):
-    """Four batches, the query stopped and started again after each."""
+    """Three batches, the query stopped and started again after each."""
     threshold = 4
     batches = random_batches(1)
     state = BlacklistLoop(f"{folder}/tables", threshold, fold_every=2)
@@ -93,7 +93,7 @@ def test_blacklist_loop_over_restarts(spark, folder):
         clicks = parse_lines(file_lines(spark, f"{folder}/in"))
         run_available(clicks, state, f"{folder}/checkpoint")
     kept, listed = loop(list(enumerate(batches)), threshold)
-    assert 0 < len(listed) and len(kept) < 100
+    assert 0 < len(listed) and len(kept) < 75
     assert rows(state.blacklist.latest(spark)) == sorted((u,) for u in listed)
     kept_clicks = clicks_of(spark, [c[1:] for c in kept])
     assert rows(state.user_counts.latest(spark)) == rows(ads.user_counts(kept_clicks))
