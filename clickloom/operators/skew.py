@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Keys with more than this fraction of all rows are split.
-PARTS = 512
+# No more pieces than this, so that lists of heavy keys stay small enough to broadcast.
+MAX_PARTS = 65_536
 
 # ``row_number() <= n`` is cut off before the shuffle up to this n
 # (spark.sql.optimizer.windowGroupLimitThreshold).
@@ -27,8 +27,14 @@ def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def parts_for(spark: SparkSession) -> int:
+    """Into how many pieces to think a relation cut: sixteen per shuffle partition, so that
+    no piece, nor any key left whole, is more than a small part of a partition."""
+    return min(MAX_PARTS, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def heavy_keys(
-    df: DataFrame, key: str, weight: Column | None = None, parts: int = PARTS
+    df: DataFrame, key: str, weight: Column | None = None, parts: int | None = None
 ) -> DataFrame:
     """``(key, _salts)`` of the keys that hold more than ``1/parts`` of the rows (or of
     ``weight``), with the number of pieces to cut each into.
@@ -36,6 +42,7 @@ def heavy_keys(
     Shares sum to one, so there are fewer than ``parts`` such keys whatever the data:
     the result may always be broadcast.
     """
+    parts = parts or parts_for(df.sparkSession)
     weight = F.lit(1) if weight is None else weight
     sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(weight).alias("_n"))
     total = sizes.agg(F.sum("_n")).scalar()
@@ -56,7 +63,7 @@ def salted_join(
     """Equi-join of ``many`` with ``one`` (unique on ``key``) with the heavy keys split.
 
     Rows of a heavy key are spread by a hash of the ``spread`` columns over its pieces, and
-    its single ``one`` row is repeated per piece: at most ``2 * PARTS`` extra rows. ``how`` is
+    its single ``one`` row is repeated per piece: at most ``2 * MAX_PARTS`` extra rows. ``how`` is
     any type that keeps each ``many`` row apart (inner, left, left_semi, left_anti).
     """
     heavy = F.broadcast(heavy)
@@ -77,7 +84,7 @@ def top_per_group(
     ``n``; above its limit the cut is made in two steps, the first over random pieces.
     """
     if n > GROUP_LIMIT:
-        pieces = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(PARTS)))
+        pieces = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(parts_for(df.sparkSession))))
         first = Window.partitionBy(*group, _SALT).orderBy(*order)
         df = (
             pieces.withColumn(rank, F.row_number().over(first))

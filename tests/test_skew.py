@@ -15,10 +15,14 @@ def many(spark):
 
 
 def test_heavy_keys(many):
-    heavy = skew.heavy_keys(many, "key")
-    assert rows(heavy) == [(-1, 256)]
+    assert rows(skew.heavy_keys(many, "key", parts=512)) == [(-1, 256)]
     weighted = many.groupBy("key").agg(F.count("*").alias("n"))
-    assert rows(skew.heavy_keys(weighted, "key", F.col("n"))) == rows(heavy)
+    assert rows(skew.heavy_keys(weighted, "key", F.col("n"), parts=512)) == [(-1, 256)]
+
+
+def test_parts_follow_the_shuffle_partitions(spark, many):
+    assert skew.parts_for(spark) == 64
+    assert rows(skew.heavy_keys(many, "key")) == [(-1, 32)]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
