@@ -180,3 +180,13 @@ def test_run_writes_all_results(spark, make_actions, make_users):
     assert len(written["top10_session"]) == 30
     # Each session clicks all three categories; it counts once per category that lists it.
     assert len(written["top10_session_detail"]) == 30 * 10
+
+
+def test_run_in_which_nothing_matches(make_actions, make_users):
+    written = {}
+    params = TaskParams(sex="female")
+    users = make_users({"user_id": 1, "sex": "male"})
+    run = SessionRun(make_actions({"click_category_id": 1}), users, params)
+    run.run("t", lambda table, df: written.update({table: rows(df)}))
+    assert len(written.pop("session_aggr_stat")) == 1
+    assert set(map(len, written.values())) == {0}
