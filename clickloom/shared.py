@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder of the machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="clickloom-")
+    """A fresh folder name below ``spark.checkpoint.dir``, or below the warehouse where that
+    is unset: both are places that driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/clickloom/{label}-{uuid.uuid4().hex}"
 
 
