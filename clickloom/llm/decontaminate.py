@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import fresh
+
 # Words in a window, and the fewest of them that are no place-holders.
 WINDOW = 8
 LITERALS = 4
@@ -154,5 +156,6 @@ def find_leaks(
 
 def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id leaks no item; a null id is kept unless rows of null id leak."""
-    leaks = find_leaks(docs, items, key, text).select(F.col("doc_id").alias("leaking")).distinct()
-    return docs.join(leaks, F.col(key).eqNullSafe(F.col("leaking")), "left_anti")
+    leaking = fresh(docs, "leaking")
+    leaks = find_leaks(docs, items, key, text).select(F.col("doc_id").alias(leaking)).distinct()
+    return docs.join(leaks, F.col(key).eqNullSafe(F.col(leaking)), "left_anti")

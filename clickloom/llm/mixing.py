@@ -59,9 +59,9 @@ def rates(docs: DataFrame, targets: dict[str, float], source: str = "source", te
     wanted = F.lit(max(0.0, 1 - math.fsum(targets.values())))
     for name, share in targets.items():
         wanted = F.when(F.col("mixed") == name, F.lit(share)).otherwise(wanted)
-    total = sizes.agg(F.sum("size").alias("total"))
-    rate = F.when(F.col("size") > 0, wanted * F.col("total") / F.col("size")).otherwise(F.lit(1.0))
-    return sizes.join(F.broadcast(total)).select("mixed", rate.alias("rate"))
+    total = sizes.agg(F.sum("size")).scalar()
+    rate = F.when(F.col("size") > 0, wanted * total / F.col("size")).otherwise(F.lit(1.0))
+    return sizes.select("mixed", rate.alias("rate"))
 
 
 def mix_sources(

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chunk_prints, decontaminate, mixing, secret_scan, token_counts
+from clickloom.llm import (
+    chunk_prints, decontaminate, hmm, mixing, near_dup, quality, secret_scan, token_counts, toxicity, warc,
+)
 from clickloom.llm.common import remainder, table
 from clickloom.llm.oracles import ORACLES, SEED, TARGETS
 
@@ -17,6 +19,9 @@ QUERIES: dict[str, Query] = {}
 # Pieces of a public tokenizer; never copied here.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
+# Labels of rows with this remainder are never learned from.
+TOXIC_HELD_OUT = (3, 1)
+
 __all__ = ["ORACLES", "QUERIES"]
 
 
@@ -25,11 +30,43 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return read.select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to_key").alias("refers_to"),
+    )
+
+
+def _taught(labels: DataFrame, held_out: tuple[int, int]) -> DataFrame:
+    """Labels that may be learned from: those whose remainder by the first number is not the second."""
+    return labels.where(remainder("doc_id", held_out[0]) != held_out[1])
+
+
+def _judged(scored: DataFrame, held_out: tuple[int, int]) -> DataFrame:
+    mark = (remainder("doc_id", held_out[0]) == held_out[1]).alias("held_out")
+    return scored.select("doc_id", mark, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _taught(table(spark, sf_dir, "labels"), (4, 2))
+    return _judged(quality.score_documents(table(spark, sf_dir, "documents"), labels), (4, 2))
+
+
 @query
 def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _taught(table(spark, sf_dir, "labels"), TOXIC_HELD_OUT)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _judged(toxicity.score_documents(docs, labels), TOXIC_HELD_OUT)
+
+
 @query
 def op5_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), TARGETS, SEED)
@@ -56,6 +93,18 @@ def op7_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_prints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("rep").alias("copy_of"), "class_id")
+
+
+@query
+def op9_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (remainder("doc_id", 7) == 2).alias("held_out")
+    return hmm.score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, later = token_counts.piece_vocabulary(VOCABULARY)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import decontaminate, mixing, secret_scan
+from clickloom.llm import decontaminate, mixing, near_dup, secret_scan, toxicity
 from clickloom.llm.common import table
 from clickloom.llm.oracles import SEED, TARGETS
 from clickloom.shared import materialize
@@ -17,6 +17,16 @@ from clickloom.shared import materialize
 ORACLE_SQL = None
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity bound; learned from all ``labels``."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest id."""
+    return near_dup.first_of_each(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that ask no benchmark item, with the same values or others."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -33,6 +43,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("toxicity", toxicity_filter),
+    ("minhash near-dedup", near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("secret scans", secret_scans),
     ("mixing sources to target weights", source_mixing),
