@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+ROOT = str(Path(__file__).resolve().parent.parent)
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +23,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.environment["PYTHONPATH"] = ROOT
     yield session
     session.stop()
 
