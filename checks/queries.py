@@ -23,9 +23,7 @@ from clickloom.shared import shared_folder
 from clickloom.sources import ad_log, tables
 from clickloom.sources import driver_tables as D
 from clickloom.sources.sinks import replace_table
-from clickloom.streaming.ads import (
-    BlacklistLoop, PaneSink, StatsSink, TrendSink, running_panes, running_stats,
-)
+from clickloom.streaming.ads import BlacklistLoop, PaneSink, StatsSink, TrendSink
 from clickloom.streaming.run import run_available
 
 TASK = "task-1"
@@ -528,8 +526,7 @@ def ad_sliding_window(spark, sf):
 def _run_stats(spark, sf) -> StatsSink:
     folder = shared_folder(spark, "ad-stat")
     sink = StatsSink(f"{folder}/tables")
-    stream = running_stats(D.ad_click_stream(spark, sf))
-    run_available(stream, sink, f"{folder}/checkpoint", "update")
+    run_available(D.ad_click_stream(spark, sf), sink, f"{folder}/checkpoint")
     return sink
 
 
@@ -547,17 +544,15 @@ def ad_province_top3(spark, sf):
 def ad_click_trend(spark, sf):
     folder = shared_folder(spark, "ad-trend")
     sink = TrendSink(f"{folder}/tables")
-    stream = running_panes(D.ad_click_stream(spark, sf), 60, "1 hour")
-    run_available(stream, sink, f"{folder}/checkpoint", "update")
+    run_available(D.ad_click_stream(spark, sf), sink, f"{folder}/checkpoint")
     return sink.trend.latest(spark)
 
 
 @query
 def ad_sliding_stream(spark, sf):
     folder = shared_folder(spark, "ad-panes")
-    sink = PaneSink(f"{folder}/tables")
-    stream = running_panes(D.ad_click_stream(spark, sf), ads.pane_seconds(*WINDOW), "1 hour")
-    run_available(stream, sink, f"{folder}/checkpoint", "update")
+    sink = PaneSink(f"{folder}/tables", ads.pane_seconds(*WINDOW))
+    run_available(D.ad_click_stream(spark, sf), sink, f"{folder}/checkpoint")
     counts = ads.slide_panes(sink.panes.latest(spark), *WINDOW)
     return counts.select(
         F.unix_seconds("start").alias("start_s"), F.unix_seconds("end").alias("end_s"),

@@ -9,30 +9,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.ads import PROVINCE_KEYS
 from clickloom.sources.ad_log import parse_lines
-from clickloom.streaming.ads import THRESHOLD, BlacklistLoop, TrendSink, running_panes
+from clickloom.streaming.ads import THRESHOLD, BlacklistLoop, TrendSink
 from clickloom.streaming.run import start
 
-TREND_SECONDS = 60
-
-
 def start_ad_job(
     lines: DataFrame,
     folder: str,
     threshold: int = THRESHOLD,
     top_partition: Sequence[str] = tuple(PROVINCE_KEYS),
-    late: str = "1 hour",
     every: str | None = "5 seconds",
 ) -> list[StreamingQuery]:
     """Start the job on a stream of log lines: one query runs the blacklist loop with the
     statistics and top ads, the other the click trend, which takes all clicks.
 
-    Result tables and checkpoints are kept below ``folder``, on shared storage.
+    Result tables and checkpoints are kept below ``folder``, on shared storage. The tables outlive
+    the checkpoints: under a new one their counts go on. Fold the tables from time to time
+    (``BatchLog.fold``), outside the job.
     """
     clicks = parse_lines(lines)
     loop = BlacklistLoop(f"{folder}/tables", threshold, top_partition=top_partition)
     trend = TrendSink(f"{folder}/tables")
-    panes = running_panes(clicks, TREND_SECONDS, late)
     return [
         start(clicks, loop, f"{folder}/checkpoints/blacklist", every=every),
-        start(panes, trend, f"{folder}/checkpoints/trend", "update", every=every),
+        start(clicks, trend, f"{folder}/checkpoints/trend", every=every),
     ]

@@ -39,10 +39,6 @@ PRODUCT = row_type("product_id bigint, product_name string, extend_info string")
 
 CITY = row_type("city_id bigint, city_name string, area string")
 
-AD_CLICK = row_type(
-    "ts timestamp, province string, city string, userid bigint, adid bigint"
-)
-
 # Result tables of the ad stream.
 AD_BLACKLIST = row_type("userid bigint")
 AD_USER_CLICK_COUNT = row_type(
@@ -57,7 +53,7 @@ AD_PROVINCE_TOP3 = row_type(
 AD_CLICK_TREND = row_type(
     "date string, hour string, minute string, adid bigint, clickCount bigint"
 )
-AD_PANES = row_type("pane timestamp, adid bigint, clickCount bigint")
+AD_PANES = row_type("date string, pane timestamp, adid bigint, clickCount bigint")
 
 # An absent click id is stored as this value or as null.
 ABSENT_ID = -1

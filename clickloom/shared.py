@@ -23,3 +23,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path``; none if it does not exist."""
+    files, place = _place(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    files, place = _place(spark, path)
+    files.create(place, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)

@@ -5,23 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Numbers of up to 18 digits always fit a bigint; fields after the fifth are ignored.
-LINE = r"^-?\d{1,18} [^ ]+ [^ ]+ -?\d{1,18} -?\d{1,18}( .*)?$"
+# The shape of a line; whether its numbers fit is for the casts. Fields after the fifth are ignored.
+LINE = r"^-?\d+ [^ ]+ [^ ]+ -?\d+ -?\d+( .*)?$"
+# Milliseconds of which a time stamp holds the microseconds.
+LAST_MS = (2**63 - 1) // 1000
 
 
 def kafka_lines(
-    spark: SparkSession, servers: str, topic: str, group: str | None = None, start: str = "latest"
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    group_prefix: str | None = None,
+    start: str = "latest",
+    max_offsets: int | None = None,
 ) -> DataFrame:
-    """Lines of a Kafka topic. Offsets live in the query's checkpoint and are not committed
-    to Kafka. Needs the Kafka connector on the class path."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", start)
-    )
-    if group:
-        reader = reader.option("kafka.group.id", group)
+    """Lines of a Kafka topic, ``max_offsets`` in a batch at most.
+
+    Offsets live in the query's checkpoint and are not committed to Kafka. Each query over the
+    result reads the whole topic under a group of its own, whose name begins with ``group_prefix``.
+    Needs the Kafka connector on the class path.
+    """
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": start,
+        "groupIdPrefix": group_prefix,
+        "maxOffsetsPerTrigger": max_offsets,
+    }
+    reader = spark.readStream.format("kafka").options(**{k: v for k, v in options.items() if v is not None})
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
@@ -33,17 +44,31 @@ def file_lines(spark: SparkSession, folder: str, max_files: int | None = None) -
     return reader.text(folder)
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """Lines to columns; a line that is not of the form is dropped. The test is one pattern
-    on the whole line, so each line is matched once and split once."""
-    fields = lines.where(F.col("value").rlike(LINE)).select(F.split("value", " ").alias("field"))
-    return fields.select(
-        F.timestamp_millis(F.col("field")[0].cast("bigint")).alias("ts"),
-        F.col("field")[1].alias("province"),
-        F.col("field")[2].alias("city"),
-        F.col("field")[3].cast("bigint").alias("userid"),
-        F.col("field")[4].cast("bigint").alias("adid"),
+def _parsed(lines: DataFrame) -> DataFrame:
+    """``value``, and ``click``: the line's columns, null for a line that is none."""
+    field = F.split("value", " ")
+    number = lambda i: F.get(field, F.lit(i)).try_cast("bigint")
+    ms, user, ad = number(0), number(3), number(4)
+    good = F.col("value").rlike(LINE) & ms.between(-LAST_MS, LAST_MS) & user.isNotNull() & ad.isNotNull()
+    click = F.struct(
+        F.timestamp_millis(ms).alias("ts"),
+        F.get(field, F.lit(1)).alias("province"),
+        F.get(field, F.lit(2)).alias("city"),
+        user.alias("userid"),
+        ad.alias("adid"),
     )
+    return lines.select("value", F.when(good, click).alias("click"))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines to columns; a line that is not of the form, or has a number that is no ``bigint``
+    or no time, is left to ``rejected_lines``."""
+    return _parsed(lines).where(F.col("click").isNotNull()).select("click.*")
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """The lines that ``parse_lines`` leaves out, as they are."""
+    return _parsed(lines).where(F.col("click").isNull()).select("value")
 
 
 def format_lines(clicks: DataFrame) -> DataFrame:

@@ -125,12 +125,11 @@ def ad_clicks(spark: SparkSession, folder: str, params: TaskParams = TaskParams(
     return locate_clicks(events_between(spark, folder, params), cities(spark, folder))
 
 
-def ad_click_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The ad clicks as a file stream over ``events``."""
-    schema = table(spark, folder, "events").schema
-    events = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
-    return locate_clicks(events, cities(spark, folder))
+def ad_click_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """The ad clicks as a file stream over ``events``, which may be a file or a folder of files;
+    ``max_files`` in a batch at most."""
+    reader = spark.readStream.schema(table(spark, folder, "events").schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # As a pattern: a stream takes a single file only so.
+    return locate_clicks(reader.parquet(f"{folder}/{{events.parquet}}"), cities(spark, folder))

@@ -8,26 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom import schemas
+from clickloom.functions.times import DATE
 from clickloom.operators import ads
-from clickloom.operators.upsert import INCREMENT, OVERWRITE, REPLACE_GROUP, new_rows
-from clickloom.streaming.log import INSERT, BatchLog
+from clickloom.operators.upsert import INCREMENT, REPLACE_GROUP, new_rows
+from clickloom.streaming.log import INSERT, BatchLog, Numbers
 
 THRESHOLD = 100
 
 
-def _date_span(counts: DataFrame) -> tuple[str, str]:
-    """First and last date of a batch; an empty batch gives a range without dates."""
-    row = counts.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    return (row.lo or "", row.hi or "")
+def _dates(counts: DataFrame) -> list[str]:
+    """The days a batch has clicks of."""
+    return sorted(r["date"] for r in counts.select("date").distinct().collect())
 
 
 def _touched(
-    log: BatchLog, counts: DataFrame, batch_id: int, dates: tuple[str, str], keys: Sequence[str]
+    log: BatchLog, counts: DataFrame, number: int, dates: Sequence[str], keys: Sequence[str]
 ) -> DataFrame:
     """Present statistics of the groups (by ``keys``) that ``counts`` has rows of."""
     groups = counts.select(*keys).distinct()
-    stats = log.state(counts.sparkSession, batch_id, dates if "date" in keys else None)
-    return stats.join(groups, list(keys), "left_semi")
+    return log.state(counts.sparkSession, number, dates if "date" in keys else None, groups)
 
 
 class BlacklistLoop:
@@ -64,40 +63,40 @@ class BlacklistLoop:
             "ad_province_top3", schemas.AD_PROVINCE_TOP3, self.top_partition, REPLACE_GROUP
         )
 
+        self.logs = [self.blacklist, self.user_counts, self.stats, self.top]
+        self.numbers = Numbers(folder, self.logs)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        listed = self.blacklist.state(spark, batch_id - 1)
+        number = self.numbers.of(spark, batch_id)
         counted = ads.count_by(
             ads.with_date(batch), ["date", "province", "city", "userid", "adid"]
         )
+        listed = self.blacklist.state(spark, number - 1)
         kept = ads.drop_listed(counted, listed).persist()
         try:
-            dates = _date_span(kept)
-            self.user_counts.write(ads.sum_by(kept, ads.USER_KEYS), batch_id)
-            over = ads.users_over(
-                self.user_counts.state(spark, batch_id, dates), self.threshold
-            )
-            self.blacklist.write(new_rows(listed, over, ["userid"]), batch_id)
-            self.stats.write(ads.sum_by(kept, ads.STAT_KEYS), batch_id)
-            now = _touched(self.stats, kept, batch_id, dates, self.top_partition)
-            self.top.write(ads.top_ads(now, self.top_n, self.top_partition), batch_id)
+            dates = _dates(kept)
+            mine = ads.sum_by(kept, ads.USER_KEYS)
+            self.user_counts.write(mine, number)
+            keys = mine.select(*ads.USER_KEYS)
+            now = ads.current_counts(keys, self.user_counts.state(spark, number, dates, keys))
+            over = ads.users_over(now, self.threshold)
+            self.blacklist.write(new_rows(listed, over, ["userid"]), number)
+            self.stats.write(ads.sum_by(kept, ads.STAT_KEYS), number)
+            groups = _touched(self.stats, kept, number, dates, self.top_partition)
+            self.top.write(ads.top_ads(groups, self.top_n, self.top_partition), number)
         finally:
             kept.unpersist()
 
 
-def running_stats(clicks: DataFrame) -> DataFrame:
-    """Streaming count per date, province, city and ad. Its state never expires."""
-    return ads.stat_counts(clicks)
-
-
 class StatsSink:
-    """Stores the running counts a batch changed (update mode) and the top ads of the
-    dates and provinces they belong to."""
+    """Adds the clicks of each batch to the counts per date, province, city and ad, and stores the
+    top ads of the dates and provinces they belong to. Nothing is kept in a state store."""
 
     def __init__(self, folder: str, top_n: int = 3, fold_every: int = 32) -> None:
         self.top_n = top_n
         self.stats = BatchLog(
-            f"{folder}/ad_stat", schemas.AD_STAT, ads.STAT_KEYS, OVERWRITE, fold_every=fold_every
+            f"{folder}/ad_stat", schemas.AD_STAT, ads.STAT_KEYS, INCREMENT, fold_every=fold_every
         )
         self.top = BatchLog(
             f"{folder}/ad_province_top3",
@@ -106,51 +105,58 @@ class StatsSink:
             REPLACE_GROUP,
             fold_every=fold_every,
         )
+        self.logs = [self.stats, self.top]
+        self.numbers = Numbers(folder, self.logs)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        changed = batch.persist()
+        number = self.numbers.of(batch.sparkSession, batch_id)
+        counted = ads.stat_counts(batch).persist()
         try:
-            self.stats.write(changed, batch_id)
-            dates = _date_span(changed)
-            now = _touched(self.stats, changed, batch_id, dates, ads.PROVINCE_KEYS)
-            self.top.write(ads.top_ads(now, self.top_n), batch_id)
+            self.stats.write(counted, number)
+            now = _touched(self.stats, counted, number, _dates(counted), ads.PROVINCE_KEYS)
+            self.top.write(ads.top_ads(now, self.top_n), number)
         finally:
-            changed.unpersist()
-
-
-def running_panes(clicks: DataFrame, seconds: int, late: str) -> DataFrame:
-    """Streaming count per pane of event time and ad; panes older than ``late`` behind the
-    newest click leave the state."""
-    return ads.pane_counts(clicks.withWatermark("ts", late), seconds)
+            counted.unpersist()
 
 
 class TrendSink:
-    """Stores per-minute counts (update mode, panes of 60 seconds)."""
+    """Adds the clicks of each batch to the counts per minute of event time and ad.
+
+    Counts by arrival: a click counts however late it comes.
+    """
 
     def __init__(self, folder: str, fold_every: int = 32) -> None:
         self.trend = BatchLog(
             f"{folder}/ad_click_trend",
             schemas.AD_CLICK_TREND,
             ads.TREND_KEYS,
-            OVERWRITE,
+            INCREMENT,
             fold_every=fold_every,
         )
+        self.logs = [self.trend]
+        self.numbers = Numbers(f"{folder}/ad_click_trend", self.logs)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.trend.write(ads.trend_rows(batch, "pane"), batch_id)
+        self.trend.write(ads.minute_counts(batch), self.numbers.of(batch.sparkSession, batch_id))
 
 
 class PaneSink:
-    """Stores pane counts (update mode), from which sliding windows are read."""
+    """Adds the clicks of each batch to the counts per pane of ``seconds``, from which sliding
+    windows are read. Late clicks count."""
 
-    def __init__(self, folder: str, fold_every: int = 32) -> None:
+    def __init__(self, folder: str, seconds: int, fold_every: int = 32) -> None:
+        self.seconds = seconds
         self.panes = BatchLog(
             f"{folder}/ad_panes",
             schemas.AD_PANES,
-            ["pane", "adid"],
-            OVERWRITE,
+            ["date", "pane", "adid"],
+            INCREMENT,
             fold_every=fold_every,
         )
+        self.logs = [self.panes]
+        self.numbers = Numbers(f"{folder}/ad_panes", self.logs)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.panes.write(batch, batch_id)
+        counted = ads.pane_counts(batch, self.seconds)
+        dated = counted.withColumn("date", F.date_format("pane", DATE))
+        self.panes.write(dated, self.numbers.of(batch.sparkSession, batch_id))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.operators.upsert import merge_log
+from clickloom.shared import exists, mark, names_in, remove
 
 INSERT = "insert"
 BATCH = "batch"
@@ -19,11 +20,13 @@ class BatchLog:
 
     Each batch writes what it changes to a folder of its own, so a batch costs its own
     size and not the table's. A retried batch overwrites that folder and so counts once.
-    The table's state merges the folders by ``mode``.
+    The table's state merges the folders by ``mode``. A batch is there once its folder is
+    complete, so a reader never sees half of one. Tables with a ``date`` are stored by it.
 
-    Every ``fold_every`` batches their folders are merged into one, every ``fold_every`` of
-    those into one again, and so on: a state is read from a number of folders that grows
-    with the logarithm of the number of batches. A table keeps the ``fold_every`` it began with.
+    ``fold``, run outside the stream, merges every ``fold_every`` folders into one, every
+    ``fold_every`` of those into one again, and so on: a state is then read from a number of
+    folders that grows with the logarithm of the number of batches. A table keeps the
+    ``fold_every`` it began with.
     """
 
     def __init__(
@@ -43,51 +46,87 @@ class BatchLog:
         self.fold_every = fold_every
         self._stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        """Record the rows batch ``batch_id`` changes."""
-        self._write(df.select(*self.schema.names), 0, batch_id)
+    def write(self, df: DataFrame, number: int) -> None:
+        """Record the rows batch ``number`` changes."""
+        self._write(df.select(*self.schema.names), 0, number)
+
+    def fold(self, spark: SparkSession, drop_folded: bool = False) -> None:
+        """Merge what can be merged. The last two batches are left alone, so a running stream
+        is not disturbed; with ``drop_folded`` the merged folders go, which readers that began
+        earlier may still be reading."""
+        newest = self.newest(spark)
         level, size = 1, self.fold_every
-        while (batch_id + 1) % size == 0:
+        while size <= newest - 1:
             step = size // self.fold_every
-            parts = range(batch_id + 1 - size + step - 1, batch_id + 1, step)
-            merged = self._merge(self._read(df.sparkSession, level - 1, parts))
-            self._write(merged, level, batch_id)
+            for end in range(size - 1, newest - 1, size):
+                parts = range(end - size + step, end + 1, step)
+                if not self._complete(spark, level, end):
+                    self._write(self._merge(self._read(spark, level - 1, parts)), level, end)
+                if drop_folded:
+                    for part in parts:
+                        remove(spark, self._folder(level - 1, part))
             level, size = level + 1, size * self.fold_every
 
     def state(
-        self, spark: SparkSession, upto: int, dates: tuple[str, str] | None = None
+        self,
+        spark: SparkSession,
+        upto: int,
+        dates: Sequence[str] | None = None,
+        only: DataFrame | None = None,
     ) -> DataFrame:
-        """The table after batch ``upto``; with ``dates`` only that (inclusive) range,
-        which the scans are pruned to."""
+        """The table after batch ``upto``; with ``dates`` only theirs, to which the scans are
+        pruned; with ``only`` the rows whose keys are among its rows, filtered before merging."""
         rows = None
-        for level, ends in self._folders(upto):
+        for level, ends in self._folders(spark, upto):
             part = self._read(spark, level, ends)
             rows = part if rows is None else rows.unionByName(part)
         if rows is None:
             return self._empty(spark)
         if dates is not None:
-            rows = rows.where(F.col("date").between(*dates))
+            rows = rows.where(F.col("date").isin(*dates) if dates else F.lit(False))
+        if only is not None:
+            rows = rows.join(only, only.columns, "left_semi")
         return self._merge(rows)
 
+    def newest(self, spark: SparkSession) -> int:
+        """The last complete batch, found by the folders' names; -1 before the first."""
+        for level in range(self._levels(spark)):
+            for end in reversed(self._ends(spark, level)):
+                if self._complete(spark, level, end):
+                    return end
+        return -1
+
     def latest(self, spark: SparkSession) -> DataFrame:
-        """The table after the last batch, for readers outside the stream."""
-        written = spark.read.schema(self._stored).parquet(f"{self.path}/level0")
-        newest = written.agg(F.max(BATCH)).first()[0]
-        return self.state(spark, -1 if newest is None else newest)
+        """The table after the last batch, for readers outside the stream; empty before the first."""
+        return self.state(spark, self.newest(spark))
+
+    def _folder(self, level: int, end: int) -> str:
+        return f"{self.path}/level{level}/{BATCH}={end}"
+
+    def _complete(self, spark: SparkSession, level: int, end: int) -> bool:
+        return exists(spark, f"{self._folder(level, end)}/_SUCCESS")
+
+    def _ends(self, spark: SparkSession, level: int) -> list[int]:
+        names = names_in(spark, f"{self.path}/level{level}")
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{BATCH}="))
 
-    def _folders(self, upto: int) -> list[tuple[int, list[int]]]:
+    def _levels(self, spark: SparkSession) -> int:
+        return sum(n.startswith("level") for n in names_in(spark, self.path))
+
+    def _folders(self, spark: SparkSession, upto: int) -> list[tuple[int, list[int]]]:
         """Levels and last batches of the fewest folders that hold batches 0 to ``upto``."""
-        level = 0
-        while self.fold_every ** (level + 1) <= upto + 1:
-            level += 1
-        found, done = [], 0
-        for lv in range(level, -1, -1):
-            size = self.fold_every**lv
-            ends = list(range(done + size - 1, upto + 1, size))
-            if ends:
-                found.append((lv, ends))
-                done = ends[-1] + 1
-        return found
+        found: dict[int, list[int]] = {}
+        folded = {
+            level: {e for e in self._ends(spark, level) if self._complete(spark, level, e)}
+            for level in range(1, self._levels(spark))
+        }
+        done = 0
+        while done <= upto:
+            level = max([0, *(lv for lv, ends in folded.items() if done + self.fold_every**lv - 1 in ends and done + self.fold_every**lv - 1 <= upto)])
+            end = done + self.fold_every**level - 1
+            found.setdefault(level, []).append(end)
+            done = end + 1
+        return sorted(found.items(), reverse=True)
 
     def _empty(self, spark: SparkSession) -> DataFrame:
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
@@ -99,14 +138,39 @@ class BatchLog:
         merged = merge_log(rows, self.keys, self.mode, self.value, BATCH)
         return merged.select(*self.schema.names)
 
-    def _write(self, df: DataFrame, level: int, batch_id: int) -> None:
-        if level and "date" in self.schema.names:
+    def _write(self, df: DataFrame, level: int, end: int) -> None:
+        if "date" in self.schema.names:
             writer = df.hint("rebalance", F.col("date")).write.partitionBy("date")
         else:
             writer = df.hint("rebalance").write
-        writer.mode("overwrite").parquet(f"{self.path}/level{level}/{BATCH}={batch_id}")
+        writer.mode("overwrite").parquet(self._folder(level, end))
 
     def _read(self, spark: SparkSession, level: int, batches: Sequence[int]) -> DataFrame:
+        paths = [self._folder(level, end) for end in batches]
         base = f"{self.path}/level{level}"
-        paths = [f"{base}/{BATCH}={b}" for b in batches]
         return spark.read.schema(self._stored).option("basePath", base).parquet(*paths)
+
+
+class Numbers:
+    """Numbers the batches of the tables that one sink writes, over all its queries.
+
+    A query counts its batches from 0 and begins again with a new checkpoint; the tables outlive
+    it. So the first batch of a query gets the number after the last one that all
+    tables have, and the query's place is recorded beside them.
+    """
+
+    def __init__(self, folder: str, logs: Sequence[BatchLog]) -> None:
+        self.folder = f"{folder}/_queries"
+        self.logs = list(logs)
+        self._before: dict[str, int] = {}
+
+    def of(self, spark: SparkSession, batch_id: int) -> int:
+        """The number of the running query's batch ``batch_id``."""
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        if query not in self._before:
+            known = dict(n.rsplit("=", 1) for n in names_in(spark, self.folder) if "=" in n)
+            if query not in known:
+                known[query] = str(min(log.newest(spark) for log in self.logs) + 1 - batch_id)
+                mark(spark, f"{self.folder}/{query}={known[query]}")
+            self._before[query] = int(known[query])
+        return self._before[query] + batch_id

@@ -7,43 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-_PARTITIONS = "spark.sql.shuffle.partitions"
-
 
 def start(
     stream: DataFrame,
     process: Callable[[DataFrame, int], None],
     checkpoint: str,
-    output_mode: str = "append",
     every: str | None = "5 seconds",
 ) -> StreamingQuery:
     """Run ``process`` on each micro-batch; with ``every=None`` take what is there now
-    and stop.
-
-    A query keeps for good the number of shuffle partitions it first starts with, and each
-    costs a state store: more than the cluster has cores are of no use.
-    """
-    spark = stream.sparkSession
-    before = spark.conf.get(_PARTITIONS)
-    spark.conf.set(_PARTITIONS, min(int(before), spark.sparkContext.defaultParallelism))
-    try:
-        trigger = {"processingTime": every} if every else {"availableNow": True}
-        return (
-            stream.writeStream.foreachBatch(process)
-            .outputMode(output_mode)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger)
-            .start()
-        )
-    finally:
-        spark.conf.set(_PARTITIONS, before)
+    and stop. Shuffles inside go by the session's own settings."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
 def run_available(
-    stream: DataFrame,
-    process: Callable[[DataFrame, int], None],
-    checkpoint: str,
-    output_mode: str = "append",
+    stream: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str
 ) -> None:
     """Process everything that has arrived, then return."""
-    start(stream, process, checkpoint, output_mode, every=None).awaitTermination()
+    start(stream, process, checkpoint, every=None).awaitTermination()

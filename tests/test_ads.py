@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import ads
 from clickloom.operators.upsert import INCREMENT, OVERWRITE, REPLACE_GROUP, new_rows, upsert
-from clickloom.sources.ad_log import format_lines, kafka_lines, parse_lines
+from clickloom.sources.ad_log import format_lines, kafka_lines, parse_lines, rejected_lines
 from tests.conftest import rows
 
 UTC = datetime.timezone.utc
@@ -26,19 +26,22 @@ def clicks_of(spark, data):
 
 def test_lines(spark):
     good = "1538928000123 p1 c2 3 4"
-    lines = spark.createDataFrame(
-        [(good,), (f"{good} more",), ("x p c 3 4",), ("9" * 19 + " p c 3 4",), ("1538928000123 p c 3",), ("",), ("1 p c u 4",)], "value string"
-    )
+    long = f"1538928000123 p1 c2 {2**63 - 1} -{2**63}"
+    bad = ["x p c 3 4", f"{2**63 - 1} p c 3 4", f"1 p c {2**63} 4", "1538928000123 p c 3", "", "1 p c u 4", "1  c 3 4"]
+    lines = spark.createDataFrame([(x,) for x in [good, f"{good} more", long, *bad]], "value string")
     parsed = parse_lines(lines)
     assert rows(parsed.select(F.unix_millis("ts"), "province", "city", "userid", "adid")) == [
-        (1538928000123, "p1", "c2", 3, 4)
-    ] * 2
-    assert rows(format_lines(parsed)) == [(good,)] * 2
+        (1538928000123, "p1", "c2", 3, 4),
+        (1538928000123, "p1", "c2", 3, 4),
+        (1538928000123, "p1", "c2", 2**63 - 1, -(2**63)),
+    ]
+    assert rows(format_lines(parsed)) == sorted([(good,), (good,), (long,)])
+    assert rows(rejected_lines(lines)) == sorted((x,) for x in bad)
 
 
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        kafka_lines(spark, "host:9092", "clicks", "group")
+        kafka_lines(spark, "host:9092", "clicks", "group", max_offsets=1000)
 
 
 def test_counts_and_threshold(spark):

@@ -6,11 +6,10 @@ from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.operators.upsert import INCREMENT, OVERWRITE, REPLACE_GROUP, upsert
 from clickloom.plans.ad_job import start_ad_job
-from clickloom.shared import materialize, shared_folder
+from clickloom.shared import materialize, remove, shared_folder
+from clickloom.sources import driver_tables
 from clickloom.sources.ad_log import file_lines, format_lines, parse_lines
-from clickloom.streaming.ads import (
-    BlacklistLoop, PaneSink, StatsSink, TrendSink, running_panes, running_stats,
-)
+from clickloom.streaming.ads import BlacklistLoop, PaneSink, StatsSink, TrendSink
 from clickloom.streaming.log import INSERT, BatchLog
 from clickloom.streaming.run import run_available
 from tests.conftest import rows
@@ -38,21 +37,57 @@ def test_log_equals_upserts_in_turn(spark, folder, mode):
         update = spark.createDataFrame([(*k, n) for k, n in drawn.items()], STAT)
         log.write(update, batch)
         table = spark.createDataFrame(rows(upsert(table, update, keys, mode)), STAT)
+        if batch in (2, 4):
+            log.fold(spark, drop_folded=batch == 4)
         columns = schemas.AD_STAT.names
         assert rows(log.state(spark, batch)) == rows(table.select(columns))
     assert rows(log.latest(spark)) == rows(table)
-    one_day = log.state(spark, 5, ("2024-01-02", "2024-01-02"))
+    one_day = log.state(spark, 5, ["2024-01-02"])
     assert rows(one_day) == rows(table.where("date = '2024-01-02'"))
 
 
-def test_folders_read_for_a_state():
-    log = BatchLog("x", schemas.AD_BLACKLIST, ["userid"], INSERT, fold_every=3)
-    assert log._folders(-1) == []
-    assert log._folders(1) == [(0, [0, 1])]
-    assert log._folders(2) == [(1, [2])]
-    assert log._folders(9) == [(2, [8]), (0, [9])]
-    assert log._folders(25) == [(2, [8, 17]), (1, [20, 23]), (0, [24, 25])]
-    assert log._folders(26) == [(3, [26])]
+def test_folders_read_for_a_state(spark, folder):
+    log = BatchLog(folder, schemas.AD_BLACKLIST, ["userid"], INSERT, fold_every=2)
+    rows_ = [spark.createDataFrame([(i,)], schemas.AD_BLACKLIST) for i in range(7)]
+    for i in range(7):
+        log.write(rows_[i], i)
+    assert log._folders(spark, -1) == [] and log._folders(spark, 2) == [(0, [0, 1, 2])]
+    log.fold(spark)
+    assert log._folders(spark, 6) == [(2, [3]), (0, [4, 5, 6])]
+    log.write(rows_[0], 7)
+    log.fold(spark, drop_folded=True)
+    assert log._folders(spark, 7) == [(2, [3]), (1, [5]), (0, [6, 7])]
+    assert sorted(log._ends(spark, 0)) == [6, 7] and log._ends(spark, 1) == [5]
+    assert rows(log.latest(spark)) == [(i,) for i in range(7)]
+
+
+def test_newest_batch_is_a_complete_one(spark, folder):
+    log = BatchLog(folder, schemas.AD_BLACKLIST, ["userid"], INSERT)
+    assert log.newest(spark) == -1 and rows(log.latest(spark)) == []
+    log.write(spark.createDataFrame([(1,)], schemas.AD_BLACKLIST), 0)
+    spark.createDataFrame([(2,)], schemas.AD_BLACKLIST).write.parquet(f"{folder}/level0/batch=1")
+    remove(spark, f"{folder}/level0/batch=1/_SUCCESS")
+    assert log.newest(spark) == 0 and rows(log.latest(spark)) == [(1,)]
+
+
+def test_tables_outlive_their_checkpoint(spark, folder):
+    """The counts go on under a new checkpoint, and the rows of a state are looked up by key."""
+    batches = random_batches(8)
+    for number, batch in enumerate(batches):
+        arrive(spark, f"{folder}/in{number}", batch)
+        clicks = parse_lines(file_lines(spark, f"{folder}/in{number}"))
+        sinks = [StatsSink(f"{folder}/stats"), TrendSink(f"{folder}/trend"), BlacklistLoop(f"{folder}/loop", 1000)]
+        for i, sink in enumerate(sinks):
+            run_available(clicks, sink, f"{folder}/checkpoint{i}-{number}")
+    everything = clicks_of(spark, sum(batches, []))
+    assert rows(sinks[0].stats.latest(spark)) == rows(ads.stat_counts(everything))
+    assert rows(sinks[1].trend.latest(spark)) == rows(ads.minute_counts(everything))
+    assert rows(sinks[2].stats.latest(spark)) == rows(ads.stat_counts(everything))
+    keys = spark.createDataFrame([("2024-01-01", 1, 1)], "date string, userid bigint, adid bigint")
+    state = sinks[2].user_counts.state(spark, 2, ["2024-01-01"], keys)
+    assert rows(state) == rows(ads.user_counts(everything).where("date = '2024-01-01' and userid = 1 and adid = 1"))
+    plan = state._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the join is below the merge
 
 
 def test_retried_batch_counts_once(spark, folder):
@@ -133,22 +168,23 @@ def test_running_statistics_equal_batch(spark, folder):
     sink = StatsSink(f"{folder}/tables", fold_every=2)
     for batch in batches:
         arrive(spark, f"{folder}/in", batch)
-        stats = running_stats(parse_lines(file_lines(spark, f"{folder}/in")))
-        run_available(stats, sink, f"{folder}/checkpoint", "update")
+        clicks = parse_lines(file_lines(spark, f"{folder}/in"))
+        run_available(clicks, sink, f"{folder}/checkpoint")
     expected = ads.stat_counts(clicks_of(spark, sum(batches, [])))
     assert rows(sink.stats.latest(spark)) == rows(expected)
     assert rows(sink.top.latest(spark)) == rows(ads.top_ads(expected))
 
 
 def test_trend_and_sliding_panes_equal_batch(spark, folder):
-    """Minutes arrive out of order; one file per micro-batch."""
-    batches = random_batches(5, days=1)
+    """Days arrive newest first, one file per micro-batch; nothing is too late."""
+    batches = [[(f"2024-01-0{day}{t[10:]}", u, a) for t, u, a in b] for day, b in zip((3, 2, 1), random_batches(5))]
     for batch in batches:
         arrive(spark, f"{folder}/in", batch)
     clicks = parse_lines(file_lines(spark, f"{folder}/in", max_files=1))
-    trend, panes = TrendSink(f"{folder}/trend"), PaneSink(f"{folder}/panes")
-    run_available(running_panes(clicks, 60, "1 hour"), trend, f"{folder}/c1", "update")
-    run_available(running_panes(clicks, 10, "1 hour"), panes, f"{folder}/c2", "update")
+    trend, panes = TrendSink(f"{folder}/trend"), PaneSink(f"{folder}/panes", 10)
+    run_available(clicks, trend, f"{folder}/c1")
+    run_available(clicks, panes, f"{folder}/c2")
+    assert trend.trend.newest(spark) == 2
     everything = clicks_of(spark, sum(batches, []))
     assert rows(trend.trend.latest(spark)) == rows(ads.minute_counts(everything))
     assert rows(ads.slide_panes(panes.panes.latest(spark), 120, 10)) == rows(
@@ -156,6 +192,19 @@ def test_trend_and_sliding_panes_equal_batch(spark, folder):
     )
 
 
+def test_stream_over_a_table_of_several_files(spark, folder):
+    """A folder of part files, several batches: the same as the batch result."""
+    source = "/root/testdata/sf0.001"
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    events = spark.read.parquet(f"{source}/events.parquet").repartition(4)
+    events.write.parquet(f"{folder}/events.parquet")
+    sink = TrendSink(f"{folder}/tables")
+    run_available(driver_tables.ad_click_stream(spark, folder, max_files=1), sink, f"{folder}/c")
+    assert sink.trend.newest(spark) == 3
+    assert rows(sink.trend.latest(spark)) == rows(ads.minute_counts(driver_tables.ad_clicks(spark, folder)))
+
+
 def test_ad_job(spark, folder):
     batch = random_batches(6, days=1)[0]
     arrive(spark, f"{folder}/in", batch)
@@ -171,16 +220,16 @@ def test_ad_job(spark, folder):
     assert rows(stats) == rows(ads.stat_counts(clicks_of(spark, batch)))
 
 
-def test_shuffle_partitions_are_put_back(spark, folder):
+def test_shuffle_partitions_hold_in_the_stream(spark, folder):
     arrive(spark, f"{folder}/in", random_batches(7)[0])
+    seen = []
     spark.conf.set("spark.sql.shuffle.partitions", 300)
     try:
-        sink = TrendSink(f"{folder}/t")
-        panes = running_panes(parse_lines(file_lines(spark, f"{folder}/in")), 60, "1 hour")
-        run_available(panes, sink, f"{folder}/c", "update")
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "300"
+        clicks = parse_lines(file_lines(spark, f"{folder}/in"))
+        run_available(clicks, lambda df, _: seen.append(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), f"{folder}/c")
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert seen == ["300"]
 
 
 def test_materialize(spark):
