@@ -343,10 +343,9 @@ ORACLES: dict[str, str] = {
         f"SELECT {_DETAIL} FROM act a JOIN best ON a.session_id = best.session_id", _BEST
     ),
     "flow_steps": _with(
-        """SELECT CAST(row_number() OVER (ORDER BY a) AS INTEGER) AS step,
-          concat(CAST(a AS VARCHAR), '_', CAST(b AS VARCHAR)) AS pair
-        FROM (SELECT page_id AS a, lead(page_id) OVER (ORDER BY page_id) AS b
-              FROM (SELECT DISTINCT page_id FROM act)) WHERE b IS NOT NULL"""
+        """SELECT CAST(i AS INTEGER) AS step, concat(flow[i], '_', flow[i + 1]) AS pair FROM (
+          SELECT flow, unnest(range(1, len(flow))) AS i FROM (
+            SELECT string_split(concat_ws(',', page_id, order_category_ids, city_id), ',') AS flow FROM act))"""
     ),
     "page_pairs": _with("SELECT * FROM pp", _pairs()),
     "page_pairs_newest_first": _with(
@@ -418,7 +417,7 @@ ORACLES: dict[str, str] = {
     "number_round": f"""SELECT event_id, CAST(round({_V}, 2) AS DOUBLE) AS two,
         CAST(round({_V}, 1) AS DOUBLE) AS one, CAST(round({_V}, 0) AS DOUBLE) AS "none" FROM events""",
     "sql_functions": _with(
-        """SELECT area, product_id, click_count, city_infos,
+        """SELECT area, product_id, click_count, city_infos, city_infos AS city_infos_again,
           CASE WHEN status = '0' THEN 'Self' ELSE 'Third Party' END AS product_status FROM apf""",
         _AREA,
     ),
@@ -460,6 +459,11 @@ ORACLES: dict[str, str] = {
         """SELECT date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, adid,
           count(*) AS "clickCount" FROM ad GROUP BY ALL"""
     ),
+    "ad_job_trend": _with(
+        """SELECT date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, adid,
+          count(*) AS "clickCount" FROM ad GROUP BY ALL"""
+    ),
+    "ad_job_user_counts": _with('SELECT date, userid, adid, n AS "clickCount" FROM per', _DAILY),
     "ad_sliding_stream": _with(_SLIDING),
     "ad_loop_blacklist": _with("SELECT userid FROM listed", _LOOP),
     "ad_loop_stat": _with(_stat("kept", "prov"), _LOOP),

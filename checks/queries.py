@@ -16,6 +16,7 @@ from clickloom.functions import text, times
 from clickloom.functions.sql import register_sql_functions
 from clickloom.operators import ads, categories, funnel, regions, sampling, sessions, upsert
 from clickloom.params import TaskParams
+from clickloom.plans.ad_job import start_ad_job
 from clickloom.plans.funnel_job import page_conversion as page_conversion_job
 from clickloom.plans.region_job import area_top_products
 from clickloom.plans.session_jobs import SessionRun, ratio_statistics
@@ -249,10 +250,8 @@ def top10_session_detail(spark, sf):
 
 @query
 def flow_steps(spark, sf):
-    pages = D.actions(spark, sf).agg(
-        F.array_join(F.array_sort(F.collect_set("page_id")), ",").alias("flow")
-    )
-    return funnel.split_flow(pages, "flow")
+    flow = F.concat_ws(",", F.col("page_id").cast("string"), "order_category_ids", F.col("city_id").cast("string"))
+    return funnel.split_flow(D.actions(spark, sf).select(flow.alias("flow")), "flow")
 
 
 @query
@@ -424,8 +423,9 @@ def sql_functions(spark, sf):
     register_sql_functions(spark)
     return spark.sql(
         """SELECT area, product_id, count(*) AS click_count,
-                  group_concat_distinct(collect_set(concat_long_string(city_id, city_name, ':')))
-                    AS city_infos,
+                  listagg(DISTINCT concat_long_string(city_id, city_name, ':'), ',')
+                    WITHIN GROUP (ORDER BY concat_long_string(city_id, city_name, ':')) AS city_infos,
+                  concat_distinct(collect_list(concat_long_string(city_id, city_name, ':'))) AS city_infos_again,
                   max(if(get_json_field(extend_info, 'product_status') = '0',
                          'Self', 'Third Party')) AS product_status
            FROM {clicks} JOIN {cities} USING (city_id)
@@ -594,6 +594,26 @@ def ad_loop_top3(spark, sf):
     return _run_loop(spark, sf).top.latest(spark)
 
 
+def _run_job(spark, sf) -> str:
+    """The whole ad job over the click log; its folder of tables."""
+    folder = shared_folder(spark, "ad-job")
+    ad_log.format_lines(_no_spaces(D.ad_clicks(spark, sf))).write.text(f"{folder}/incoming")
+    lines = ad_log.file_lines(spark, f"{folder}/incoming")
+    for running in start_ad_job(lines, folder, THRESHOLD, every=None):
+        running.awaitTermination()
+    return f"{folder}/tables"
+
+
+@query
+def ad_job_user_counts(spark, sf):
+    return BlacklistLoop(_run_job(spark, sf)).user_counts.latest(spark)
+
+
+@query
+def ad_job_trend(spark, sf):
+    return TrendSink(_run_job(spark, sf)).trend.latest(spark)
+
+
 # --- keyed updates and tables --------------------------------------------------------
 
 

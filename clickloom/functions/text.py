@@ -37,7 +37,7 @@ def pad_two(value: Column | str) -> Column:
 def kv_get(record: Column | str, field: str, delimiter: str = "|") -> Column:
     """Value of ``field`` in a ``k=v|k=v`` record; null where absent or empty."""
     sep = re.escape(delimiter)
-    pattern = rf"(?:^|{sep}){re.escape(field)}=([^={sep}]+)=*(?:{sep}|$)"
+    pattern = rf"(?:^|{sep}){re.escape(field)}=((?:(?!{sep})[^=])+)=*(?:{sep}|$)"
     return F.nullif(F.regexp_extract(as_column(record), pattern, 1), F.lit(""))
 
 
@@ -64,8 +64,9 @@ def id_list(value: Column | str) -> Column:
 
 
 def json_field(document: Column | str, field: str) -> Column:
-    """Top-level field of a JSON string, as text; null for text that is no JSON."""
-    return F.get_json_object(as_column(document), f"$.{field}")
+    """Top-level field of a JSON string, as text; null for text that is no JSON. Dots and brackets
+    in ``field`` are part of the name; a name with a single quote cannot be asked for."""
+    return F.get_json_object(as_column(document), f"$['{field}']")
 
 
 def join_id_name(id_: Column | str, name: Column | str, separator: str = ":") -> Column:

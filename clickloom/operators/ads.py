@@ -116,7 +116,11 @@ def last_minutes(clicks: DataFrame, minutes: int = 60) -> DataFrame:
 
 
 def recent(trend: DataFrame, minutes: int = 60) -> DataFrame:
-    """Rows of a stored trend in the last ``minutes`` minutes, its newest included."""
+    """Rows of a stored trend in the last ``minutes`` minutes, its newest included. The bound is put on
+    the date first, by which the trend is stored."""
+    days = -(-minutes // 1440)
+    newest_date = F.to_date(trend.agg(F.max("date")).scalar())
+    trend = trend.where(F.col("date") >= F.date_format(F.date_sub(newest_date, days), DATE))
     text = F.concat("date", F.lit(" "), "hour", F.lit(":"), "minute", F.lit(":00"))
     timed = trend.withColumn("_at", text.cast("timestamp_ntz"))
     newest = timed.agg(F.max("_at")).scalar()

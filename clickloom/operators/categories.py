@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import predicates as P
-from clickloom.operators.skew import broadcast_up_to, top_per_group
+from clickloom.functions.text import id_list
+from clickloom.operators.skew import top_per_group
 
 KINDS = ("click", "order", "pay")
 
@@ -74,15 +73,18 @@ def category_counts_by_join(actions: DataFrame) -> DataFrame:
     return joined.na.fill(0, ["clickCount", "orderCount", "payCount"])
 
 
+def _tagged(kind: str, ids: Column) -> Column:
+    return F.transform(ids, lambda i: F.struct(F.lit(kind).alias("kind"), i.alias("categoryid")))
+
+
 def _kind_rows(actions: DataFrame, *keep: str) -> DataFrame:
-    """One row per (action, kind, category). Each kind's scan reads its own column only."""
-    kinds = (
-        ("click", _clicks(actions, *keep)),
-        ("order", _listed(actions, "order_category_ids", *keep)),
-        ("pay", _listed(actions, "pay_category_ids", *keep)),
-    )
-    tagged = [rows.withColumn("kind", F.lit(kind)) for kind, rows in kinds]
-    return reduce(DataFrame.unionByName, tagged)
+    """One row per (action, kind, category), from one scan. The lists are short, one per action."""
+    clicked = F.when(P.clicked(), F.array("click_category_id")).otherwise(F.array().cast("array<bigint>"))
+    listed = [F.coalesce(id_list(f"{k}_category_ids"), F.array().cast("array<bigint>")) for k in ("order", "pay")]
+    tagged = [_tagged(kind, ids) for kind, ids in zip(KINDS, (clicked, *listed))]
+    # The outer form: the other one adds a filter that makes the arrays a second time.
+    made = actions.select(*keep, F.explode_outer(F.concat(*tagged)).alias("of"))
+    return made.where(F.col("of").isNotNull()).select(*keep, "of.kind", "of.categoryid")
 
 
 def _kind_counts() -> list:
@@ -140,7 +142,7 @@ def category_rows(top: DataFrame, task_id: str) -> DataFrame:
 def in_categories(actions: DataFrame, categories: DataFrame, n: int = 10) -> DataFrame:
     """Clicks on the given ``n`` categories."""
     ids = categories.select(F.col("categoryid").alias("click_category_id"))
-    return actions.join(broadcast_up_to(ids, n), "click_category_id", "left_semi")
+    return actions.join(ids, "click_category_id", "left_semi")
 
 
 def category_session_clicks(actions: DataFrame) -> DataFrame:
@@ -154,7 +156,7 @@ def category_session_clicks(actions: DataFrame) -> DataFrame:
 
 def top_sessions(clicks: DataFrame, categories: DataFrame, n: int = 10) -> DataFrame:
     """For each of the ``n`` given categories the ``n`` sessions that click it most."""
-    ids = broadcast_up_to(categories.select("categoryid"), n)
+    ids = categories.select("categoryid")
     wanted = clicks.where(F.col("clickCount") > 0).join(ids, "categoryid")
     return top_per_group(
         wanted, ["categoryid"], [F.desc("clickCount"), F.asc("session_id")], n
@@ -175,7 +177,7 @@ def top_session_actions(
 ) -> DataFrame:
     """Actions of the top sessions: once per category that lists the session, or once
     with ``distinct``. ``top`` has ``n`` sessions for each of ``n`` categories."""
-    ids = broadcast_up_to(top.select("session_id"), n * n)
+    ids = top.select("session_id")
     if distinct:
         return actions.join(ids, "session_id", "left_semi")
     return actions.join(ids, "session_id").select(*actions.columns)

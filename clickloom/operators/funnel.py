@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import round_half_up
 from clickloom.functions.times import parse_time
-
-# Sessions are cut at multiples of this many seconds. An ordinary session has a few such
-# blocks; one that lasts for the whole table has 4,320 a month, sorted apart.
-BLOCK_SECONDS = 600
-
+from clickloom.operators.skew import heavy_keys, parts_for
+from clickloom.shared import materialize
 
 def _pair(first: Column, second: Column) -> Column:
     return F.concat_ws("_", first.cast("string"), second.cast("string"))
@@ -42,45 +41,66 @@ def flow_steps(spark: SparkSession, flow: str) -> DataFrame:
 def page_pairs(
     actions: DataFrame,
     tie: str | None = None,
-    block_seconds: int = BLOCK_SECONDS,
     newest_first: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Consecutive pages of each session in time order: ``(session_id, pair)``.
 
-    Equal times are ordered by ``tie`` and then by page. Each session is cut into blocks of
-    time, and pages are paired within a block first; then the last page of a block is
-    paired with the first page of the session's next block. A session of any size is so
-    sorted by many tasks, and what one task sees of it in the second step are two rows per block.
-    With ``newest_first`` the pages are read in falling time order, ties included.
+    Equal times are ordered by ``tie`` and then by page. With ``newest_first`` the pages are read
+    in falling time order, ties included.
+
+    A session is paired by one window. Sessions with more than ``1/parts`` of the actions, which are counted
+    first, are sorted by ranges of (session, time, tie, page) instead, so that even one second of
+    one session is cut; the ranges are stored, paired within, and stitched by the first and last page
+    of each. What one task sees of a session in that step are two rows per range.
     """
     time = parse_time("action_time")
-    second = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), time)
     keys = ["_time"] + ([tie] if tie else []) + ["page_id"]
     way = F.desc if newest_first else F.asc
     order = [way(k) for k in keys]
-    rows = actions.select(
-        "session_id",
-        "page_id",
-        time.alias("_time"),
-        *([tie] if tie else []),
-        F.floor(second / block_seconds).alias("_block"),
-    )
-    in_block = Window.partitionBy("session_id", "_block").orderBy(*order)
+    rows = actions.select("session_id", "page_id", time.alias("_time"), *([tie] if tie else []))
+    next_page = F.lead("page_id").over(Window.partitionBy("session_id").orderBy(*order))
+    last = F.lead(F.lit(1)).over(Window.partitionBy("session_id").orderBy(*order)).isNull()
+    pair = _pair(F.col("page_id"), F.col("_next")).alias("pair")
+
+    heavy = heavy_keys(actions, "session_id", parts=parts).select("session_id")
+    heavy = heavy.unionAll(_crowded_null(actions, parts))
+    if heavy.isEmpty():
+        paired = rows.withColumn("_next", next_page).withColumn("_end", last)
+        return paired.where(~F.col("_end")).select("session_id", pair)
+    hot = F.broadcast(heavy.select(F.col("session_id").alias("_hot")))
+    same = F.col("session_id").eqNullSafe(F.col("_hot"))
+    light = rows.join(hot, same, "left_anti").withColumn("_next", next_page).withColumn("_end", last)
+
+    # Stored, because the number of a range means nothing in another evaluation.
+    ranges = int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.join(hot, same, "left_semi").repartitionByRange(ranges, "session_id", *order)
+    cut = materialize(cut.withColumn("_range", F.spark_partition_id()), "hot-sessions")
+    within = Window.partitionBy("session_id", "_range").orderBy(*order)
     seen = (
-        rows.withColumn("_next", F.lead("page_id").over(in_block))
-        .withColumn("_first", F.row_number().over(in_block) == 1)
-        .withColumn("_last", F.lead(F.lit(1)).over(in_block).isNull())
+        cut.withColumn("_next", F.lead("page_id").over(within))
+        .withColumn("_first", F.row_number().over(within) == 1)
+        .withColumn("_last", F.lead(F.lit(1)).over(within).isNull())
     )
     inside = seen.where(~F.col("_last"))
-    across = Window.partitionBy("session_id").orderBy(way("_block"), *order)
+    across = Window.partitionBy("session_id").orderBy("_range", F.desc("_first"))
+    # A range with one row of the session is its first and last at once.
     edges = (
         seen.where(F.col("_first") | F.col("_last"))
         .withColumn("_next", F.lead("page_id").over(across))
         .withColumn("_more", F.lead(F.lit(1)).over(across).isNotNull())
         .where(F.col("_last") & F.col("_more"))
     )
-    pair = _pair(F.col("page_id"), F.col("_next")).alias("pair")
-    return inside.select("session_id", pair).unionAll(edges.select("session_id", pair))
+    found = (light.where(~F.col("_end")), inside, edges)
+    return reduce(DataFrame.unionAll, [part.select("session_id", pair) for part in found])
+
+
+def _crowded_null(actions: DataFrame, parts: int | None) -> DataFrame:
+    """One row, a null, if the actions without a session are as many as a heavy session's."""
+    parts = parts or parts_for(actions.sparkSession)
+    counted = actions.agg(F.count("*").alias("n"), F.count_if(F.col("session_id").isNull()).alias("null"))
+    kind = actions.schema["session_id"].dataType
+    return counted.where(F.col("null") * parts > F.col("n")).select(F.lit(None).cast(kind).alias("session_id"))
 
 
 def pair_counts(pairs: DataFrame, flow: str) -> DataFrame:

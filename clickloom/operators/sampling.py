@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.times import DATE, format_time
 from clickloom.operators.sessions import aggregate_sessions
-from clickloom.operators.skew import broadcast_up_to, top_per_group
+from clickloom.operators.skew import top_per_group
 
 
 def with_hour(sessions: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "42") ->
 def sample_actions(actions: DataFrame, sample: DataFrame, total: int = 100) -> DataFrame:
     """Actions of the sampled sessions. The quotas add up to ``total`` at most, so the ids
     are broadcast unless that is large."""
-    ids = broadcast_up_to(sample.select("session_id"), total)
+    ids = sample.select("session_id")
     return actions.join(ids, "session_id", "left_semi")
 
 

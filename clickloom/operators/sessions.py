@@ -11,6 +11,8 @@ from clickloom.functions.times import format_time, parse_time
 from clickloom.operators.skew import heavy_keys, salted_join
 from clickloom.params import TaskParams
 
+_WANTED = "wanted"  # metadata of a match column
+
 # Result column, lower bound, upper bound (none: open), both inclusive.
 # A session of zero seconds is in no visit-length bucket.
 VISIT_LENGTHS = (
@@ -43,7 +45,9 @@ def aggregate_sessions(actions: DataFrame, params: TaskParams = TaskParams()) ->
     """One row per session.
 
     Whether a session matches the keyword and category filters is decided by an aggregate
-    of its own, so plans that need only the match never gather the lists.
+    of its own, so plans that need only the match never gather the lists. The match columns
+    say in their metadata which values they were made for. The lists of a session are one value: a
+    session with very many different keywords has one very long row.
     """
     time = parse_time("action_time")
     keyword = F.nullif("search_keyword", F.lit(""))
@@ -56,11 +60,15 @@ def aggregate_sessions(actions: DataFrame, params: TaskParams = TaskParams()) ->
         F.min(time).alias("start_time"),
         F.timestamp_diff("SECOND", F.min(time), F.max(time)).alias("visit_length"),
         F.count(F.lit(1)).alias("step_length"),
-        F.bool_or(P.one_of(keyword, params.keywords)).alias("keyword_match"),
-        F.bool_or(P.one_of(category, params.category_ids)).alias("category_match"),
+        _match(keyword, params.keywords, "keyword_match"),
+        _match(category, params.category_ids, "category_match"),
     )
 
 
+def _match(value: Column, wanted: str | None, name: str) -> Column:
+    return F.bool_or(P.one_of(value, wanted)).alias(name, metadata={_WANTED: wanted or ""})
+
+
 def user_filter(params: TaskParams) -> Column:
     """The conditions on the user."""
     return (
@@ -71,22 +79,43 @@ def user_filter(params: TaskParams) -> Column:
     )
 
 
-def session_filter() -> Column:
-    """The conditions on what happened in the session."""
-    return F.col("keyword_match") & F.col("category_match")
+def session_filter(sessions: DataFrame, params: TaskParams) -> Column:
+    """The conditions on what happened in the session.
+
+    A match column is used if it was made for the same values; else the session's list is looked
+    through, and without a list there is no telling.
+    """
+    return _matches(sessions, "keyword_match", "search_keywords", params.keywords) & _matches(
+        sessions, "category_match", "click_category_ids", params.category_ids
+    )
+
+
+def _matches(sessions: DataFrame, match: str, values: str, wanted: str | None) -> Column:
+    if match in sessions.columns and sessions.schema[match].metadata.get(_WANTED) == (wanted or ""):
+        return F.col(match)
+    if values in sessions.columns or not wanted:
+        return P.any_of(values, wanted)
+    raise ValueError(f"sessions have neither {values} nor {match} for {wanted!r}")
+
 
+def join_users(sessions: DataFrame, users: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+    """Add age, professional, city and sex; sessions of unknown users drop.
 
-def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
-    """Add age, professional, city and sex; sessions of unknown users drop."""
+    ``heavy`` are the users with very many sessions, where these are stored and so cheaply counted.
+    Without them the sessions are made once, and adaptive execution splits a hot user's partition.
+    """
     users = users.select("user_id", "age", "professional", "city", "sex")
-    return salted_join(
-        sessions, users, "user_id", "inner", heavy_keys(sessions, "user_id"), ["session_id"]
-    )
+    if heavy is None:
+        return sessions.join(users, "user_id")
+    return salted_join(sessions, users, "user_id", "inner", heavy, ["session_id"])
 
 
-def filter_sessions(sessions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+def filter_sessions(
+    sessions: DataFrame, users: DataFrame, params: TaskParams, heavy: DataFrame | None = None
+) -> DataFrame:
     """Sessions, with their user's columns, that satisfy all six conditions."""
-    return join_users(sessions.where(session_filter()), users.where(user_filter(params)))
+    kept = sessions.where(session_filter(sessions, params))
+    return join_users(kept, users.where(user_filter(params)), heavy)
 
 
 def format_sessions(sessions: DataFrame) -> DataFrame:
@@ -120,7 +149,7 @@ def filtered_histogram(sessions: DataFrame, users: DataFrame, params: TaskParams
     semi-join below the aggregate, back onto the single sessions.
     """
     names = ["session_count"] + [name for name, *_ in BUCKETS]
-    per_user = sessions.where(session_filter()).groupBy("user_id").agg(*_bucket_counts())
+    per_user = sessions.where(session_filter(sessions, params)).groupBy("user_id").agg(*_bucket_counts())
     kept = per_user.join(users.where(user_filter(params)).select("user_id"), "user_id")
     return kept.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 

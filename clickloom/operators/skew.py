@@ -7,30 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# No more pieces than this, so that lists of heavy keys stay small enough to broadcast.
-MAX_PARTS = 65_536
-
-# ``row_number() <= n`` is cut off before the shuffle up to this n
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
-
-# Most rows a relation may be promised to have and be broadcast unseen.
-BROADCAST_ROWS = 100_000
-
 _SALT = "_salt"
 _SALTS = "_salts"
 
 
-def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast ``df``, which has at most ``rows`` rows by construction, if that is few;
-    else leave the choice to Spark, which goes by measured size."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def parts_for(spark: SparkSession) -> int:
     """Into how many pieces to think a relation cut: sixteen per shuffle partition, so that
     no piece, nor any key left whole, is more than a small part of a partition."""
-    return min(MAX_PARTS, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def heavy_keys(
@@ -39,8 +23,9 @@ def heavy_keys(
     """``(key, _salts)`` of the keys that hold more than ``1/parts`` of the rows (or of
     ``weight``), with the number of pieces to cut each into.
 
-    Shares sum to one, so there are fewer than ``parts`` such keys whatever the data:
-    the result may always be broadcast.
+    Shares sum to one, so there are fewer than ``parts`` such keys whatever the data. The list
+    grows with the number of shuffle partitions and not with the rows: at 200,000 partitions it
+    could have 3.2 million keys, some 100 MB, if nearly all rows were in keys of that size.
     """
     parts = parts or parts_for(df.sparkSession)
     weight = F.lit(1) if weight is None else weight
@@ -63,12 +48,16 @@ def salted_join(
     """Equi-join of ``many`` with ``one`` (unique on ``key``) with the heavy keys split.
 
     Rows of a heavy key are spread by a hash of the ``spread`` columns over its pieces, and
-    its single ``one`` row is repeated per piece: at most ``2 * MAX_PARTS`` extra rows. ``how`` is
-    any type that keeps each ``many`` row apart (inner, left, left_semi, left_anti).
+    its single ``one`` row is repeated per piece: at most twice as many extra rows as ``heavy`` counts
+    pieces in all. Rows of null key, which match nothing, are spread as well. ``how`` is
+    any type that keeps each ``many`` row apart (inner, left, left_semi, left_anti). ``heavy`` has
+    the bound that ``heavy_keys`` states, and is broadcast on that ground.
     """
     heavy = F.broadcast(heavy)
-    piece = F.pmod(F.xxhash64(*spread), F.col(_SALTS)).cast("int")
-    salt = F.when(F.col(_SALTS).isNotNull(), piece).otherwise(0)
+    hashed = F.xxhash64(*spread)
+    piece = F.pmod(hashed, F.col(_SALTS)).cast("int")
+    loose = F.pmod(hashed, F.lit(parts_for(many.sparkSession))).cast("int")
+    salt = F.when(F.col(key).isNull(), loose).when(F.col(_SALTS).isNotNull(), piece).otherwise(0)
     salted = many.join(heavy, key, "left").withColumn(_SALT, salt).drop(_SALTS)
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
     repeated = one.join(heavy, key, "left").withColumn(_SALT, copies).drop(_SALTS)
@@ -80,10 +69,10 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group in ``order``, numbered from 1 in ``rank``.
 
-    Every map task passes on at most ``n`` rows of a group. Catalyst plans it so for small
-    ``n``; above its limit the cut is made in two steps, the first over random pieces.
+    Every map task passes on at most ``n`` rows of a group. Catalyst plans it so up to the session's
+    limit for ``n``; above it the cut is made in two steps, the first over random pieces.
     """
-    if n > GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         pieces = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(parts_for(df.sparkSession))))
         first = Window.partitionBy(*group, _SALT).orderBy(*order)
         df = (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import categories, sampling, sessions
 from clickloom.operators.skew import heavy_keys
 from clickloom.params import TaskParams
-from clickloom.shared import materialize
+from clickloom.shared import Scratch
 from clickloom.sources.tables import in_date_range
 
 Sink = Callable[[str, DataFrame], None]
@@ -33,7 +33,8 @@ class SessionRun:
 
     Each shared relation is worked out and written to shared storage when first asked for;
     the actions are then scanned once for it however many results (or parts of one result)
-    use it.
+    use it. As a context manager the run removes what it stored at its end; results
+    that are read later need a run without one, or ``close`` by hand.
     """
 
     def __init__(
@@ -49,39 +50,51 @@ class SessionRun:
         self.params = params
         self.total = total
         self.seed = seed
+        self.scratch = Scratch(actions.sparkSession, "session-run")
+
+    def __enter__(self) -> SessionRun:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Remove the stored relations; results that read them can be read no more."""
+        self.scratch.close()
 
     @cached_property
     def sessions(self) -> DataFrame:
         """All sessions, without the lists that only sampled ones need."""
         found = sessions.aggregate_sessions(self.actions, self.params).drop(*LISTS)
-        return materialize(found, "sessions")
+        return self.scratch.keep(found, "sessions")
 
     @cached_property
     def filtered(self) -> DataFrame:
         """The sessions the filters keep."""
-        kept = sessions.filter_sessions(self.sessions, self.users, self.params)
-        return materialize(kept, "filtered")
+        heavy = heavy_keys(self.sessions, "user_id")
+        kept = sessions.filter_sessions(self.sessions, self.users, self.params, heavy)
+        return self.scratch.keep(kept, "filtered")
 
     @cached_property
     def counts(self) -> DataFrame:
         """Clicks, orders and payments per filtered session and category."""
         found = categories.session_category_counts(self.actions)
-        return materialize(categories.keep_sessions(found, self.filtered), "counts")
+        return self.scratch.keep(categories.keep_sessions(found, self.filtered), "counts")
 
     @cached_property
     def top_categories(self) -> DataFrame:
         found = categories.top_categories(categories.sum_categories(self.counts))
-        return materialize(found, "categories")
+        return self.scratch.keep(found, "categories")
 
     @cached_property
     def top_sessions(self) -> DataFrame:
         found = categories.top_sessions(self.counts, self.top_categories)
-        return materialize(found, "top-sessions")
+        return self.scratch.keep(found, "top-sessions")
 
     @cached_property
     def sample(self) -> DataFrame:
         found = sampling.sample_sessions(self.filtered, self.total, self.seed)
-        return materialize(found, "sample")
+        return self.scratch.keep(found, "sample")
 
     def filtered_actions(self) -> DataFrame:
         """All actions of the filtered sessions."""

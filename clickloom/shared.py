@@ -25,6 +25,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run below one folder on shared storage, which goes with ``close``."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark = spark
+        self.folder = shared_folder(spark, label)
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` and read it back."""
+        path = f"{self.folder}/{label}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        remove(self.spark, self.folder)
+
+
 def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place

@@ -86,6 +86,11 @@ def test_kv_get(spark, record, field, expected):
     assert one(spark, text.kv_get(F.lit(record).cast("string"), field)) == (expected,)
 
 
+def test_kv_get_with_a_long_delimiter(spark):
+    assert one(spark, text.kv_get(F.lit("a=x:y::b=2"), "a", "::")) == ("x:y",)
+    assert one(spark, text.kv_get(F.lit("a=x:y::b=2"), "b", "::")) == ("2",)
+
+
 @pytest.mark.parametrize(
     "record, expected", [("a=1|b=2", "a=9|b=2"), ("b=2", "b=2"), ("ab=1|a=", "ab=1|a=9")]
 )
@@ -105,6 +110,8 @@ def test_json_field(spark):
     assert get('{"product_status": 0}') == "0"
     assert get('{"other": 0}') is None
     assert get("{broken") is None
+    dotted = text.json_field(F.lit('{"a.b": 1, "a": {"b": 2}, "c[0]": 3}'), "a.b")
+    assert one(spark, dotted) == ("1",)
     assert get(None) is None
 
 
@@ -120,8 +127,8 @@ def test_group_concat_distinct_keeps_values_inside_others(spark):
 def test_sql_functions(spark):
     register_sql_functions(spark)
     got = spark.sql(
-        """SELECT concat_long_string(1, 'a', ':') AS a, get_json_field('{"f": 3}', 'f') AS f,
-                  group_concat_distinct(collect_set(x)) AS g
+        """SELECT concat_long_string(1, 'a', ':') AS a, get_json_field('{"f.g": 3}', 'f.g') AS f,
+                  concat_distinct(collect_list(x)) AS g
            FROM VALUES ('b'), ('a'), ('b'), (null) AS t(x)"""
     ).first()
     assert tuple(got) == ("1:a", "3", "a,b")

@@ -1,7 +1,9 @@
+import collections
 import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.operators import funnel
 from clickloom.params import TaskParams
@@ -35,20 +37,44 @@ def as_actions(make_actions, visits):
     )
 
 
-@pytest.mark.parametrize("block", [1, 7, 60, 3600, 10**9])
+@pytest.mark.parametrize("parts", [1, 2, 30, 10**6])
 @pytest.mark.parametrize("newest_first", [False, True])
-def test_pairs_do_not_depend_on_blocks(make_actions, block, newest_first):
-    dice = random.Random(block)
+def test_pairs_do_not_depend_on_what_is_heavy(make_actions, parts, newest_first):
+    dice = random.Random(parts)
     visits = [
         (dice.choice(["hot"] * 4 + ["a", "b", "c"]), dice.randrange(200), dice.randrange(5))
         for _ in range(150)
     ] + [("gap", 0, 1), ("gap", 90_000, 2), ("gap", 90_000, 3), ("single", 5, 1)]
     pairs = funnel.page_pairs(
-        as_actions(make_actions, visits), block_seconds=block, newest_first=newest_first
+        as_actions(make_actions, visits), newest_first=newest_first, parts=parts
     )
     assert rows(pairs) == brute_force(visits, newest_first)
 
 
+def test_one_second_of_one_session_is_cut(spark):
+    """400,000 actions at one time: the pairs come from all tasks and are those of the ties' order."""
+    n = 400_000
+    actions = spark.range(n, numPartitions=8).selectExpr(
+        "'bot' AS session_id", "(id * 7) % 11 AS page_id", "'2024-01-01 10:00:00' AS action_time", "id AS tie"
+    )
+    pairs = funnel.page_pairs(actions, "tie")
+    got = {r["pair"]: r["count"] for r in pairs.groupBy("pair").count().collect()}
+    want = collections.Counter(f"{i * 7 % 11}_{(i + 1) * 7 % 11}" for i in range(n - 1))
+    assert got == want
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = funnel.page_pairs(actions, "tie").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(r["count"] for r in tasks) < 0.8 * n and sum(r["count"] for r in tasks) == n - 1
+
+
+def test_actions_without_a_session_are_one_session(make_actions):
+    visits = [(None, t, t % 3) for t in range(30)] + [("a", 0, 1), ("a", 1, 2)]
+    for parts in (2, 10**6):
+        assert rows(funnel.page_pairs(as_actions(make_actions, visits), parts=parts)) == brute_force(visits)
+
+
 def test_equal_times_follow_the_tie_column(make_actions):
     actions = make_actions({"page_id": 1, "city_id": 2}, {"page_id": 2, "city_id": 1})
     assert rows(funnel.page_pairs(actions, "city_id")) == [("s", "2_1")]

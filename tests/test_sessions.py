@@ -1,12 +1,15 @@
 import datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings
+import pytest
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clickloom.operators import sampling, sessions
 from clickloom.params import TaskParams
 from clickloom.plans.session_jobs import SessionRun, ratio_statistics
+from clickloom.shared import names_in
 from tests.conftest import rows
 
 START = datetime.datetime(2024, 1, 1, 9, 5, 3)
@@ -79,6 +82,11 @@ def test_filter(make_actions, make_users):
         sessions.aggregate_sessions(actions, nobody), users, nobody
     )
     assert everyone.count() == 4
+    # Sessions made without parameters are filtered by their lists; without lists there is no telling.
+    plain = sessions.aggregate_sessions(actions)
+    assert rows(sessions.filter_sessions(plain, users, params).select("session_id")) == [("keeps",)]
+    with pytest.raises(ValueError):
+        sessions.filter_sessions(plain.drop("search_keywords"), users, params)
     assert rows(sessions.session_actions(actions, kept).select("search_keyword")) == [("b",), (None,)]
 
 
@@ -182,6 +190,20 @@ def test_run_writes_all_results(spark, make_actions, make_users):
     assert len(written["top10_session_detail"]) == 30 * 10
 
 
+def test_run_removes_what_it_stored(spark, make_actions, make_users):
+    users = make_users({"user_id": 1, "sex": "male"})
+    with SessionRun(make_actions({"click_category_id": 1}), users) as run:
+        run.run("t", lambda table, df: df.collect())
+        assert names_in(spark, run.scratch.folder)
+    assert names_in(spark, run.scratch.folder) == []
+
+
+def test_users_are_joined_to_sessions_made_once(make_actions, make_users):
+    joined = sessions.join_users(sessions.aggregate_sessions(make_actions({})), make_users({"user_id": 1}))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
 def test_run_in_which_nothing_matches(make_actions, make_users):
     written = {}
     params = TaskParams(sex="female")

@@ -51,6 +51,23 @@ def test_heavy_key_is_spread(spark, many, monkeypatch):
     assert max(r["count"] for r in tasks) < 600
 
 
+def test_rows_without_a_key_are_spread(spark):
+    many = spark.range(4000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("key"), "id")
+    one = spark.range(0, 4000, 20).select(F.col("id").alias("key"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        joined = skew.salted_join(many, one, "key", "left_anti", skew.heavy_keys(many, "key"), ["id"])
+        tasks = joined.where("key IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert joined.count() == 3800
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert max(r["count"] for r in tasks) < 800
+
+
 def test_top_per_group_in_two_steps_equals_one(many):
     one_step = skew.top_per_group(many, ["key"], [F.desc("id")], 1000).where("key = -1")
     two_steps = skew.top_per_group(many, ["key"], [F.desc("id")], 1001).where("key = -1")
