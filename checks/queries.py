@@ -423,12 +423,12 @@ def sql_functions(spark, sf):
     register_sql_functions(spark)
     return spark.sql(
         """SELECT area, product_id, count(*) AS click_count,
-                  listagg(DISTINCT concat_long_string(city_id, city_name, ':'), ',')
-                    WITHIN GROUP (ORDER BY concat_long_string(city_id, city_name, ':')) AS city_infos,
-                  concat_distinct(collect_list(concat_long_string(city_id, city_name, ':'))) AS city_infos_again,
+                  listagg(DISTINCT city, ',') WITHIN GROUP (ORDER BY city) AS city_infos,
+                  concat_distinct(collect_list(city)) AS city_infos_again,
                   max(if(get_json_field(extend_info, 'product_status') = '0',
                          'Self', 'Third Party')) AS product_status
-           FROM {clicks} JOIN {cities} USING (city_id)
+           FROM (SELECT *, concat_long_string(city_id, city_name, ':') AS city
+                 FROM {clicks} JOIN {cities} USING (city_id))
            JOIN {products} ON click_product_id = product_id
            GROUP BY area, product_id""",
         clicks=tables.click_scan(D.actions(spark, sf)),
