@@ -11,14 +11,15 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
 from clickloom.llm.common import WordIds, fresh, hashes64, mix, partitions, per_slice
 from clickloom.operators.skew import salted_join
@@ -29,8 +30,8 @@ SIMILAR = 0.8
 # A pair of 0.8 similarity shares a band with 1 - (1 - 0.8^6)^32 = 0.99994.
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-# Members of a bucket compared with all others of it in one round.
-REFERENCES = 64
+# Shingles of a bucket's members that one task compares with as many others.
+PIECE = 1_000_000
 # Shingles worked on at once in a task.
 GROUP = 400_000
 
@@ -206,10 +207,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     Repeated rows are copies. Rows of null id are not compared: their ``rep`` and ``class_id`` are null.
 
     Copies are set aside first, so of a group of equal texts one goes on. In a bucket every member is
-    compared with the member that shares most buckets. Then, while a bucket has members of several
-    classes, up to ``REFERENCES`` members outside its largest class are compared with all of other
-    classes, until each has been: no pair of different classes in a bucket is left uncompared, no pair within a class is
-    made for its own sake, and a round's rows grow with the members, not with their square.
+    compared with the member that shares most buckets, which joins most of a group at once. Where a bucket
+    still has members of several classes, those outside its largest are compared with all
+    of the other classes, in pieces of bounded size that give out only links that join classes: no candidate of a different class is left
+    uncompared, and the rows grow with the members of buckets and not with their pairs.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -243,33 +244,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     pairs = salted_join(ranked.select("bucket", "id"), centre.drop("n"), "bucket", "inner", hot, ["id"])
     pairs = _ordered(pairs.where(F.col("id") != F.col("centre")), "id", "centre")
     links = materialize(_verified(pairs, wanted, similar), "near-links")
-    compared = materialize(pairs, "near-compared")
-    done = ranked.where(F.lit(False)).select("bucket", "id")
-    while True:
-        labels = _smallest_linked(nodes.select("id"), links, "near")
-        placed = ranked.select("bucket", "id").join(labels, "id")
-        # The class of the centre stands for the largest one.
-        mixed = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
-        mixed = mixed.where(F.col("low") != F.col("high")).select("bucket", "n")
-        main = centre.select("bucket", F.col("centre").alias("id")).join(labels, "id").select("bucket", F.col("comp").alias("main"))
-        mixed = materialize(mixed.join(main, "bucket"), "near-mixed")
-        hot = _hot(mixed, "bucket", max(total, 1) * BANDS, parts)
-        open_ = materialize(salted_join(placed, mixed.drop("n"), "bucket", "inner", hot, ["id"]), "near-open")
-        outside = open_.where(F.col("comp") != F.col("main")).join(done, ["bucket", "id"], "left_anti")
-        order = Window.partitionBy("bucket").orderBy("id")
-        chosen = outside.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= REFERENCES)
-        chosen = materialize(chosen.select("bucket", F.col("id").alias("other"), F.col("comp").alias("other_comp")), "near-chosen")
-        if chosen.isEmpty():
-            break
-        lists = chosen.groupBy("bucket").agg(F.collect_list(F.struct("other", "other_comp")).alias("others"))
-        lists = lists.join(mixed.select("bucket", "n"), "bucket")
-        against = salted_join(open_.select("bucket", "id", "comp"), lists.drop("n"), "bucket", "inner", hot, ["id"])
-        against = against.select("id", "comp", F.explode("others").alias("o")).where(F.col("comp") != F.col("o.other_comp"))
-        pairs = _ordered(against, "id", "o.other").join(compared, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "near-pairs")
-        links = links.unionAll(materialize(_verified(pairs, wanted, similar), "near-links"))
-        compared = compared.unionAll(pairs)
-        done = done.unionAll(chosen.select("bucket", F.col("other").alias("id")))
+    labels = _smallest_linked(nodes.select("id"), links, "near")
+    links = links.unionAll(_across_classes(ranked, centre, labels, wanted, total, similar))
+    labels = _smallest_linked(nodes.select("id"), materialize(links, "near-links"), "near")
 
     named = labels.select(F.col("id").alias("rep"), F.col("comp"))
     classes = groups.select("rep", "n").join(named, "rep", "left")
@@ -280,6 +257,127 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     return found.select("id", "rep", "class_id").unionAll(nameless.select("id", none.alias("rep"), none.alias("class_id")))
 
 
+def _joining(rows: dict[str, list], similar: float) -> list[tuple[int, int]]:
+    """Links between the ``outside`` rows and all others of another class, without those between classes
+    that other links have joined already.
+
+    Shared shingles are counted through an inverted list of the outside rows'. The weighted similarity is the
+    plain one where no shingle repeats; else it is at most the sum over shared shingles of the smaller of their two
+    shares, and only worked out where that is enough.
+    """
+    bags = [np.unique(np.frombuffer(bag, dtype=np.uint64), return_counts=True) for bag in rows["bag"]]
+    shares = [count / count.sum() for _, count in bags]
+    out = [i for i, o in enumerate(rows["outside"]) if o]
+    if not out:
+        return []
+    codes, weights = np.concatenate([bags[i][0] for i in out]), np.concatenate([shares[i] for i in out])
+    sizes, classes = np.array([len(bags[i][0]) for i in out]), np.array([rows["comp"][i] for i in out])
+    plain = np.array([bool((count == 1).all()) for _, count in bags])
+    plain_out = plain[out]
+    order = np.argsort(codes, kind="stable")
+    owner = np.repeat(np.arange(len(out)), sizes)[order]
+    codes, weights = codes[order], weights[order]
+    parent = {c: c for c in rows["comp"]}
+
+    def top(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    found = []
+    for j, (code, _) in enumerate(bags):
+        if rows["twin"][j]:
+            continue
+        low, high = np.searchsorted(codes, code, side="left"), np.searchsorted(codes, code, side="right")
+        hits = high - low
+        at = np.repeat(low - np.cumsum(hits) + hits, hits) + np.arange(hits.sum())
+        shared = np.bincount(owner[at], minlength=len(out))
+        most = np.bincount(owner[at], weights=np.minimum(weights[at], np.repeat(shares[j], hits)), minlength=len(out))
+        even = shared / (sizes + len(code) - shared) >= similar
+        weigh = (most >= similar - 1e-9) & ~(plain_out & plain[j])
+        for k in np.flatnonzero((even | weigh) & (classes != rows["comp"][j])):
+            i = out[k]
+            x, y = top(rows["comp"][i]), top(rows["comp"][j])
+            if x != y and (even[k] or similarity(bags[i], bags[j])[1] >= similar):
+                parent[x] = y
+                found.append((min(rows["id"][i], rows["id"][j]), max(rows["id"][i], rows["id"][j])))
+    return found
+
+
+def _across_classes(ranked: DataFrame, centre: DataFrame, labels: DataFrame, texts: DataFrame, total: int, similar: float) -> DataFrame:
+    """Links ``(a, b)`` that join classes, of all pairs of members of different classes in a bucket.
+
+    The class of a bucket's centre stands for its largest; at least one of such a pair is outside of it.
+    A bucket is dealt into pieces by ``PIECE`` shingles of those outside and ``PIECE`` of all.
+    """
+    parts = 16 * partitions(ranked.sparkSession)
+    placed = ranked.select("bucket", "id").join(labels, "id")
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
+    mixed = mixed.where(F.col("low") != F.col("high")).select("bucket", "n")
+    main = centre.select("bucket", F.col("centre").alias("id")).join(labels, "id").select("bucket", F.col("comp").alias("main"))
+    mixed = materialize(mixed.join(main, "bucket"), "near-mixed")
+    hot = _hot(mixed, "bucket", max(total, 1) * BANDS, parts)
+    open_ = salted_join(placed, mixed.select("bucket", "main"), "bucket", "inner", hot, ["id"])
+    open_ = open_.select("bucket", "id", "comp", (F.col("comp") != F.col("main")).alias("outside"))
+    open_ = materialize(open_, "near-open")
+    bags = _bags(texts.join(open_.select("id").distinct(), "id", "left_semi"))
+    bags = materialize(bags, "near-bags")
+
+    sized = open_.join(bags.select("id", "n_shingles"), "id")
+    size = F.col("n_shingles")
+    pieces = lambda n: F.ceil(n / PIECE).cast("int")
+    dealt = sized.groupBy("bucket").agg(
+        pieces(F.sum(F.when(F.col("outside"), size))).alias("n_left"), pieces(F.sum(size)).alias("n_right"),
+        F.sum(size).alias("shingles"), F.count("*").alias("n"),
+    )
+    dealt = materialize(dealt, "near-dealt")
+    rows = salted_join(open_, dealt.drop("n", "shingles"), "bucket", "inner", _hot(dealt, "bucket", max(total, 1) * BANDS, parts), ["id"])
+    left, right = (F.pmod(F.xxhash64(F.lit(side), "id"), F.col(f"n_{side}")).cast("int") for side in ("left", "right"))
+    every = lambda side: F.sequence(F.lit(0), F.col(f"n_{side}") - 1)
+    # In its own piece an outside row is both: elsewhere it stands on one side only.
+    as_right = F.transform(every("left"), lambda i: F.struct(i.alias("left"), right.alias("right")))
+    as_left = F.when(F.col("outside"), F.transform(every("right"), lambda i: F.struct(left.alias("left"), i.alias("right"))))
+    places = F.array_distinct(F.concat(as_right, F.coalesce(as_left, F.array().cast("array<struct<left:int,right:int>>"))))
+    rows = rows.select("bucket", "id", "comp", "outside", left.alias("own_left"), right.alias("own_right"), F.explode(places).alias("at"))
+    rows = rows.select(
+        "bucket", "id", "comp", "at.left", "at.right",
+        (F.col("outside") & (F.col("own_left") == F.col("at.left"))).alias("outside"),
+        (F.col("own_right") != F.col("at.right")).alias("twin"),
+    )
+    # Pieces are small as a rule: about ``PIECE`` shingles of them go to a task's call at once.
+    whole = dealt.agg(F.sum(F.col("shingles") * F.col("n_left"))).first()[0] or 0
+    calls = F.lit(max(partitions(ranked.sparkSession), -(-whole // PIECE)))
+    call = F.pmod(F.xxhash64("bucket", "left", "right"), calls).alias("call")
+    schema = StructType().add("a", LongType()).add("b", LongType())
+    names = to_arrow_schema(schema)
+
+    def compare(pieces: pa.Table) -> pa.Table:
+        columns = pieces.to_pydict()
+        place = defaultdict(list)
+        for i, key in enumerate(zip(columns["bucket"], columns["left"], columns["right"])):
+            place[key].append(i)
+        found = []
+        for own in place.values():
+            found += _joining({c: [columns[c][i] for i in own] for c in ("id", "comp", "outside", "twin", "bag")}, similar)
+        return pa.Table.from_pydict({"a": [f[0] for f in found], "b": [f[1] for f in found]}, schema=names)
+
+    rows = rows.join(bags.select("id", "bag"), "id").select("*", call)
+    return rows.groupBy("call").applyInArrow(compare, schema)
+
+
+def _bags(texts: DataFrame) -> DataFrame:
+    """``(id, n_shingles, bag)``: the shingle hashes of each text, ascending and with repetitions."""
+
+    def work(values: list[str]) -> dict:
+        doc, code, weight, _ = shingles(values)
+        ends = np.searchsorted(doc, np.arange(len(values) + 1))
+        own = [np.repeat(code[s:e], weight[s:e]) for s, e in zip(ends, ends[1:])]
+        return {"n_shingles": [len(x) for x in own], "bag": [x.tobytes() for x in own]}
+
+    schema = StructType().add("n_shingles", LongType()).add("bag", BinaryType())
+    return per_slice(texts, "text", schema, work, ["id"])
+
+
 def _hot(counts: DataFrame, key: str, total: int, parts: int) -> DataFrame:
     """``(key, _salts)`` of the keys with more than a ``parts``-th of ``total`` rows; fewer than ``parts``."""
     pieces = F.greatest(F.lit(2), F.ceil(F.col("n") * parts / total)).cast("int")

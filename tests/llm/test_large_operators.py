@@ -217,9 +217,9 @@ def test_classes_match_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == classes_by_force(texts)
 
 
-def test_a_full_bucket_is_compared_in_rounds(spark, monkeypatch):
-    """With one reference member a round, a chain of copies still ends in one class."""
-    monkeypatch.setattr(near_dup, "REFERENCES", 1)
+def test_a_large_bucket_is_compared_in_pieces(spark, monkeypatch):
+    """In pieces of two or three texts, a chain of copies still ends in one class."""
+    monkeypatch.setattr(near_dup, "PIECE", 120)
     texts = near_texts(2, 2, 14, 50)
     found = {r["id"]: r["class_id"] for r in near_dup.near_duplicates(text_table(spark, texts)).collect()}
     assert [found[i] for i in range(len(texts))] == classes_by_force(texts)
