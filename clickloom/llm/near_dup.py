@@ -31,7 +31,7 @@ SIMILAR = 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 # Shingles of a bucket's members that one task compares with as many others.
-PIECE = 1_000_000
+PIECE = 200_000
 # Shingles worked on at once in a task.
 GROUP = 400_000
 
@@ -346,7 +346,7 @@ def _across_classes(ranked: DataFrame, centre: DataFrame, labels: DataFrame, tex
     )
     # Pieces are small as a rule: about ``PIECE`` shingles of them go to a task's call at once.
     whole = dealt.agg(F.sum(F.col("shingles") * F.col("n_left"))).first()[0] or 0
-    calls = F.lit(max(partitions(ranked.sparkSession), -(-whole // PIECE)))
+    calls = F.lit(max(4 * partitions(ranked.sparkSession), -(-whole // PIECE)))
     call = F.pmod(F.xxhash64("bucket", "left", "right"), calls).alias("call")
     schema = StructType().add("a", LongType()).add("b", LongType())
     names = to_arrow_schema(schema)

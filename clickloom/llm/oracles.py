@@ -40,3 +40,14 @@ mixed AS (
 
 ORACLES["op5_mixed_sources"] = f"""WITH {mixed_sources('documents', TARGETS, SEED)}
 SELECT doc_id, copy, shuffle_key, source, text FROM mixed"""
+
+ORACLES["op1_warc_archives"] = """WITH
+pages_of AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+made AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM pages_of),
+firsts AS (SELECT payload_digest, max(page_id) AS first FROM made WHERE payload_bytes >= 1000 GROUP BY 1),
+marked AS (
+  SELECT m.*, CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+  FROM made m LEFT JOIN firsts USING (payload_digest))
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM marked"""

@@ -1,0 +1,45 @@
+"""The registered queries against their SQL, and that every operator has one."""
+
+import os
+import re
+
+import pytest
+
+import __spark_entry__ as contract
+from checks.compare import difference, duck
+from clickloom.llm import queries as Q
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
+
+
+def test_every_operator_has_a_query():
+    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in Q.QUERIES)
+    assert numbers == list(range(1, 11)) and set(Q.ORACLES) <= set(Q.QUERIES)
+    assert {*Q.QUERIES, "pipeline"} <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLES))
+def test_query_equals_sql(spark, name):
+    got = contract.queries()[name](spark, FOLDER).toPandas()
+    want = duck(FOLDER).execute(contract.oracle_sql()[name]).df()
+    want = want.astype({c: "float64" for c, kind in want.dtypes.items() if str(kind) == "Int64"})  # as Spark gives nulls
+    assert difference(got, want) is None
+
+
+COLUMNS = {
+    "op2": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op4": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op6": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
+    "op9": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint",
+            "base_score": "double", "score": "double"},
+}
+
+
+@pytest.mark.parametrize("number", sorted(COLUMNS))
+def test_columns_of_the_contract(spark, number):
+    name = next(n for n in Q.QUERIES if n.startswith(f"{number}_"))
+    found = contract.queries()[name](spark, FOLDER)
+    kinds = dict(found.dtypes)
+    assert {c: kinds[c] for c in COLUMNS[number]} == COLUMNS[number]
+    assert found.select("doc_id").distinct().count() == found.count() == 200
