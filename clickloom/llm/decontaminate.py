@@ -113,10 +113,9 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
             shift = (F.col("pos") + 1 - F.col("item_pos")).alias("shift")
             parts.append(hit.select("doc_id", "item_id", "n_windows", "item_pos", shift, slots.alias("slots")))
     if not parts:
-        none = items.where(F.lit(False)).select(F.col("item_id"), F.lit(0).cast("long").alias("n_windows"))
-        none = none.join(docs.where(F.lit(False)).select(F.col(key).alias("doc_id")))
-        slot = "array<struct<item:string,doc:string>>"
-        return none.select("doc_id", "item_id", "n_windows", F.lit(0).alias("item_pos"), F.lit(0).alias("shift"), F.array().cast(slot).alias("slots"))
+        doc_kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
+        empty = "n_windows long, item_pos int, shift int, slots array<struct<item:string,doc:string>>"
+        return docs.sparkSession.createDataFrame([], f"doc_id {doc_kind}, item_id {item_kind}, {empty}")
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)

@@ -70,7 +70,8 @@ def store_blocks(docs: DataFrame, key: str, text: str, held_out: Column) -> Data
             for start, stop in slices(texts, BLOCK_CHARS):
                 places = WordIds()
                 places[END]  # always the first
-                tokens = [np.fromiter(map(places.__getitem__, w), np.int32, count=len(w)) for w in (words_of(t or "") for t in texts[start:stop])]
+                words = (words_of(t or "") for t in texts[start:stop])
+                tokens = [np.fromiter(map(places.__getitem__, w), np.int32, count=len(w)) for w in words]
                 learned = [t for t, h in zip(tokens, held[start:stop]) if not h] or [np.zeros(0, np.int32)]
                 row = {
                     "block": [block],
@@ -163,7 +164,9 @@ def log_likelihoods(model: Model, classes: np.ndarray, starts: np.ndarray, sizes
     return out
 
 
-def add_counts(counts: np.ndarray, model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, kind: np.ndarray) -> None:
+def add_counts(
+    counts: np.ndarray, model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, kind: np.ndarray
+) -> None:
     """Add the expected counts of the sequences to ``counts``; ``kind`` is 1 where a sequence goes on with a text."""
     begin, move, emit = np.split(counts, [2 * STATES, 2 * STATES + STATES * STATES])
     begin, move = begin.reshape(2, -1), move.reshape(STATES, -1)  # views: added in place

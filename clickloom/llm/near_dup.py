@@ -204,13 +204,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
     Two texts are linked if the probability Jaccard similarity of their five-word shingles, or the plain one, is
     at least ``similar``; a class is what links join. Texts without words (null, empty) are copies of each other.
-    Repeated rows are copies. Rows of null id are not compared: their ``rep`` and ``class_id`` are null.
+    Repeated rows are copies. An id names one text: of rows that share an id but not the text, one text
+    is compared for both. Rows of null id are not compared: their ``rep`` and ``class_id`` are null.
 
     Copies are set aside first, so of a group of equal texts one goes on. In a bucket every member is
     compared with the member that shares most buckets, which joins most of a group at once. Where a bucket
-    still has members of several classes, those outside its largest are compared with all
-    of the other classes, in pieces of bounded size that give out only links that join classes: no candidate of a different class is left
-    uncompared, and the rows grow with the members of buckets and not with their pairs.
+    still has members of several classes, those outside its largest are compared with all of the
+    other classes, in pieces of bounded size that give out only links that join classes. So no candidate
+    of a different class is left uncompared, and the rows grow with the members of buckets, not with their pairs.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -223,7 +224,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     groups = known.groupBy("digest").agg(first.alias("first"), F.count("*").alias("n"))
     groups = materialize(groups.select("digest", F.col("first.id").alias("rep"), "first.row", "n"), "near-groups")
     total = known.count()
-    members = salted_join(known.select("id", "digest"), groups.select("digest", "rep"), "digest", "left", _hot(groups, "digest", total, parts), ["id"])
+    hot = _hot(groups, "digest", total, parts)
+    members = salted_join(known.select("id", "digest"), groups.select("digest", "rep"), "digest", "left", hot, ["id"])
     members = materialize(members.select("id", "rep"), "near-members")
 
     one = known.where(F.col("n_shingles") > 0).join(groups.select("row"), "row", "left_semi")
@@ -232,29 +234,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sizes = materialize(sizes, "near-sizes")
     hits = salted_join(rows, sizes, "bucket", "inner", _hot(sizes, "bucket", max(total, 1) * BANDS, parts), ["id"])
     hits = materialize(hits, "near-hits")
-    if hits.isEmpty():
-        return made.select("id").join(members.distinct(), "id", "left").select("id", "rep", F.col("rep").alias("class_id"))
+    labels = _labels(hits, docs, total, parts, similar)
 
+    named = labels.select(F.col("id").alias("rep"), "comp")
+    classes = groups.groupBy("rep").agg(F.sum("n").alias("n")).join(named, "rep", "left")
+    classes = materialize(classes.select("rep", F.coalesce("comp", "rep").alias("class_id"), "n"), "near-classes")
+    found = salted_join(members, classes.drop("n"), "rep", "left", _hot(classes, "rep", total, parts), ["id"])
+    nameless = made.where(F.col("id").isNull()).select("id")
+    none = F.lit(None).cast("long")
+    nameless = nameless.select("id", none.alias("rep"), none.alias("class_id"))
+    return found.select("id", "rep", "class_id").unionAll(nameless)
+
+
+def _labels(hits: DataFrame, docs: DataFrame, total: int, parts: int, similar: float) -> DataFrame:
+    """``(id, comp)``: the classes of the members of buckets, ``hits(bucket, id, n)``."""
     nodes = materialize(hits.groupBy("id").agg(F.sum("n").alias("degree")), "near-nodes")
     wanted = materialize(docs.join(nodes.select("id"), "id", "left_semi").dropDuplicates(["id"]), "near-texts")
     ranked = materialize(hits.join(nodes, "id"), "near-ranked")
-    centre = ranked.groupBy("bucket").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("centre"), F.max("n").alias("n"))
-    centre = materialize(centre, "near-centres")
+    best = F.max_by("id", F.struct("degree", -F.col("id"))).alias("centre")
+    centre = materialize(ranked.groupBy("bucket").agg(best, F.max("n").alias("n")), "near-centres")
     hot = _hot(centre, "bucket", max(total, 1) * BANDS, parts)
     pairs = salted_join(ranked.select("bucket", "id"), centre.drop("n"), "bucket", "inner", hot, ["id"])
     pairs = _ordered(pairs.where(F.col("id") != F.col("centre")), "id", "centre")
     links = materialize(_verified(pairs, wanted, similar), "near-links")
     labels = _smallest_linked(nodes.select("id"), links, "near")
     links = links.unionAll(_across_classes(ranked, centre, labels, wanted, total, similar))
-    labels = _smallest_linked(nodes.select("id"), materialize(links, "near-links"), "near")
-
-    named = labels.select(F.col("id").alias("rep"), F.col("comp"))
-    classes = groups.select("rep", "n").join(named, "rep", "left")
-    classes = classes.select("rep", F.coalesce("comp", "rep").alias("class_id"), "n")
-    found = salted_join(members, classes.drop("n"), "rep", "left", _hot(classes, "rep", total, parts), ["id"])
-    nameless = made.where(F.col("id").isNull()).select("id")
-    none = F.lit(None).cast("long")
-    return found.select("id", "rep", "class_id").unionAll(nameless.select("id", none.alias("rep"), none.alias("class_id")))
+    return _smallest_linked(nodes.select("id"), materialize(links, "near-links"), "near")
 
 
 def _joining(rows: dict[str, list], similar: float) -> list[tuple[int, int]]:
@@ -304,7 +309,9 @@ def _joining(rows: dict[str, list], similar: float) -> list[tuple[int, int]]:
     return found
 
 
-def _across_classes(ranked: DataFrame, centre: DataFrame, labels: DataFrame, texts: DataFrame, total: int, similar: float) -> DataFrame:
+def _across_classes(
+    ranked: DataFrame, centre: DataFrame, labels: DataFrame, texts: DataFrame, total: int, similar: float
+) -> DataFrame:
     """Links ``(a, b)`` that join classes, of all pairs of members of different classes in a bucket.
 
     The class of a bucket's centre stands for its largest; at least one of such a pair is outside of it.
@@ -312,10 +319,11 @@ def _across_classes(ranked: DataFrame, centre: DataFrame, labels: DataFrame, tex
     """
     parts = 16 * partitions(ranked.sparkSession)
     placed = ranked.select("bucket", "id").join(labels, "id")
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
-    mixed = mixed.where(F.col("low") != F.col("high")).select("bucket", "n")
-    main = centre.select("bucket", F.col("centre").alias("id")).join(labels, "id").select("bucket", F.col("comp").alias("main"))
-    mixed = materialize(mixed.join(main, "bucket"), "near-mixed")
+    spread = F.min("comp") != F.max("comp")
+    mixed = placed.groupBy("bucket").agg(spread.alias("mixed"), F.count("*").alias("n")).where("mixed")
+    main = centre.select("bucket", F.col("centre").alias("id")).join(labels, "id")
+    main = main.select("bucket", F.col("comp").alias("main"))
+    mixed = materialize(mixed.drop("mixed").join(main, "bucket"), "near-mixed")
     hot = _hot(mixed, "bucket", max(total, 1) * BANDS, parts)
     open_ = salted_join(placed, mixed.select("bucket", "main"), "bucket", "inner", hot, ["id"])
     open_ = open_.select("bucket", "id", "comp", (F.col("comp") != F.col("main")).alias("outside"))
@@ -327,18 +335,24 @@ def _across_classes(ranked: DataFrame, centre: DataFrame, labels: DataFrame, tex
     size = F.col("n_shingles")
     pieces = lambda n: F.ceil(n / PIECE).cast("int")
     dealt = sized.groupBy("bucket").agg(
-        pieces(F.sum(F.when(F.col("outside"), size))).alias("n_left"), pieces(F.sum(size)).alias("n_right"),
-        F.sum(size).alias("shingles"), F.count("*").alias("n"),
+        pieces(F.sum(F.when(F.col("outside"), size))).alias("n_left"),
+        pieces(F.sum(size)).alias("n_right"),
+        F.sum(size).alias("shingles"),
+        F.count("*").alias("n"),
     )
     dealt = materialize(dealt, "near-dealt")
-    rows = salted_join(open_, dealt.drop("n", "shingles"), "bucket", "inner", _hot(dealt, "bucket", max(total, 1) * BANDS, parts), ["id"])
-    left, right = (F.pmod(F.xxhash64(F.lit(side), "id"), F.col(f"n_{side}")).cast("int") for side in ("left", "right"))
+    hot = _hot(dealt, "bucket", max(total, 1) * BANDS, parts)
+    rows = salted_join(open_, dealt.drop("n", "shingles"), "bucket", "inner", hot, ["id"])
+    left, right = (
+        F.pmod(F.xxhash64(F.lit(side), "id"), F.col(f"n_{side}")).cast("int") for side in ("left", "right")
+    )
     every = lambda side: F.sequence(F.lit(0), F.col(f"n_{side}") - 1)
     # In its own piece an outside row is both: elsewhere it stands on one side only.
     as_right = F.transform(every("left"), lambda i: F.struct(i.alias("left"), right.alias("right")))
-    as_left = F.when(F.col("outside"), F.transform(every("right"), lambda i: F.struct(left.alias("left"), i.alias("right"))))
-    places = F.array_distinct(F.concat(as_right, F.coalesce(as_left, F.array().cast("array<struct<left:int,right:int>>"))))
-    rows = rows.select("bucket", "id", "comp", "outside", left.alias("own_left"), right.alias("own_right"), F.explode(places).alias("at"))
+    as_left = F.transform(every("right"), lambda i: F.struct(left.alias("left"), i.alias("right")))
+    as_left = F.when(F.col("outside"), as_left).otherwise(F.array().cast("array<struct<left:int,right:int>>"))
+    at = F.explode(F.array_distinct(F.concat(as_right, as_left))).alias("at")
+    rows = rows.select("bucket", "id", "comp", "outside", left.alias("own_left"), right.alias("own_right"), at)
     rows = rows.select(
         "bucket", "id", "comp", "at.left", "at.right",
         (F.col("outside") & (F.col("own_left") == F.col("at.left"))).alias("outside"),
@@ -358,7 +372,8 @@ def _across_classes(ranked: DataFrame, centre: DataFrame, labels: DataFrame, tex
             place[key].append(i)
         found = []
         for own in place.values():
-            found += _joining({c: [columns[c][i] for i in own] for c in ("id", "comp", "outside", "twin", "bag")}, similar)
+            rows_of = {c: [columns[c][i] for i in own] for c in ("id", "comp", "outside", "twin", "bag")}
+            found += _joining(rows_of, similar)
         return pa.Table.from_pydict({"a": [f[0] for f in found], "b": [f[1] for f in found]}, schema=names)
 
     rows = rows.join(bags.select("id", "bag"), "id").select("*", call)

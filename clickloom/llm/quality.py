@@ -129,7 +129,8 @@ class Network:
         self.centre, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
         self.temperature = 1.0
         n = x.shape[1]
-        self.weights = [draw.normal(0, n**-0.5, (n, HIDDEN)), np.zeros(HIDDEN), draw.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(())]
+        inner, outer = draw.normal(0, n**-0.5, (n, HIDDEN)), draw.normal(0, HIDDEN**-0.5, HIDDEN)
+        self.weights = [inner, np.zeros(HIDDEN), outer, np.zeros(())]
         first, second = [np.zeros_like(w) for w in self.weights], [np.zeros_like(w) for w in self.weights]
         x, step = (x - self.centre) / self.scale, 0
         for _ in range(epochs):
@@ -172,7 +173,8 @@ def fit(labelled: DataFrame, key: str, rows: int = SAMPLE_ROWS) -> Network | flo
     share = min(1.0, rows / max(n, 1))
     drawn = F.pmod(F.xxhash64(F.lit("draw"), key), F.lit(1_000_000)) < F.lit(int(1_000_000 * share))
     part = F.pmod(F.xxhash64(F.lit("part"), key), F.lit(CALIBRATION))
-    taken = labelled.where(drawn).select(F.col(key).alias("key"), "pooled", F.col("label").cast("double"), part.alias("part")).toPandas()
+    label = F.col("label").cast("double")
+    taken = labelled.where(drawn).select(F.col(key).alias("key"), "pooled", label, part.alias("part")).toPandas()
     taken = taken.sort_values("key", kind="stable")  # a rerun learns the same
     y = taken["label"].to_numpy(dtype=float)
     if not 0 < y.sum() < len(y):

@@ -205,10 +205,11 @@ class ToxicityModel:
         if self.trees is None:
             return rows.withColumn(score, F.lit(self.constant)).drop(features)
         vector, raw = (fresh(rows, n) for n in ("vector", "raw"))
-        names = {"featuresCol": vector, "probabilityCol": raw, "rawPredictionCol": fresh(rows, "margin"), "predictionCol": fresh(rows, "class")}
+        margin, kind = (fresh(rows, n) for n in ("margin", "kind"))
+        names = {"featuresCol": vector, "probabilityCol": raw, "rawPredictionCol": margin, "predictionCol": kind}
         model = self.trees.copy({self.trees.getParam(k): v for k, v in names.items()})
         made = model.transform(rows.withColumn(vector, array_to_vector(features)))
-        made = made.withColumn(raw, vector_to_array(raw)[1]).drop(features, vector, names["rawPredictionCol"], names["predictionCol"])
+        made = made.withColumn(raw, vector_to_array(raw)[1]).drop(features, vector, margin, kind)
         steps = self.steps.copy({self.steps.featuresCol: raw, self.steps.predictionCol: score})
         made = steps.transform(made).drop(raw)
         return made.withColumn(score, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col(score))))

@@ -100,7 +100,15 @@ def _in_files(records: Iterable[bytes], head) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["value"])
 
 
-def write_arc(pages: DataFrame, path: str, version: int = 2, key: str = "page_id", url: str = "url", html: str = "html", date: str = "20240101000000") -> None:
+def write_arc(
+    pages: DataFrame,
+    path: str,
+    version: int = 2,
+    key: str = "page_id",
+    url: str = "url",
+    html: str = "html",
+    date: str = "20240101000000",
+) -> None:
     """One ARC record per row, its payload the ``html`` in UTF-8 (null: empty) as an HTTP response.
     A null url is ``-``. Tasks write what they read; an empty table writes no record."""
 
@@ -108,7 +116,8 @@ def write_arc(pages: DataFrame, path: str, version: int = 2, key: str = "page_id
         def records() -> Iterator[bytes]:
             for batch in batches:
                 for k, u, h in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    yield arc_record(version, u, "0.0.0.0", date, "text/html", http_response((h or "").encode("utf-8", "surrogatepass"), k))
+                    block = http_response((h or "").encode("utf-8", "surrogatepass"), k)
+                    yield arc_record(version, u, "0.0.0.0", date, "text/html", block)
 
         yield from _in_files(records(), lambda i: arc_version_block(version, f"part-{i}.arc", date))
 
@@ -321,9 +330,20 @@ def write_warc(records: DataFrame, path: str) -> None:
         def head(i: int) -> bytes:
             body = b"software: clickloom\r\nformat: WARC File Format 1.1\r\n"
             name = f"part-{i}.warc"
-            info = {"record_type": "warcinfo", "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}", "date": _EPOCH, "target_uri": name}
-            info |= {"ip": None, "payload_digest": hashlib.sha1(body).hexdigest(), "truncated": False, "first_id": None, "head": b"", "payload": body}
-            return warc_record(info | {"content_type": "application/warc-fields"})
+            info = {
+                "record_type": "warcinfo",
+                "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}",
+                "date": _EPOCH,
+                "target_uri": name,
+                "ip": None,
+                "content_type": "application/warc-fields",
+                "payload_digest": hashlib.sha1(body).hexdigest(),
+                "truncated": False,
+                "first_id": None,
+                "head": b"",
+                "payload": body,
+            }
+            return warc_record(info)
 
         yield from _in_files(rows(), head)
 

@@ -232,6 +232,8 @@ def test_near_duplicates_of_odd_tables(spark):
     kept = near_dup.first_of_each(table.withColumn("kept_id", F.lit(0)))
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 2, None, None] and kept.columns[-1] == "kept_id"
     assert near_dup.near_duplicates(table.limit(0)).count() == 0
+    shared = text_table(spark, ["a b c d e f", "g h i j k l", "g h i j k l", "a b c d e f"], [5, 5, 6, 7])
+    assert near_dup.near_duplicates(shared).count() == 4
 
 
 # Hidden Markov model
