@@ -4,7 +4,6 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 import pytest
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from clickloom.operators import sampling, sessions
 from clickloom.params import TaskParams
