@@ -11,49 +11,50 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def row_type(fields: str) -> T.StructType:
-    """``"name type, ..."`` to a row type. Unlike Spark's parser it needs no session."""
-    types = {
-        "string": T.StringType(),
-        "int": T.IntegerType(),
-        "bigint": T.LongType(),
-        "timestamp": T.TimestampType(),
-    }
-    pairs = (field.split() for field in fields.split(","))
-    return T.StructType([T.StructField(name, types[kind]) for name, kind in pairs])
-
-
-ACTION = row_type(
-    "date string, user_id bigint, session_id string, page_id bigint, action_time string, "
-    "search_keyword string, click_category_id bigint, click_product_id bigint, "
-    "order_category_ids string, order_product_ids string, "
-    "pay_category_ids string, pay_product_ids string, city_id bigint"
+TEXT, INT, BIGINT, TIME = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampType()
+
+
+def row(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+ACTION = row(
+    date=TEXT,
+    user_id=BIGINT,
+    session_id=TEXT,
+    page_id=BIGINT,
+    action_time=TEXT,
+    search_keyword=TEXT,
+    click_category_id=BIGINT,
+    click_product_id=BIGINT,
+    order_category_ids=TEXT,
+    order_product_ids=TEXT,
+    pay_category_ids=TEXT,
+    pay_product_ids=TEXT,
+    city_id=BIGINT,
 )
 
-USER = row_type(
-    "user_id bigint, username string, name string, age int, "
-    "professional string, city string, sex string"
+USER = row(
+    user_id=BIGINT,
+    username=TEXT,
+    name=TEXT,
+    age=INT,
+    professional=TEXT,
+    city=TEXT,
+    sex=TEXT,
 )
 
-PRODUCT = row_type("product_id bigint, product_name string, extend_info string")
+PRODUCT = row(product_id=BIGINT, product_name=TEXT, extend_info=TEXT)
 
-CITY = row_type("city_id bigint, city_name string, area string")
+CITY = row(city_id=BIGINT, city_name=TEXT, area=TEXT)
 
 # Result tables of the ad stream.
-AD_BLACKLIST = row_type("userid bigint")
-AD_USER_CLICK_COUNT = row_type(
-    "date string, userid bigint, adid bigint, clickCount bigint"
-)
-AD_STAT = row_type(
-    "date string, province string, city string, adid bigint, clickCount bigint"
-)
-AD_PROVINCE_TOP3 = row_type(
-    "date string, province string, adid bigint, clickCount bigint"
-)
-AD_CLICK_TREND = row_type(
-    "date string, hour string, minute string, adid bigint, clickCount bigint"
-)
-AD_PANES = row_type("date string, pane timestamp, adid bigint, clickCount bigint")
+AD_BLACKLIST = row(userid=BIGINT)
+AD_USER_CLICK_COUNT = row(date=TEXT, userid=BIGINT, adid=BIGINT, clickCount=BIGINT)
+AD_STAT = row(date=TEXT, province=TEXT, city=TEXT, adid=BIGINT, clickCount=BIGINT)
+AD_PROVINCE_TOP3 = row(date=TEXT, province=TEXT, adid=BIGINT, clickCount=BIGINT)
+AD_CLICK_TREND = row(date=TEXT, hour=TEXT, minute=TEXT, adid=BIGINT, clickCount=BIGINT)
+AD_PANES = row(date=TEXT, pane=TIME, adid=BIGINT, clickCount=BIGINT)
 
 # An absent click id is stored as this value or as null.
 ABSENT_ID = -1
