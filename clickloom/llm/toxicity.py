@@ -244,7 +244,7 @@ def _learn(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str)
 def score_documents(
     docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", column: str = "score"
 ) -> DataFrame:
-    """``docs`` with the ``column`` ``score`` from 0 to 1; learned from ``labels(key, label)``, matched by key.
+    """``docs`` with a ``column`` from 0 to 1 (underscores before it if ``docs`` has one so called); learned from ``labels(key, label)``, matched by key.
 
     Null and empty texts are scored by their zero features; repeated rows and null keys each get their own score,
     null keys teach nothing, and of repeated labels one counts. Without labels all scores are 0; with
@@ -252,7 +252,8 @@ def score_documents(
     """
     model, learned = _learn(docs, labels, text, key, label)
     features = fresh(docs, "features")
-    return model.score(with_features(docs, text, features, docs.columns, learned), features, column)
+    rows = with_features(docs, text, features, docs.columns, learned)
+    return model.score(rows, features, fresh(docs, column))
 
 
 def without_toxic(
@@ -260,5 +261,5 @@ def without_toxic(
 ) -> DataFrame:
     """The rows of ``docs`` with a score below ``reject``, with all their columns."""
     score = fresh(docs, "score")
-    kept = score_documents(docs, labels, text, key, label, score).where(F.col(score) < reject)
+    kept = score_documents(docs, labels, text, key, label).where(F.col(score) < reject)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -121,6 +121,15 @@ def test_classifier_of_odd_rows(spark, model, label):
     assert model.score_documents(docs.limit(0), labels, label=label).count() == 0
 
 
+def test_toxicity_keeps_columns_of_its_own_names(spark):
+    docs, labels = labelled(spark, 120)
+    for name in ("score", "features", "label", "part", "vector", "raw", "margin", "kind"):
+        docs = docs.withColumn(name, F.lit("own"))
+    kept = toxicity.without_toxic(docs, labels)
+    assert kept.columns == docs.columns and 60 < kept.count() < 115
+    assert kept.where("score = 'own' and raw = 'own'").count() == kept.count()
+
+
 def test_toxic_words_in_disguise():
     hidden = toxicity.FEATURES.index("hidden_hits")
     for text in ("an 1d10t here", "stuuuuupid thing", "what an i d i o t you are", "m.o.r.o.n then"):
