@@ -6,7 +6,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -63,7 +62,6 @@ def main(argv: list[str]) -> int:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))  # a local session: one machine
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
