@@ -154,9 +154,9 @@ def drawn(labels: DataFrame, key: str, label: str, rows: int = SAMPLE_ROWS) -> D
     return known.where(mine).select(key, F.col(label).cast("int").alias("label"), part.alias("part")).dropDuplicates([key])
 
 
-def learn_lexicon(docs: DataFrame, sample: DataFrame, text: str, key: str) -> frozenset[str]:
-    """The telling words and beginnings of the texts of ``sample(key, label)``, whose rows are few by
-    construction. Tasks count them, and ``LEARNED_WORDS`` at most reach the driver."""
+def learn_lexicon(taught: DataFrame) -> frozenset[str]:
+    """The telling words and beginnings of ``taught(text, label)``, whose rows are few by construction.
+    Tasks count them, and ``LEARNED_WORDS`` at most reach the driver."""
     schema = StructType().add("stem", StringType()).add("toxic", LongType()).add("clean", LongType())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +172,7 @@ def learn_lexicon(docs: DataFrame, sample: DataFrame, text: str, key: str) -> fr
             schema=to_arrow_schema(schema),
         )
 
-    texts = docs.select(F.col(key), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), key)
-    sums = texts.select("text", "label").mapInArrow(run, schema).groupBy("stem")
+    sums = taught.select("text", "label").mapInArrow(run, schema).groupBy("stem")
     sums = sums.agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     sums = materialize(sums.where((F.col("a") >= LEAST_TEXTS) | (F.col("stem") == "")), "tox-stems")
     texts_of = sums.where(F.col("stem") == "").first()
@@ -233,12 +232,12 @@ def fit(labelled: DataFrame) -> ToxicityModel:
 
 
 def _learn(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str) -> tuple[ToxicityModel, frozenset[str]]:
-    """The model and the lexicon it needs; texts of the drawn rows are read twice."""
-    sample = materialize(drawn(labels, key, label), "tox-sample")
-    learned = learn_lexicon(docs, sample.where(F.col("part") < LEXICON_PARTS), text, key)
-    taught = docs.select(F.col(key), F.col(text)).join(F.broadcast(sample), key)
-    features = with_features(taught, text, "features", [key, "label", "part"], learned)
-    return fit(features.withColumnRenamed(key, "key")), learned
+    """The model and the lexicon it needs, from the drawn rows' texts, which are stored."""
+    sample = F.broadcast(materialize(drawn(labels, key, label), "tox-sample"))
+    texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    taught = materialize(texts.join(sample.withColumnRenamed(key, "key"), "key"), "tox-taught")
+    learned = learn_lexicon(taught.where(F.col("part") < LEXICON_PARTS))
+    return fit(with_features(taught, "text", "features", ["key", "label", "part"], learned)), learned
 
 
 def score_documents(
@@ -248,7 +247,8 @@ def score_documents(
 
     Null and empty texts are scored by their zero features; repeated rows and null keys each get their own score,
     null keys teach nothing, and of repeated labels one counts. Without labels all scores are 0; with
-    labels of one kind, that kind. No text is shuffled, and only the drawn rows' texts are read more than once.
+    labels of one kind, that kind. No text is shuffled; the texts are read once to find the drawn rows' and once
+    to be scored.
     """
     model, learned = _learn(docs, labels, text, key, label)
     features = fresh(docs, "features")
