@@ -8,6 +8,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,17 +40,23 @@ def remainder(column: str, n: int) -> Column:
     return F.pmod(F.crc32(as_text.cast("binary")), F.lit(n))
 
 
-def slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts with at most ``limit`` characters, or of one longer text."""
+def slices(chars: list[int], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts, by their lengths, with at most ``limit`` characters, or of one longer text."""
     start = size = 0
-    for i, text in enumerate(texts):
-        own = len(text or "")
+    for i, own in enumerate(chars):
         if i > start and size + own > limit:
             yield start, i
             start, size = i, 0
         size += own
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(chars):
+        yield start, len(chars)
+
+
+def text_slices(texts: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """The runs with their texts (a null is empty), of which one run is in memory at a time."""
+    chars = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+    for start, stop in slices(chars, limit):
+        yield start, stop, [t or "" for t in texts.slice(start, stop - start).to_pylist()]
 
 
 def per_slice(
@@ -64,9 +71,8 @@ def per_slice(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(inner)).to_pylist()]
-            for start, stop in slices(texts):
-                out = work(texts[start:stop])
+            for start, stop, texts in text_slices(batch.column(len(inner))):
+                out = work(texts)
                 new = [pa.array(out[f.name], type=f.type) for f in made]
                 kept = [batch.column(i).slice(start, stop - start) for i in range(len(inner))]
                 yield pa.RecordBatch.from_arrays(kept + new, names=inner + made.names)

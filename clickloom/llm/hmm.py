@@ -23,15 +23,15 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructType,
 )
 
-from clickloom.llm.common import WordIds, slices
+from clickloom.llm.common import WordIds, text_slices
 from clickloom.shared import materialize
 
 STATES = 6
 CLASSES = 8192
 ROUNDS = 5
 # Characters of the texts that are stored as one block, and tokens (with padding) worked on at once.
-BLOCK_CHARS = 8_000_000
-CELLS = 1_000_000
+BLOCK_CHARS = 4_000_000
+CELLS = 400_000
 # Training sequences are cut to this many tokens; scoring never cuts.
 SEGMENT = 1024
 END = b""  # the token after the last word
@@ -66,17 +66,17 @@ def store_blocks(docs: DataFrame, key: str, text: str, held_out: Column) -> Data
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, texts, held = (batch.column(i).to_pylist() for i in range(3))
-            for start, stop in slices(texts, BLOCK_CHARS):
+            for start, stop, texts in text_slices(batch.column(1), BLOCK_CHARS):
+                ids, held = (batch.column(i).slice(start, stop - start).to_pylist() for i in (0, 2))
                 places = WordIds()
                 places[END]  # always the first
-                words = (words_of(t or "") for t in texts[start:stop])
+                words = (words_of(t) for t in texts)
                 tokens = [np.fromiter(map(places.__getitem__, w), np.int32, count=len(w)) for w in words]
-                learned = [t for t, h in zip(tokens, held[start:stop]) if not h] or [np.zeros(0, np.int32)]
+                learned = [t for t, h in zip(tokens, held) if not h] or [np.zeros(0, np.int32)]
                 row = {
                     "block": [block],
-                    "doc_ids": [ids[start:stop]],
-                    "held_out": [held[start:stop]],
+                    "doc_ids": [ids],
+                    "held_out": [held],
                     "sizes": [[len(t) for t in tokens]],
                     "tokens": [zlib.compress(np.concatenate(tokens).tobytes(), 1)],
                     "words": [places.words],

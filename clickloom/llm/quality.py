@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructType
 
-from clickloom.llm.common import WordIds, mix, per_slice, slices
+from clickloom.llm.common import WordIds, mix, per_slice, text_slices
 from clickloom.shared import materialize
 
 # Words share this many vectors by their hash, so the model is 1 MB however large the vocabulary.
@@ -85,9 +85,8 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((BUCKETS, WIDTH))
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for start, stop in slices(texts):
-                add_contexts(table, texts[start:stop])
+            for _, _, texts in text_slices(batch.column(0)):
+                add_contexts(table, texts)
         used = np.flatnonzero(np.abs(table).sum(axis=1)).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(table[used, i]) for i in range(WIDTH))], schema=names)
 
