@@ -24,7 +24,8 @@ COUNTS = StructType().add("n_words", LongType()).add("n_tokens", LongType()).add
 def piece_vocabulary(path: str, mark: str = "▁") -> tuple[set[str], set[str]]:
     """The pieces that begin a word, and those that go on with one, of a sentencepiece file.
 
-    A piece that starts with ``mark`` begins a word. Control and byte pieces are left out.
+    A piece that starts with ``mark`` begins a word; the lone mark, if it is a piece, is the empty
+    text among them. Control and byte pieces are left out.
     """
     import sentencepiece
 
@@ -37,19 +38,26 @@ def piece_vocabulary(path: str, mark: str = "▁") -> tuple[set[str], set[str]]:
         if mark in piece[1:]:
             continue
         (first if piece.startswith(mark) else later).add(piece.removeprefix(mark))
-    return first - {""}, later - {""}
+    return first, later - {""}
 
 
 class Automaton:
-    """Counts the pieces of words; as large as the vocabulary, whatever the input."""
+    """Counts the pieces of words; as large as the vocabulary, whatever the input.
+
+    With the empty text in ``first`` (the lone mark) a word that no longer piece begins is that
+    piece, counted, and pieces of ``later``.
+    """
 
     FIRST, LATER = 0, 1
 
     def __init__(self, first: Iterable[str], later: Iterable[str]) -> None:
+        first = set(first)
         self.next: list[dict[str, int]] = [{}, {}]
         ends = {self._add(self.FIRST, p) for p in first if p} | {self._add(self.LATER, p) for p in later if p}
         self.fail = [-1] * len(self.next)
         self.popped = [0] * len(self.next)
+        if "" in first:
+            self.fail[self.FIRST], self.popped[self.FIRST] = self.LATER, 1
         queue = deque([self.FIRST, self.LATER])
         while queue:
             parent = queue.popleft()

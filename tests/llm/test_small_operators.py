@@ -6,9 +6,11 @@ import random
 import re
 
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from clickloom.llm import chunk_prints, decontaminate, mixing, secret_scan, token_counts
+from clickloom.llm.queries import VOCABULARY
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -49,6 +51,28 @@ def test_automaton_is_greedy_longest_match():
             assert automaton.count(own) == greedy(own, first, later), (own, first, later)
 
 
+def test_the_lone_mark_begins_words():
+    """Longest match over the marked word, with the pieces as they are in the file."""
+    model = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    kept = (i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
+    pieces = {model.id_to_piece(i) for i in kept}
+    automaton = token_counts.Automaton(*token_counts.piece_vocabulary(VOCABULARY))
+    draw = random.Random(9)
+    own = ["7", "2024", "1" * 500, "3.14", "ñandú", "ßen", "çok", "año", "the", "x", "\u0378", "a\u0378", "1\u0378"]
+    own += ["".join(draw.choice("0189ñßçéaethn.-") for _ in range(draw.randint(1, 12))) for _ in range(2000)]
+    for word in own:
+        assert automaton.count(word) == greedy("▁" + word, pieces, pieces), word
+    assert automaton.count("2024") == 5 and automaton.count("1" * 500) == 501 and automaton.count("\u0378") == 0
+    for _ in range(60):
+        some = lambda most: "".join(draw.choice("abc") for _ in range(draw.randint(1, most)))
+        first, later = {"", *(some(5) for _ in range(4))}, {some(4) for _ in range(8)}
+        small = token_counts.Automaton(first, later)
+        marked = {"▁" + p for p in first}
+        for _ in range(60):
+            word = some(14)
+            assert small.count(word) == greedy("▁" + word, marked, later), (word, first, later)
+
+
 def test_token_counts_of_odd_texts(spark):
     first, later = {"a", "ab", "x"}, {"b", "c", "bc"}
     table = docs(spark, "abc ab", None, "", " \n\t", "zz a", "a" + "b" * 30_000, "abc ab").withColumn("n_words", F.lit("x"))
