@@ -3,8 +3,9 @@
 A document is the multiset of its five-word shingles. For each shingle a Poisson process, with the
 shingle's count as rate and its hash as seed, sends arrivals to random registers; a register keeps
 the shingle of its first arrival, and a process ends once it is past the last register's time. Two
-documents agree in a register with their probability Jaccard similarity. Bands of registers give
-candidates, and the texts of candidates are compared in full.
+documents agree in a register with their probability Jaccard similarity, and with the plain one if
+all rates are 1. Bands of registers by counts and by rates of 1 give candidates, and the texts of
+candidates are compared in full.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from clickloom.shared import materialize
 
 SHINGLE = 5
 SIMILAR = 0.8
-# A pair of 0.8 similarity shares a band with 1 - (1 - 0.8^6)^32 = 0.99994.
+# A pair of 0.8 similarity by either measure shares a band of its with 1 - (1 - 0.8^6)^32 = 0.99994.
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 # Shingles of a bucket's members that one task compares with as many others.
@@ -111,6 +112,19 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def both_bands(doc: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int) -> list[np.ndarray]:
+    """The distinct keys of ``n`` documents' bands by counts and by rates of 1: ``BANDS`` of each, and for a
+    document that repeats no shingle only the one set, for both are the same."""
+    found = list(bands(signatures(doc, code, weight, n)))
+    repeats = np.bincount(doc, weights=weight > 1, minlength=n) > 0
+    own = repeats[doc]
+    place = np.cumsum(repeats) - 1
+    plain = bands(signatures(place[doc[own]], code[own], np.ones(own.sum()), int(repeats.sum())))
+    for d, keys in zip(np.flatnonzero(repeats), plain):
+        found[d] = np.concatenate([found[d], keys[keys != found[d]]])
+    return found
+
+
 PRINTS = (
     StructType().add("digest", StringType()).add("n_shingles", LongType()).add("bands", ArrayType(LongType()))
 )
@@ -127,9 +141,9 @@ def prints(docs: DataFrame, key: str, text: str) -> DataFrame:
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + GROUP, side="right")))
             own = slice(base, ends[stop - 1])
-            found.append(bands(signatures(doc[own] - start, code[own], weight[own], stop - start)))
+            found += both_bands(doc[own] - start, code[own], weight[own], stop - start)
             start = stop
-        return {"digest": digests, "n_shingles": counts, "bands": list(np.concatenate(found))}
+        return {"digest": digests, "n_shingles": counts, "bands": found}
 
     return per_slice(docs, text, PRINTS, work, [key]).withColumnRenamed(key, "id")
 
@@ -203,7 +217,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     ``class_id`` the smallest id that is linked with it.
 
     Two texts are linked if the probability Jaccard similarity of their five-word shingles, or the plain one, is
-    at least ``similar``; a class is what links join. Texts without words (null, empty) are copies of each other.
+    at least ``similar``; bands of either give the candidates, and a class is what links join. Texts without words (null, empty) are copies of each other.
     Repeated rows are copies. An id names one text: of rows that share an id but not the text, one text
     is compared for both. Rows of null id are not compared: their ``rep`` and ``class_id`` are null.
 
@@ -394,7 +408,8 @@ def _bags(texts: DataFrame) -> DataFrame:
 
 
 def _hot(counts: DataFrame, key: str, total: int, parts: int) -> DataFrame:
-    """``(key, _salts)`` of the keys with more than a ``parts``-th of ``total`` rows; fewer than ``parts``."""
+    """``(key, _salts)`` of the keys with more than a ``parts``-th of ``total`` rows; fewer than ``parts``, or twice
+    as many buckets, of which a document has ``BANDS`` to twice ``BANDS``."""
     pieces = F.greatest(F.lit(2), F.ceil(F.col("n") * parts / total)).cast("int")
     return counts.where(F.col("n") * parts > total).select(key, pieces.alias("_salts"))
 

@@ -226,6 +226,20 @@ def test_classes_match_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == classes_by_force(texts)
 
 
+def test_texts_that_differ_in_repetitions_only(spark):
+    """Links by the plain similarity alone are found whatever the weighted one, and the other way round."""
+    draw, texts = random.Random(7), []
+    for i in range(10):
+        own = words(draw, 104)
+        part, other = own[20:34], own[60:74]
+        texts += [" ".join(own), " ".join(own[:34] + part * 50 + own[34:]), " ".join(own[:74] + other * (40 + i) + own[74:])]
+        texts += [" ".join(own[20:34] * 60 + words(draw, 30))]
+    pairs = [(shingle_counts(a), shingle_counts(b)) for a, b in zip(texts[::4], texts[1::4])]
+    assert all(plain >= 0.8 and weighted < 0.3 for plain, weighted in (both_similarities(*p) for p in pairs))
+    found = {r["id"]: r["class_id"] for r in near_dup.near_duplicates(text_table(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == classes_by_force(texts)
+
+
 def test_a_large_bucket_is_compared_in_pieces(spark, monkeypatch):
     """In pieces of two or three texts, a chain of copies still ends in one class."""
     monkeypatch.setattr(near_dup, "PIECE", 120)
