@@ -2,8 +2,8 @@
 
 Numbers, units after numbers and names become typed place-holders, so a question asked again with
 other values has the same template. Windows of template words are hash-joined with those of the
-benchmark; along an alignment of a document with an item, every place-holder value of the item must
-have turned into one value only, or the match is by chance.
+benchmark; along an alignment of a document with an item, a name or unit of the item must have
+turned into one value, and windows with another one do not count.
 """
 
 from __future__ import annotations
@@ -80,14 +80,47 @@ def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text
     return rows.join(counts, "item_id")
 
 
-def _pairs(item: Column, doc: Column) -> Column:
-    """``(item value, document value)`` of the place-holders of two windows with one template."""
-    both = F.zip_with(item, doc, lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+def _pairs(item: Column, doc: Column, start: Column) -> Column:
+    """``(place in the item, item value, document value)`` of the place-holders of two windows with one
+    template; ``start`` is the place of their first word."""
+    both = F.arrays_zip(item.alias("item"), doc.alias("doc"))
+    both = F.transform(both, lambda p, i: F.struct((start + i).alias("place"), p["item"].alias("item"), p["doc"].alias("doc")))
     return F.filter(both, lambda p: p["item"].startswith(MARK))
 
 
+def _settled(lines: DataFrame) -> DataFrame:
+    """``lines(at, size, slots)`` without the windows that hold a minority value of a name or unit.
+
+    Numbers may be equal by chance, so each place of one is a slot of its own. A name or unit that has turned into
+    several values keeps the one at most places, its own if that is among those; where several others
+    are equally frequent it is no slot at all, and the alignment is a chance match.
+    """
+    bound = F.filter("slots", lambda s: ~s["item"].startswith(f"{MARK}n"))
+    pairs = F.array_distinct(F.transform("bound", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
+    clash = F.size("pairs") > F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
+    lines = lines.withColumn("bound", bound).withColumn("pairs", pairs).withColumn("clash", clash)
+    weight = lambda p: F.size(F.filter("bound", lambda s: (s["item"] == p["item"]) & (s["doc"] == p["doc"])))
+    own = lambda p: (p["item"] == p["doc"]).cast("int")
+    ranked = F.transform("pairs", lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"), (2 * weight(p) + own(p)).alias("rank")))
+    lines = lines.withColumn("ranked", F.when(F.col("clash"), ranked))
+    rival = lambda p, q: (p["item"] == q["item"]) & (p["doc"] != q["doc"])
+    beaten = F.filter("ranked", lambda p: F.exists("ranked", lambda q: rival(p, q) & (q["rank"] > p["rank"])))
+    lines = lines.withColumn("beaten", F.transform(beaten, lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))))
+    tied = F.exists("ranked", lambda p: F.exists(
+        "ranked", lambda q: rival(p, q) & (q["rank"] == p["rank"])
+    ) & ~F.array_contains("beaten", F.struct(p["item"].alias("item"), p["doc"].alias("doc"))))
+    lines = lines.where(~F.col("clash") | ~tied)
+    lost = F.filter("slots", lambda s: F.array_contains("beaten", F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
+    lines = lines.withColumn("lost", F.transform(lost, lambda s: s["place"]))
+    inside = lambda place, i: (place >= i) & (place < i + F.col("size"))
+    at = F.filter("at", lambda i: ~F.exists("lost", lambda place: inside(place, i)))
+    lines = lines.withColumn("at", F.when(F.col("clash"), at).otherwise(F.col("at")))
+    slots = F.filter("slots", lambda s: F.exists("at", lambda i: inside(s["place"], i)))
+    return lines.withColumn("slots", F.when(F.col("clash"), slots).otherwise(F.col("slots"))).where(F.size("at") > 0)
+
+
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(doc_id, item_id, n_windows, item_pos, shift, slots)``: every window that a document and
+    """``(doc_id, item_id, n_windows, item_pos, size, shift, slots)``: every window that a document and
     an item have in common, with its place-holder values.
 
     The benchmark is the stated query set: its windows are joined in blocks of at most ``BLOCK``,
@@ -109,12 +142,12 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
             if blocks > 1:
                 some = some.where(F.pmod(F.xxhash64("item_id", "item_pos"), F.lit(blocks)) == block)
             hit = seen.join(F.broadcast(some), "hash")
-            slots = _pairs(F.col("item_words"), F.slice("words", F.col("pos") + 1, size))
+            slots = _pairs(F.col("item_words"), F.slice("words", F.col("pos") + 1, size), F.col("item_pos"))
             shift = (F.col("pos") + 1 - F.col("item_pos")).alias("shift")
-            parts.append(hit.select("doc_id", "item_id", "n_windows", "item_pos", shift, slots.alias("slots")))
+            parts.append(hit.select("doc_id", "item_id", "n_windows", "item_pos", F.lit(size).alias("size"), shift, slots.alias("slots")))
     if not parts:
         doc_kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-        empty = "n_windows long, item_pos int, shift int, slots array<struct<item:string,doc:string>>"
+        empty = "n_windows long, item_pos int, size int, shift int, slots array<struct<place:int,item:string,doc:string>>"
         return docs.sparkSession.createDataFrame([], f"doc_id {doc_kind}, item_id {item_kind}, {empty}")
     found = parts[0]
     for part in parts[1:]:
@@ -128,10 +161,11 @@ def find_leaks(
     """``(doc_id, item_id, matched, share, slots, changed)``: the items that a document asks again,
     with the same values or with others.
 
-    An alignment (a shift of positions) in which one place-holder value turns into two is a chance
-    match and dropped. ``matched`` counts the item's windows in the others, ``share`` is their part of
-    all its windows, ``slots`` the place-holder values of the item in them, and ``changed`` those that the
-    document has another value for. Null and empty texts leak nothing; items too short for a window
+    Where a name or unit turns into several values along an alignment (a shift of positions), the windows
+    that hold another one than the most frequent do not count; if none is most frequent nor the item's own, the
+    alignment is a chance match and dropped. Equal numbers may turn into different ones. ``matched`` counts the
+    item's windows, ``share`` is their part of all its windows, ``slots`` the place-holder values of the
+    item in them, and ``changed`` those that the document has another value for. Null and empty texts leak nothing; items too short for a window
     are in no result; repeated rows of one id count as one document, and so do null ids. A group has
     no more rows than an item has windows, times their repetitions in one document.
     """
@@ -139,10 +173,12 @@ def find_leaks(
     lines = found.groupBy("doc_id", "item_id", "shift").agg(
         F.collect_set("item_pos").alias("at"),
         F.max("n_windows").alias("n_windows"),
+        F.max("size").alias("size"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
-    values = F.array_distinct(F.transform("slots", lambda s: s["item"]))
-    lines = lines.where(F.size("slots") == F.size(values))
+    lines = _settled(lines)
+    pairs = F.transform("slots", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc")))
+    lines = lines.withColumn("slots", F.array_distinct(pairs))
     both = lines.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("matched"),
         F.max("n_windows").alias("n_windows"),

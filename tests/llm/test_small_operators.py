@@ -264,6 +264,18 @@ def test_same_and_changed_values_are_caught(spark):
     assert found[0, 0]["changed"] == 0 and found[1, 0]["changed"] == 3 and found[1, 0]["share"] > 0.9
 
 
+def test_a_conflict_drops_only_windows_of_the_minority(spark):
+    fruit = "she put 5 apples and 5 pears into the basket and carried them over the hill to town"
+    years = "in the year of 1848 and then once more in Paris people asked for bread " + "and so it went on from one day to another " * 3
+    years += "until Paris was quiet and Paris slept as it had done before the whole affair began"
+    texts = [fruit.replace("5 apples", "7 apples").replace("5 pears", "9 pears"), years.replace("until Paris", "until Lyon"),
+             years.replace("Paris", "Lyon").replace("until Lyon", "until Paris"), years.replace("Paris", "Lyon").replace("until Lyon", "until Ulm")]
+    found = leaks(spark, *texts, items=[(0, fruit), (1, years)])
+    assert set(found) == {(0, 0), (1, 1), (2, 1), (3, 1)}
+    assert found[0, 0]["share"] == 1 and found[0, 0]["changed"] == 2
+    assert found[1, 1]["changed"] == 0 and found[2, 1]["changed"] == 1 and 0.5 < found[1, 1]["share"] < 1
+
+
 def test_template_words(spark):
     def of(text):
         return spark.range(1).select(decontaminate.template_words(F.lit(text)).alias("w")).first()["w"]
