@@ -12,6 +12,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +50,8 @@ CLASSES = (
 )
 
 # A window that one of these finds is no secret: words without digits, digits alone, UUIDs, file
-# names and paths of words, and place-holders.
+# names and paths of words, and place-holders. Rules for whole strings begin with ^; the others
+# explain the letters and digits around what they find, and nothing beyond.
 ALLOWED = (
     r"^[^0-9]*$",
     r"^[0-9=_/+-]*$",
@@ -58,6 +60,9 @@ ALLOWED = (
     r"^(?:[A-Za-z]+|[0-9]+)(?:[/_-](?:[A-Za-z]+|[0-9]+))+$",
 )
 
+# The longest run of letters and digits that a place-holder inside it explains as a whole.
+EXPLAINED = 64
+
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
 
@@ -87,18 +92,40 @@ def window_entropies(run: str, width: int) -> Iterator[float]:
             yield math.log2(width) - total / width
 
 
+def explained(candidate: str, rules: list[str]) -> list[int]:
+    """How many letters before each place ``rules`` explain; a found part explains its run of letters and
+    digits, or itself alone in a run of more than ``EXPLAINED``."""
+    marks = bytearray(len(candidate))
+    for rule in rules:
+        for m in re.finditer(rule, candidate):
+            start, end = m.span()
+            while start and end - start <= EXPLAINED and candidate[start - 1].isalnum():
+                start -= 1
+            while end < len(candidate) and end - start <= EXPLAINED and candidate[end].isalnum():
+                end += 1
+            if end - start > EXPLAINED:
+                start, end = m.span()
+            marks[start:end] = b"\1" * (end - start)
+    return list(accumulate(marks, initial=0))
+
+
 def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> list[Span]:
-    """Unions of suspicious windows, by start."""
+    """Unions of suspicious windows, by start; of windows that overlap an explained part, none."""
     found: list[tuple[int, int]] = []
+    whole, inner = [r for r in allowed if r.startswith("^")], [r for r in allowed if not r.startswith("^")]
     for candidate in CANDIDATE.finditer(text):
-        if any(re.search(rule, candidate[0]) for rule in allowed):
+        if any(re.search(rule, candidate[0]) for rule in whole):
             continue
+        known = explained(candidate[0], inner)
         for kind in classes:
             for run in re.finditer(kind.run, candidate[0]):
                 at = candidate.start() + run.start()
                 for i, bits in enumerate(window_entropies(run[0], kind.width)):
                     window = run[0][i : i + kind.width]
-                    if bits >= kind.bits and not any(re.search(rule, window) for rule in allowed):
+                    start = run.start() + i
+                    if bits < kind.bits or known[start + kind.width] > known[start]:
+                        continue
+                    if not any(re.search(rule, window) for rule in whole):
                         found.append((at + i, at + i + kind.width))
     spans: list[Span] = []
     for start, end in sorted(found):

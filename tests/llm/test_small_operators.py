@@ -120,6 +120,23 @@ def test_entropy_spans_and_allow_list():
         assert secret_scan.entropy_spans(clean) == []
 
 
+def test_a_place_holder_hides_only_what_is_around_it():
+    draw = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwyz0123456789"
+    key = "".join(draw.choice(letters) for _ in range(40))
+    for before in ("/sample/", "x/123e4567-e89b-12d3-a456-426614174000/", "example_", "a=xxxx/"):
+        for text in (before + key, key + "/" + before):
+            spans = secret_scan.entropy_spans(text)
+            at = text.index(key)
+            assert spans and spans[0][0] < at + 8 and spans[-1][2] > at + 32, text
+            assert all(at - 4 <= s and e <= at + 44 for s, _, e in spans), text
+    blob = "".join(draw.choice(letters + "+/") for _ in range(5000))
+    spans = secret_scan.entropy_spans(blob + "xxxx" + blob)
+    assert sum(e - s for s, _, e in spans) > 9000
+    for clean in ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "/123e4567-e89b-12d3-a456-426614174000/"):
+        assert secret_scan.entropy_spans(clean) == []
+
+
 def test_secrets_of_odd_texts(spark):
     table = docs(spark, None, "", "é secret=abcdefgh12", "x" * 50_000 + " secret=abcdefgh12", "é secret=abcdefgh12")
     found = by_id(secret_scan.find_secrets(table))
