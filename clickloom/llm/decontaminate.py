@@ -1,8 +1,8 @@
 """Benchmark decontamination by templates. DataFrame functions only.
 
 Numbers, units after numbers and names become typed place-holders, so a question asked again with
-other values has the same template. Windows of template words are hash-joined with those of the
-benchmark; along an alignment of a document with an item, a name or unit of the item must have
+other values has the same template. Windows of words are hash-joined with those of the benchmark three
+ways: as they are, with place-holders, and with words that may be names for opening a sentence as names too; along an alignment of a document with an item, a name or unit of the item must have
 turned into one value, and windows with another one do not count.
 """
 
@@ -31,61 +31,100 @@ UNITS = (
 ).split()
 
 
-def template_words(text: Column) -> Column:
+def marked_words(text: Column) -> Column:
     """The words of a text in lower case without punctuation; a number, unit or name is ``MARK``,
-    its type (n, u, p) and its value.
+    its type (n, u, p) and its value, and a capitalised word that may be a name is of type s.
 
     A word with a digit is a number; one of ``UNITS`` after a number is a unit; a capitalised word
-    after a lower-case word, a number or a comma is a name.
+    after a lower-case word, a number or a comma is a name, and one elsewhere (where a sentence, a line
+    or a quotation begins) may be one.
     """
     text = F.coalesce(text, F.lit(""))
     names = F.regexp_replace(text, r" (?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{Nd},;] )(\p{Lu}\p{Ll}+)", f" {MARK}p$1")
+    begun = rf"(?<!\S)([^\p{{L}}\p{{N}}\s{MARK}]*+)(?=\p{{Lu}}\p{{Ll}})"
+    names = F.regexp_replace(names, begun, f"{MARK}s$1")
     joined = F.regexp_replace(names, r"(\d)[.,:/](?=\d)", "$1")
     numbers = F.regexp_replace(joined, r"[^\s\d]*+\d\S*", f"{MARK}n$0")
-    units = F.regexp_replace(numbers, rf"({MARK}n\S*\s+)(?=(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))", f"$1{MARK}u")
+    units = F.regexp_replace(numbers, rf"({MARK}n\S*\s+)(?:{MARK}s)?(?=(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))", f"$1{MARK}u")
     marked = F.when(names.rlike(r"\d"), units).otherwise(names)
     # A mark inside a word (a name inside a number) is dropped with the rest of the punctuation.
-    plain = F.regexp_replace(F.lower(marked), rf"(?:[^\p{{L}}\p{{N}}\s{MARK}]|(?<=\S){MARK}[nup])+", "")
+    plain = F.regexp_replace(F.lower(marked), rf"(?:[^\p{{L}}\p{{N}}\s{MARK}]|(?<=\S){MARK}[nups])+", "")
     return F.array_remove(F.split(plain, r"\s+"), "")
 
 
-def _template(word: Column) -> Column:
-    return F.when(word.startswith(MARK), F.substring(word, 1, 2)).otherwise(word)
+def template_words(text: Column) -> Column:
+    """``marked_words`` with numbers, units and certain names only."""
+    return F.transform(marked_words(text), lambda w: F.when(w.startswith(f"{MARK}s"), _plain(w)).otherwise(w))
+
+
+def _plain(word: Column) -> Column:
+    return F.when(word.startswith(MARK), word.substr(F.lit(3), F.length(word))).otherwise(word)
+
+
+def _strict(word: Column) -> Column:
+    """Its type for a number, unit or certain name."""
+    return F.when(word.startswith(f"{MARK}s"), _plain(word)).when(word.startswith(MARK), F.substring(word, 1, 2)).otherwise(word)
 
 
-def _windows(words: Column, size: int) -> Column:
-    """The hashes of all windows, in order."""
-    starts = F.sequence(F.lit(1), F.size(words) - (size - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, size)))
-    return F.when(F.size(words) >= size, hashes).otherwise(F.array().cast("array<long>"))
+def _loose(word: Column) -> Column:
+    """Its type, where words that may be names are names."""
+    return F.when(word.startswith(f"{MARK}s"), f"{MARK}p").when(word.startswith(MARK), F.substring(word, 1, 2)).otherwise(word)
+
+
+def _coded(df: DataFrame) -> DataFrame:
+    """``df(words)`` with the hashes of its words in the three forms."""
+    hashes = lambda form: F.transform("words", lambda w: F.xxhash64(form(w)))
+    return df.select("*", hashes(_plain).alias("plain"), hashes(_strict).alias("strict"), hashes(_loose).alias("loose"))
+
+
+def _windows(size: int) -> Column:
+    """``(pos, hash)`` of the distinct forms of all windows."""
+    forms = ("plain", "strict", "loose")
+    of = lambda i: F.array_distinct(F.array(*[F.xxhash64(F.slice(f, i, size)) for f in forms]))
+    starts = F.sequence(F.lit(1), F.size("words") - (size - 1))
+    hashes = F.flatten(F.transform(starts, lambda i: F.transform(of(i), lambda h: F.struct(i.alias("pos"), h.alias("hash")))))
+    # Each form is named twice, so that Spark does not make its array anew for each window.
+    long_enough = F.least(*[F.size(f) for f in ("words", *forms)]) >= size
+    return F.when(long_enough, hashes).otherwise(F.array().cast("array<struct<pos:int,hash:long>>"))
 
 
 def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(item_id, size, n_windows, item_pos, hash, item_words)``, one row per window of an item.
+    """``(item_id, size, n_windows, item_pos, hash, item_words)``, a row for each distinct form of each
+    window of an item.
 
     An item with fewer than ``window`` words is one window of its own size. Windows with fewer than
     ``LITERALS`` words besides place-holders say too little and are left out, and with them items
-    of fewer words.
+    of fewer words; in the form with more names, such windows are only matched in the others.
     """
-    words = items.select(F.col(item).alias("item_id"), template_words(F.col(text)).alias("words"))
-    words = words.select("*", F.transform("words", _template).alias("template"))
+    words = _coded(items.select(F.col(item).alias("item_id"), marked_words(F.col(text)).alias("words")))
     words = words.withColumn("size", F.least(F.lit(window), F.size("words")))
     at = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)).alias("item_pos")
-    rows = words.select("item_id", "size", at, "words", "template")
+    rows = words.select("item_id", "size", at, "words", "plain", "strict", "loose")
     cut = lambda c: F.slice(c, F.col("item_pos"), F.col("size"))
-    rows = rows.select("item_id", "size", "item_pos", cut("words").alias("item_words"), cut("template").alias("part"))
-    literals = F.size(F.filter("part", lambda w: ~w.startswith(MARK) & (w != "")))
-    rows = rows.where(literals >= LITERALS).select("item_id", "size", "item_pos", F.xxhash64("part").alias("hash"), "item_words")
+    hashes = [F.xxhash64(cut(c)).alias(c) for c in ("plain", "strict", "loose")]
+    rows = rows.select("item_id", "size", "item_pos", cut("words").alias("item_words"), *hashes)
+    loose = F.size(F.filter("item_words", lambda w: ~w.startswith(MARK)))
+    strict = F.size(F.filter("item_words", lambda w: ~w.startswith(MARK) | w.startswith(f"{MARK}s")))
+    rows = rows.where(strict >= LITERALS)
+    forms = F.array("plain", "strict", F.when(loose >= LITERALS, F.col("loose")).otherwise(F.col("plain")))
+    rows = rows.select("item_id", "size", "item_pos", F.explode(F.array_distinct(forms)).alias("hash"), "item_words")
     counts = rows.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"))
     return rows.join(counts, "item_id")
 
 
 def _pairs(item: Column, doc: Column, start: Column) -> Column:
-    """``(place in the item, item value, document value)`` of the place-holders of two windows with one
-    template; ``start`` is the place of their first word."""
+    """``(place in the item, item value, document value, certain)`` of what is a place-holder in the item's
+    window or may be one; ``start`` is the place of their first word."""
     both = F.arrays_zip(item.alias("item"), doc.alias("doc"))
-    both = F.transform(both, lambda p, i: F.struct((start + i).alias("place"), p["item"].alias("item"), p["doc"].alias("doc")))
-    return F.filter(both, lambda p: p["item"].startswith(MARK))
+
+    def slot(p: Column, i: Column) -> Column:
+        kind = F.when(p["item"].startswith(f"{MARK}s"), f"{MARK}p").otherwise(F.substring(p["item"], 1, 2))
+        value = lambda w: F.concat(kind, _plain(w))
+        certain = ~p["item"].startswith(f"{MARK}s")
+        made = F.struct((start + i).alias("place"), value(p["item"]).alias("item"), value(p["doc"]).alias("doc"), certain.alias("certain"))
+        return F.when(p["item"].startswith(MARK), made)
+
+    return F.filter(F.transform(both, slot), lambda s: s.isNotNull())
 
 
 def _settled(lines: DataFrame) -> DataFrame:
@@ -128,26 +167,26 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     """
     wanted = benchmark_windows(items, window=window)
     shape = wanted.groupBy("size").agg(F.count("*").alias("n")).collect()  # at most ``window`` rows
-    made = docs.select(F.col(key).alias("doc_id"), template_words(F.col(text)).alias("words"))
-    made = made.select("doc_id", "words", F.transform("words", _template).alias("template"))
+    made = _coded(docs.select(F.col(key).alias("doc_id"), marked_words(F.col(text)).alias("words")))
     parts = []
     for row in sorted(shape):
         size, blocks = row["size"], -(-row["n"] // BLOCK)
-        seen = made.select("doc_id", "words", _windows(F.col("template"), size).alias("hashes"))
+        seen = made.select("doc_id", "words", _windows(size).alias("hashes"))
         # The outer form: for the other one Spark adds a filter on the array's size below, and makes
         # every expression of the array anew for each window in it.
-        seen = seen.select("doc_id", "words", F.posexplode_outer("hashes").alias("pos", "hash"))
+        seen = seen.select("doc_id", "words", F.explode_outer("hashes").alias("at"))
+        seen = seen.select("doc_id", "words", F.col("at.pos").alias("pos"), F.col("at.hash").alias("hash"))
         for block in range(blocks):
             some = wanted.where(F.col("size") == size).drop("size")
             if blocks > 1:
                 some = some.where(F.pmod(F.xxhash64("item_id", "item_pos"), F.lit(blocks)) == block)
             hit = seen.join(F.broadcast(some), "hash")
-            slots = _pairs(F.col("item_words"), F.slice("words", F.col("pos") + 1, size), F.col("item_pos"))
-            shift = (F.col("pos") + 1 - F.col("item_pos")).alias("shift")
+            slots = _pairs(F.col("item_words"), F.slice("words", F.col("pos"), size), F.col("item_pos"))
+            shift = (F.col("pos") - F.col("item_pos")).alias("shift")
             parts.append(hit.select("doc_id", "item_id", "n_windows", "item_pos", F.lit(size).alias("size"), shift, slots.alias("slots")))
     if not parts:
         doc_kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-        empty = "n_windows long, item_pos int, size int, shift int, slots array<struct<place:int,item:string,doc:string>>"
+        empty = "n_windows long, item_pos int, size int, shift int, slots array<struct<place:int,item:string,doc:string,certain:boolean>>"
         return docs.sparkSession.createDataFrame([], f"doc_id {doc_kind}, item_id {item_kind}, {empty}")
     found = parts[0]
     for part in parts[1:]:
@@ -164,8 +203,8 @@ def find_leaks(
     Where a name or unit turns into several values along an alignment (a shift of positions), the windows
     that hold another one than the most frequent do not count; if none is most frequent nor the item's own, the
     alignment is a chance match and dropped. Equal numbers may turn into different ones. ``matched`` counts the
-    item's windows, ``share`` is their part of all its windows, ``slots`` the place-holder values of the
-    item in them, and ``changed`` those that the document has another value for. Null and empty texts leak nothing; items too short for a window
+    item's windows, ``share`` is their part of ``slots`` the place-holder values of the
+    item in them (of words that may be names, those that changed), and ``changed`` those that the document has another value for. Null and empty texts leak nothing; items too short for a window
     are in no result; repeated rows of one id count as one document, and so do null ids. A group has
     no more rows than an item has windows, times their repetitions in one document.
     """
@@ -177,7 +216,8 @@ def find_leaks(
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     lines = _settled(lines)
-    pairs = F.transform("slots", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc")))
+    told = F.filter("slots", lambda s: s["certain"] | (s["item"] != s["doc"]))
+    pairs = F.transform(told, lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc")))
     lines = lines.withColumn("slots", F.array_distinct(pairs))
     both = lines.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("matched"),

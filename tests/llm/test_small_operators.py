@@ -293,6 +293,21 @@ def test_a_conflict_drops_only_windows_of_the_minority(spark):
     assert found[1, 1]["changed"] == 0 and found[2, 1]["changed"] == 1 and 0.5 < found[1, 1]["share"] < 1
 
 
+def test_names_wherever_they_stand(spark):
+    earns = "Weng earns 12 dollars for an hour of work. Weng pays for the bus each day and again at night. Weng saves all the rest of it."
+    short = "Which planet is the largest one?"
+    again = earns.replace("Weng", "Zora").replace("12", "15")
+    lines = again.replace(". Zora", '.\n"Zora')
+    inner = "They met Olga near Oslo while Ivan and Lena and Karl were still in Rome with Nina and with Olaf"
+    found = leaks(
+        spark, again, lines, inner.lower(), "so tell me which planet is the largest one", "word " + inner.upper(),
+        earns.replace("Weng saves", "Zora saves"), items=[(0, earns), (1, short), (2, inner)],
+    )
+    assert set(found) == {(0, 0), (1, 0), (2, 2), (3, 1), (4, 2), (5, 0)}
+    assert found[0, 0]["share"] == 1 == found[1, 0]["share"] and found[0, 0]["changed"] == 2
+    assert found[2, 2]["share"] == 1 and found[2, 2]["changed"] == 0 and found[5, 0]["share"] < 1
+
+
 def test_template_words(spark):
     def of(text):
         return spark.range(1).select(decontaminate.template_words(F.lit(text)).alias("w")).first()["w"]
