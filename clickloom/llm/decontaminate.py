@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import fresh
 
-# Words in a window, and the fewest of them that are no place-holders.
+# Words in a window, and the fewest of them that are no place-holders. Windows with fewer are found as they
+# are, values and all, if they have as many words of any kind.
 WINDOW = 8
 LITERALS = 4
 # Share of an item's windows that a document must have.
@@ -89,12 +90,13 @@ def _windows(size: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(item_id, size, n_windows, item_pos, hash, item_words)``, a row for each distinct form of each
-    window of an item.
+    """``(item_id, size, strong, n_windows, n_strong, item_pos, hash, item_words)``, a row for each distinct form
+    of each window of an item.
 
-    An item with fewer than ``window`` words is one window of its own size. Windows with fewer than
-    ``LITERALS`` words besides place-holders say too little and are left out, and with them items
-    of fewer words; in the form with more names, such windows are only matched in the others.
+    An item with fewer than ``window`` words is one window of its own size. In a form where a window has fewer
+    than ``LITERALS`` words besides place-holders it says too little and is left out; as it is, with its values,
+    it has a row all the same. ``strong`` windows have enough words where certain names alone are place-holders.
+    Items of fewer than ``LITERALS`` words of any kind are left out.
     """
     words = _coded(items.select(F.col(item).alias("item_id"), marked_words(F.col(text)).alias("words")))
     words = words.withColumn("size", F.least(F.lit(window), F.size("words")))
@@ -105,10 +107,12 @@ def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text
     rows = rows.select("item_id", "size", "item_pos", cut("words").alias("item_words"), *hashes)
     loose = F.size(F.filter("item_words", lambda w: ~w.startswith(MARK)))
     strict = F.size(F.filter("item_words", lambda w: ~w.startswith(MARK) | w.startswith(f"{MARK}s")))
-    rows = rows.where(strict >= LITERALS)
-    forms = F.array("plain", "strict", F.when(loose >= LITERALS, F.col("loose")).otherwise(F.col("plain")))
-    rows = rows.select("item_id", "size", "item_pos", F.explode(F.array_distinct(forms)).alias("hash"), "item_words")
-    counts = rows.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"))
+    rows = rows.where(F.col("size") >= LITERALS).withColumn("strong", strict >= LITERALS)
+    strict = F.when(F.col("strong"), F.col("strict")).otherwise(F.col("plain"))
+    forms = F.array(F.col("plain"), strict, F.when(loose >= LITERALS, F.col("loose")).otherwise(F.col("plain")))
+    rows = rows.select("item_id", "size", "strong", "item_pos", F.explode(F.array_distinct(forms)).alias("hash"), "item_words")
+    of_strong = F.count_distinct(F.when(F.col("strong"), F.col("item_pos")))
+    counts = rows.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"), of_strong.alias("n_strong"))
     return rows.join(counts, "item_id")
 
 
@@ -159,7 +163,7 @@ def _settled(lines: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(doc_id, item_id, n_windows, item_pos, size, shift, slots)``: every window that a document and
+    """``(doc_id, item_id, n_windows, n_strong, strong, item_pos, size, shift, slots)``: every window that a document and
     an item have in common, with its place-holder values.
 
     The benchmark is the stated query set: its windows are joined in blocks of at most ``BLOCK``,
@@ -183,10 +187,11 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
             hit = seen.join(F.broadcast(some), "hash")
             slots = _pairs(F.col("item_words"), F.slice("words", F.col("pos"), size), F.col("item_pos"))
             shift = (F.col("pos") - F.col("item_pos")).alias("shift")
-            parts.append(hit.select("doc_id", "item_id", "n_windows", "item_pos", F.lit(size).alias("size"), shift, slots.alias("slots")))
+            counts = ("n_windows", "n_strong", "strong")
+            parts.append(hit.select("doc_id", "item_id", *counts, "item_pos", F.lit(size).alias("size"), shift, slots.alias("slots")))
     if not parts:
         doc_kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-        empty = "n_windows long, item_pos int, size int, shift int, slots array<struct<place:int,item:string,doc:string,certain:boolean>>"
+        empty = "n_windows long, n_strong long, strong boolean, item_pos int, size int, shift int, slots array<struct<place:int,item:string,doc:string,certain:boolean>>"
         return docs.sparkSession.createDataFrame([], f"doc_id {doc_kind}, item_id {item_kind}, {empty}")
     found = parts[0]
     for part in parts[1:]:
@@ -203,15 +208,18 @@ def find_leaks(
     Where a name or unit turns into several values along an alignment (a shift of positions), the windows
     that hold another one than the most frequent do not count; if none is most frequent nor the item's own, the
     alignment is a chance match and dropped. Equal numbers may turn into different ones. ``matched`` counts the
-    item's windows, ``share`` is their part of ``slots`` the place-holder values of the
-    item in them (of words that may be names, those that changed), and ``changed`` those that the document has another value for. Null and empty texts leak nothing; items too short for a window
-    are in no result; repeated rows of one id count as one document, and so do null ids. A group has
+    item's windows, ``share`` is their part of all its windows or of the strong ones, whichever is more, ``slots``
+    the place-holder values of the item in them (of words that may be names, those that changed), and ``changed``
+    those that the document has another value for. Null and empty texts leak nothing; items of fewer than
+    ``LITERALS`` words are in no result; repeated rows of one id count as one document, and so do null ids. A group has
     no more rows than an item has windows, times their repetitions in one document.
     """
     found = matches(docs, items, key, text, window)
     lines = found.groupBy("doc_id", "item_id", "shift").agg(
         F.collect_set("item_pos").alias("at"),
+        F.collect_set(F.when(F.col("strong"), F.col("item_pos"))).alias("strong"),
         F.max("n_windows").alias("n_windows"),
+        F.max("n_strong").alias("n_strong"),
         F.max("size").alias("size"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
@@ -221,11 +229,14 @@ def find_leaks(
     lines = lines.withColumn("slots", F.array_distinct(pairs))
     both = lines.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("matched"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.array_intersect("at", "strong"))))).alias("matched_strong"),
         F.max("n_windows").alias("n_windows"),
+        F.max("n_strong").alias("n_strong"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
-    both = both.withColumn("share", F.col("matched") / F.col("n_windows")).where(F.col("share") >= share)
+    of_strong = F.when(F.col("n_strong") > 0, F.col("matched_strong") / F.col("n_strong")).otherwise(0.0)
+    both = both.withColumn("share", F.greatest(F.col("matched") / F.col("n_windows"), of_strong)).where(F.col("share") >= share)
     return both.select("doc_id", "item_id", "matched", "share", F.size("slots").alias("slots"), changed.alias("changed"))
 
 

@@ -308,6 +308,17 @@ def test_names_wherever_they_stand(spark):
     assert found[2, 2]["share"] == 1 and found[2, 2]["changed"] == 0 and found[5, 0]["share"] < 1
 
 
+def test_items_of_values_are_found_as_they_are(spark):
+    items = [(0, "What is 23 + 45?"), (1, "Compute 3 x 4 x 5 x 6 x 7 x 8"), (2, "1, 1, 2, 3, 5, 8, 13, 21, 34, 55"),
+             (3, "name Anna, Boris, Carla, Dmitri, Elena, Fritz, Gina, Hugo"), (4, "8 + 9"),
+             (5, "a pot and a lid cost 11 coins and the pot costs 10 more: 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22 23")]
+    texts = [f"so they asked: {asked} and waited" for _, asked in items[:5]] + ["What is 24 + 45? 1, 1, 2, 4, 5, 8, 13, 20, 34, 54"]
+    texts += [items[5][1].split(":")[0].replace("11", "12").replace("10", "11")]
+    found = leaks(spark, *texts, items=items)
+    assert set(found) == {(0, 0), (1, 1), (2, 2), (3, 3), (6, 5)}
+    assert all(found[i, i]["share"] == 1 for i in range(4)) and all(found[i, i]["changed"] == 0 for i in (0, 2, 3))
+
+
 def test_template_words(spark):
     def of(text):
         return spark.range(1).select(decontaminate.template_words(F.lit(text)).alias("w")).first()["w"]
