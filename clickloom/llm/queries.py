@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    chunk_prints, decontaminate, hmm, mixing, near_dup, quality, secret_scan, token_counts, toxicity, warc,
+    byte_bpe, chunk_prints, decontaminate, hmm, mixing, near_dup, quality, secret_scan, token_counts, toxicity, warc,
 )
 from clickloom.llm.common import remainder, table
 from clickloom.llm.oracles import ORACLES, SEED, TARGETS
@@ -18,6 +19,7 @@ QUERIES: dict[str, Query] = {}
 
 # Pieces of a public tokenizer; never copied here.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 # Labels of rows with this remainder are never learned from.
 TOXIC_HELD_OUT = (3, 1)
@@ -109,3 +111,13 @@ def op9_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, later = token_counts.piece_vocabulary(VOCABULARY)
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), first, later)
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(RANKS)
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, PATTERN)
+    spelled = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    summed = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(spelled, 256).alias("ids_sha256"))
+    decoded = byte_bpe.decode(summed, ranks)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))
