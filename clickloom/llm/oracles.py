@@ -51,3 +51,43 @@ marked AS (
 SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
 FROM marked"""
+
+# CRC-32 (polynomial 0xEDB88320) of the digits of an id, bit by bit.
+_CRC = """xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(0, 8 * length({s})),
+      lambda k: CASE WHEN k % 8 = 0 THEN ascii({s}[k // 8 + 1])::BIGINT ELSE 0 END)),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384::BIGINT * (xor(c, b) & 1))), 4294967295::BIGINT)"""
+
+ORACLES["op12_prefix_trie"] = f"""WITH
+numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS own, {_CRC.format(s="CAST(conv_id AS VARCHAR)")} % 9 AS h FROM numbered GROUP BY conv_id),
+convs AS (
+  SELECT s.conv_id, s.h, b.conv_id AS base, least(s.h, coalesce(b.own, 0)) AS lent,
+    least(s.h, coalesce(b.own, 0)) + greatest(s.own - s.h, 0) AS turns
+  FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.conv_id - s.conv_id % 5),
+rebuilt AS (
+  SELECT c.conv_id, lent + n - h AS position, turns, role, text FROM convs c JOIN numbered USING (conv_id) WHERE n > h
+  UNION ALL
+  SELECT c.conv_id, n AS position, turns, role, text FROM convs c JOIN numbered b ON b.conv_id = c.base WHERE n <= h),
+pathed AS (
+  SELECT conv_id, position AS depth, turns, text,
+    md5(string_agg(concat(length(role), ':', role, length(text), ':', text), '') OVER (PARTITION BY conv_id ORDER BY position)) AS node
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, turns, '', 'root' FROM convs),
+nodes AS (
+  SELECT depth, node, min(conv_id) AS owner, count(*) AS n_convs, (count(*) - 1) * octet_length(encode(min(text))) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE turns = depth), '')) AS ends_sha256
+  FROM pathed GROUP BY depth, node),
+linked AS (
+  SELECT n.*, p.node AS above FROM nodes n LEFT JOIN pathed p ON p.conv_id = n.owner AND p.depth = n.depth - 1),
+children AS (SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (depth, node)),
+totals AS (
+  SELECT a.depth, a.node, count_if(d.n_children = 0) AS n_leaves, sum(d.saved) AS saved_tokens
+  FROM counted d JOIN pathed a ON a.conv_id = d.owner AND a.depth <= d.depth GROUP BY a.depth, a.node)
+SELECT c.owner AS conv_id, c.depth, p.owner AS parent_conv_id, c.n_convs, c.n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN totals USING (depth, node) LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.node = c.above"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    byte_bpe, chunk_prints, decontaminate, hmm, mixing, near_dup, quality, secret_scan, token_counts, toxicity, warc,
+    byte_bpe, chunk_prints, decontaminate, hmm, mixing, near_dup, prefix_trie, quality, secret_scan, token_counts, toxicity, warc,
 )
 from clickloom.llm.common import remainder, table
 from clickloom.llm.oracles import ORACLES, SEED, TARGETS
@@ -121,3 +121,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     summed = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(spelled, 256).alias("ids_sha256"))
     decoded = byte_bpe.decode(summed, ranks)
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    rebuilt = prefix_trie.shared_heads(*turns, group=5, heads=remainder("conv", 9), most=8)
+    return prefix_trie.prefix_trie(*rebuilt)
