@@ -91,3 +91,25 @@ totals AS (
 SELECT c.owner AS conv_id, c.depth, p.owner AS parent_conv_id, c.n_convs, c.n_children,
   CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
 FROM counted c JOIN totals USING (depth, node) LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.node = c.above"""
+
+ORACLES["op13_hard_negatives"] = """WITH
+taking_part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS numbers
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(list_dot_product(a.numbers, r.numbers) AS BIGINT) AS score
+  FROM taking_part a JOIN taking_part r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s USING (anchor_id)
+  WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    byte_bpe, chunk_prints, decontaminate, hmm, mixing, near_dup, prefix_trie, quality, secret_scan, token_counts, toxicity, warc,
+    byte_bpe, chunk_prints, decontaminate, hmm, hyperplane_tree, mixing, near_dup, prefix_trie, quality, secret_scan, token_counts, toxicity, warc,
 )
 from clickloom.llm.common import remainder, table
 from clickloom.llm.oracles import ORACLES, SEED, TARGETS
@@ -128,3 +128,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
     rebuilt = prefix_trie.shared_heads(*turns, group=5, heads=remainder("conv", 9), most=8)
     return prefix_trie.prefix_trie(*rebuilt)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    index = hyperplane_tree.build_index(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", moved)
+    return hyperplane_tree.hard_negatives(index, spark, F.col("id") % 100 == 0)
