@@ -1,17 +1,17 @@
-"""Byte-level BPE by a rank queue on a bitmap of several levels.
+"""Byte-level BPE by a rank queue on a bitmap of two levels.
 
-A text is split by a pattern, and each match is merged by itself. The bytes of a match are a linked list
-of pieces. Each pair of neighbours that the vocabulary can merge waits in the bucket of its rank, under its
-first byte's place; a bitmap tells which buckets have entries, a bitmap over its words which words have
-bits, and so on up to one word. The lowest rank is then found by one find-first-set per level, however
-many pairs wait. Entries whose pair has changed meanwhile are skipped when they come up.
+A text is split by a pattern, and each match is merged by itself. The matches that a task has not met yet are laid one
+after the other, as one linked list of pieces. Each pair of neighbours that the vocabulary can merge waits in the
+bucket of its rank, by the place of its first byte; a bitmap tells which buckets have entries, and another
+one which words of the first have bits. The lowest rank is then found by two find-first-sets, however many pairs
+wait. Entries whose pair has changed meanwhile are skipped when they come up.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator, Sequence
-from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +24,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 from clickloom.llm.common import fresh, slices, text_slices
 
 # Bits of a bitmap's word, as a power of two.
-WORD_BITS = 6
-# Matches remembered by a task, and the longest that are, in bytes; the memory is emptied when it is full.
-MEMORY, REMEMBERED = 200_000, 64
+WORD_BITS = 8
+BITS = [1 << i for i in range(1 << WORD_BITS)]
+# Matches remembered by a task between slices of its texts, and the longest that are, in characters.
+MEMORY, REMEMBERED = 500_000, 64
 # Ids decoded at once in a task (a longer list is decoded alone).
 GROUP_IDS = 4_000_000
 
@@ -37,119 +38,125 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-class RankQueue:
-    """Places waiting by rank; the lowest rank comes first, and of equal ranks the lowest place."""
-
-    def __init__(self, ranks: int) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        words = ranks
-        while not self.levels or words > 1:
-            words = (words + (1 << WORD_BITS) - 1) >> WORD_BITS
-            self.levels.append([0] * words)
-
-    def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, place)
-            return
-        self.buckets[rank] = [place]
-        for level in self.levels:
-            word, bit = rank >> WORD_BITS, 1 << (rank & ((1 << WORD_BITS) - 1))
-            before = level[word]
-            level[word] = before | bit
-            if before:
-                return
-            rank = word
-
-    def pop(self) -> tuple[int, int] | None:
-        """The first ``(rank, place)``, or None."""
-        top = self.levels[-1][0]
-        if not top:
-            return None
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            rank = (rank << WORD_BITS) | ((word & -word).bit_length() - 1)
-        bucket = self.buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self._clear(rank)
-        return rank, place
-
-    def _clear(self, rank: int) -> None:
-        for level in self.levels:
-            word = rank >> WORD_BITS
-            level[word] &= ~(1 << (rank & ((1 << WORD_BITS) - 1)))
-            if level[word]:
-                return
-            rank = word
-
-
-class Merger:
-    """Merges the bytes of a match; as large as the vocabulary, whatever the input."""
+class Vocabulary:
+    """Pieces and ranks, the rank of each pair of pieces that is one, and that of two bytes by their values."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self.longest = max(map(len, ranks), default=0)
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.memory: dict[bytes, list[int]] = {}
-
-    def ids(self, match: bytes) -> list[int]:
-        """Ids of the pieces of one match of the pattern."""
-        if len(match) > REMEMBERED:
-            return self.merged(match)
-        found = self.memory.get(match)
-        if found is None:
-            if len(self.memory) >= MEMORY:
-                self.memory.clear()
-            found = self.memory[match] = self.merged(match)
-        return found
-
-    def merged(self, match: bytes) -> list[int]:
-        ranks, longest, queue = self.ranks, self.longest, self.queue
-        whole = ranks.get(match)
-        if whole is not None:
-            return [whole]
-        size = len(match)
-        after = list(range(1, size + 1))  # where the piece that begins at a place ends
-        before = list(range(-1, size - 1))  # where the piece before it begins
-        waiting = [-1] * size  # rank of the pair that begins at a place
-        for i in range(size - 1):
-            rank = ranks.get(match[i : i + 2])
-            if rank is not None:
-                waiting[i] = rank
-                queue.push(rank, i)
-        while (first := queue.pop()) is not None:
-            rank, i = first
+        self.size = max(ranks.values(), default=0) + 1
+        self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)])
+        nothing: dict[int, int] = {}
+        self.follow = [nothing] * self.size  # for each piece, those that make a piece with it, with its rank
+        self.two = np.full(1 << 16, -1)
+        for piece, rank in ranks.items():
+            for cut in range(1, len(piece)):
+                left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+                if left is not None and right is not None:
+                    if self.follow[left] is nothing:
+                        self.follow[left] = {}
+                    self.follow[left][right] = rank
+            if len(piece) == 2:
+                self.two[int.from_bytes(piece, "big")] = rank
+
+
+def merge(vocabulary: Vocabulary, matches: Sequence[bytes]) -> list[tuple[int, ...]]:
+    """The ids of each match, which has a byte at least: of all its pairs the one of lowest rank is merged first, of equal ones
+    the leftmost. Matches do not touch each other, so it is no matter which of two goes first."""
+    if not matches:
+        return []
+    data = np.frombuffer(b"".join(matches), dtype=np.uint8).astype(np.int64)
+    size = len(data)
+    begins = np.cumsum([0, *map(len, matches)])
+    ids = vocabulary.single[data]
+    if (ids < 0).any():
+        raise ValueError(f"the vocabulary has no piece for the byte {data[ids.argmin()]}")
+    ranks = np.full(size, -1)
+    ranks[:-1] = vocabulary.two[data[:-1] << 8 | data[1:]]
+    ranks[begins[1:] - 1] = -1
+    first = bytearray(size + 1)  # 1 where a match begins, and behind the last
+    np.frombuffer(first, dtype=np.uint8)[begins] = 1
+    alive = bytearray(b"\1") * size  # 1 where a piece begins
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    buckets: list[list[int]] = [[] for _ in range(vocabulary.size)]
+    words, top = [0] * ((vocabulary.size >> WORD_BITS) + 1), 0
+    places = np.flatnonzero(ranks >= 0)
+    places = places[np.argsort(ranks[places], kind="stable")]
+    for some in np.split(places, np.flatnonzero(np.diff(ranks[places])) + 1) if len(places) else ():
+        rank = int(ranks[some[0]])
+        buckets[rank] = some.tolist()
+        words[rank >> WORD_BITS] |= BITS[rank & (len(BITS) - 1)]
+        top |= 1 << (rank >> WORD_BITS)
+    ids, waiting, follow = ids.tolist(), ranks.tolist(), vocabulary.follow  # waiting: the rank of the pair that begins there
+    sorted_: dict[int, int] = {}  # entries left in a bucket that was in order when a lower rank came between
+    while top:
+        word = (top & -top).bit_length() - 1
+        row = words[word]
+        rank = (word << WORD_BITS) + (row & -row).bit_length() - 1
+        bucket = buckets[rank]
+        if sorted_.pop(rank, None) != len(bucket):
+            bucket.sort(reverse=True)
+        lower = False
+        while bucket and not lower:
+            i = bucket.pop()
             if waiting[i] != rank:
                 continue  # the pair has changed, or its place is inside another piece
             gone = after[i]
-            end = after[i] = after[gone]
-            waiting[gone] = -1
-            if end < size:
+            end = after[gone]
+            after[i], ids[i], waiting[gone], alive[gone] = end, rank, -1, 0
+            if first[end]:
+                waiting[i] = -1
+            else:
                 before[end] = i
-            for left, right in ((i, end), (before[i], i)):
-                if left < 0 or right >= size:
-                    if left == i:
-                        waiting[i] = -1
-                    continue
-                stop = after[right]
-                found = ranks.get(match[left:stop]) if stop - left <= longest else None
-                if found is None:
-                    waiting[left] = -1
-                elif waiting[left] != found:
-                    waiting[left] = found
-                    queue.push(found, left)
-        ids, i = [], 0
-        while i < size:
-            piece = match[i : after[i]]
-            if piece not in ranks:
-                raise ValueError(f"the vocabulary has no piece for the byte {piece!r}")
-            ids.append(ranks[piece])
-            i = after[i]
-        return ids
+                waiting[i] = found = follow[rank].get(ids[end], -1)
+                if found >= 0:
+                    if not (other := buckets[found]):
+                        words[found >> WORD_BITS] |= BITS[found & (len(BITS) - 1)]
+                        top |= 1 << (found >> WORD_BITS)
+                    other.append(i)
+                    lower = found < rank
+            if not first[i]:
+                left = before[i]
+                waiting[left] = found = follow[ids[left]].get(rank, -1)
+                if found >= 0:
+                    if not (other := buckets[found]):
+                        words[found >> WORD_BITS] |= BITS[found & (len(BITS) - 1)]
+                        top |= 1 << (found >> WORD_BITS)
+                    other.append(left)
+                    lower |= found < rank
+        if bucket:
+            sorted_[rank] = len(bucket)
+            continue
+        words[word] ^= BITS[rank & (len(BITS) - 1)]
+        if not words[word]:
+            top ^= 1 << word
+    kept = np.frombuffer(alive, dtype=np.uint8)
+    ends = np.cumsum(np.add.reduceat(kept, begins[:-1], dtype=np.int64)).tolist()
+    left = np.array(ids)[kept > 0].tolist()
+    return [tuple(left[a:b]) for a, b in zip([0, *ends], ends)]
+
+
+class Memory(dict):
+    """The ids of the matches met so far."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def learn(self, matches: Iterable[Sequence[str]]) -> None:
+        """Merge those that are new."""
+        new = set().union(*matches).difference(self)
+        spelled = {match: match.encode() for match in new}
+        whole = {match: rank for match, data in spelled.items() if (rank := self.vocabulary.ranks.get(data)) is not None}
+        parted = [match for match in new if match not in whole]
+        self.update((match, (rank,)) for match, rank in whole.items())
+        self.update(zip(parted, merge(self.vocabulary, [spelled[match] for match in parted])))
+
+    def trim(self) -> None:
+        """Forget long matches, and all when there are too many."""
+        if len(self) > MEMORY:
+            self.clear()
+        for match in [m for m in self if len(m) > REMEMBERED]:
+            del self[match]
 
 
 def encode(
@@ -169,19 +176,19 @@ def encode(
     inner = [f"c{i}" for i in range(len(keep))]
     source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, inner)], F.col(f"`{text}`").cast("string").alias("text"))
     result = StructType(source.schema.fields[:-1]).add("ids", ArrayType(IntegerType()))
-    vocabulary = docs.sparkSession.sparkContext.broadcast(ranks)
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(ranks))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger, matcher = Merger(vocabulary.value), regex.compile(pattern)
+        memory, matcher = Memory(vocabulary.value), regex.compile(pattern)
         for batch in batches:
             for start, stop, texts in text_slices(batch.column(len(inner))):
-                found: list[int] = []
-                offsets = [0]
-                for own in texts:
-                    for match in matcher.finditer(own):
-                        found += merger.ids(match.group().encode())
-                    offsets.append(len(found))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()))
+                matches = list(map(matcher.findall, texts))
+                memory.learn(matches)
+                found = [list(chain.from_iterable(map(memory.__getitem__, own))) for own in matches]
+                memory.trim()
+                offsets = np.cumsum([0, *map(len, found)])
+                flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=offsets[-1])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
                 kept = [batch.column(i).slice(start, stop - start) for i in range(len(inner))]
                 yield pa.RecordBatch.from_arrays([*kept, lists], names=[*inner, "ids"])
 
