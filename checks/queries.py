@@ -24,7 +24,7 @@ from clickloom.shared import shared_folder
 from clickloom.sources import ad_log, tables
 from clickloom.sources import driver_tables as D
 from clickloom.sources.sinks import replace_table
-from clickloom.streaming.ads import BlacklistLoop, PaneSink, StatsSink, TrendSink
+from clickloom.streaming.ads import BlacklistLoop, ClickTrend, RunningCounts, RunningPanes, RunningStats, RunningTrend
 from clickloom.streaming.run import run_available
 
 TASK = "task-1"
@@ -523,37 +523,35 @@ def ad_sliding_window(spark, sf):
 # --- ads, as streams -----------------------------------------------------------------
 
 
-def _run_stats(spark, sf) -> StatsSink:
-    folder = shared_folder(spark, "ad-stat")
-    sink = StatsSink(f"{folder}/tables")
-    run_available(D.ad_click_stream(spark, sf), sink, f"{folder}/checkpoint")
-    return sink
+def _run_counts(spark, sf, counts: RunningCounts, folder: str) -> RunningCounts:
+    stream = counts.running(D.ad_click_stream(spark, sf))
+    run_available(stream, counts, f"{folder}/checkpoint", mode="update")
+    return counts
 
 
 @query
 def ad_stat(spark, sf):
-    return _run_stats(spark, sf).stats.latest(spark)
+    folder = shared_folder(spark, "ad-stat")
+    return _run_counts(spark, sf, RunningStats(folder), folder).totals(spark)
 
 
 @query
 def ad_province_top3(spark, sf):
-    return _run_stats(spark, sf).top.latest(spark)
+    folder = shared_folder(spark, "ad-stat")
+    return _run_counts(spark, sf, RunningStats(folder), folder).top.latest(spark)
 
 
 @query
 def ad_click_trend(spark, sf):
     folder = shared_folder(spark, "ad-trend")
-    sink = TrendSink(f"{folder}/tables")
-    run_available(D.ad_click_stream(spark, sf), sink, f"{folder}/checkpoint")
-    return sink.trend.latest(spark)
+    return _run_counts(spark, sf, RunningTrend(folder), folder).totals(spark)
 
 
 @query
 def ad_sliding_stream(spark, sf):
     folder = shared_folder(spark, "ad-panes")
-    sink = PaneSink(f"{folder}/tables", ads.pane_seconds(*WINDOW))
-    run_available(D.ad_click_stream(spark, sf), sink, f"{folder}/checkpoint")
-    counts = ads.slide_panes(sink.panes.latest(spark), *WINDOW)
+    panes = _run_counts(spark, sf, RunningPanes(folder, ads.pane_seconds(*WINDOW)), folder).totals(spark)
+    counts = ads.slide_panes(panes, *WINDOW)
     return counts.select(
         F.unix_seconds("start").alias("start_s"), F.unix_seconds("end").alias("end_s"),
         "adid", "clickCount",
@@ -599,8 +597,7 @@ def _run_job(spark, sf) -> str:
     folder = shared_folder(spark, "ad-job")
     ad_log.format_lines(_no_spaces(D.ad_clicks(spark, sf))).write.text(f"{folder}/incoming")
     lines = ad_log.file_lines(spark, f"{folder}/incoming")
-    for running in start_ad_job(lines, folder, THRESHOLD, every=None):
-        running.awaitTermination()
+    start_ad_job(lines, folder, THRESHOLD, every=None).awaitTermination()
     return f"{folder}/tables"
 
 
@@ -611,7 +608,7 @@ def ad_job_user_counts(spark, sf):
 
 @query
 def ad_job_trend(spark, sf):
-    return TrendSink(_run_job(spark, sf)).trend.latest(spark)
+    return ClickTrend(_run_job(spark, sf)).trend.latest(spark)
 
 
 # --- keyed updates and tables --------------------------------------------------------

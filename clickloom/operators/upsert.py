@@ -40,16 +40,3 @@ def new_rows(existing: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataF
         existing.select(*keys), list(keys), "left_anti"
     )
 
-
-def merge_log(log: DataFrame, keys: Sequence[str], mode: str, value: str, batch: str) -> DataFrame:
-    """State of a table from the log of its updates, each stamped with its ``batch``:
-    ``upsert`` of all batches in turn, in one aggregate."""
-    keys = list(keys)
-    if mode == INCREMENT:
-        return log.groupBy(*keys).agg(F.sum(value).alias(value))
-    if mode == OVERWRITE:
-        return log.groupBy(*keys).agg(F.max_by(value, batch).alias(value))
-    if mode == REPLACE_GROUP:
-        newest = log.groupBy(*keys).agg(F.max(batch).alias(batch))
-        return log.join(newest, [*keys, batch], "left_semi").drop(batch)
-    raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")

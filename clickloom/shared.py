@@ -58,12 +58,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def mark(spark: SparkSession, path: str) -> None:
-    """An empty file."""
-    files, place = _place(spark, path)
-    files.create(place, True).close()
-
-
 def remove(spark: SparkSession, path: str) -> None:
     files, place = _place(spark, path)
     files.delete(place, True)

@@ -4,29 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom import schemas
-from clickloom.functions.times import DATE
+from clickloom.functions.times import DATE, MINUTE_KEY, minute_key_parts
 from clickloom.operators import ads
-from clickloom.operators.upsert import INCREMENT, REPLACE_GROUP, new_rows
-from clickloom.streaming.log import INSERT, BatchLog, Numbers
+from clickloom.operators.upsert import OVERWRITE, REPLACE_GROUP
+from clickloom.streaming.tables import KeyedTable, ListedOnce, Run
 
 THRESHOLD = 100
-
-
-def _dates(counts: DataFrame) -> list[str]:
-    """The days a batch has clicks of."""
-    return sorted(r["date"] for r in counts.select("date").distinct().collect())
-
-
-def _touched(
-    log: BatchLog, counts: DataFrame, number: int, dates: Sequence[str], keys: Sequence[str]
-) -> DataFrame:
-    """Present statistics of the groups (by ``keys``) that ``counts`` has rows of."""
-    groups = counts.select(*keys).distinct()
-    return log.state(counts.sparkSession, number, dates if "date" in keys else None, groups)
+# Folders of a day's user counts.
+BUCKETS = 16
 
 
 class BlacklistLoop:
@@ -37,7 +27,8 @@ class BlacklistLoop:
     the next batch on; statistics and top ads follow the same clicks.
 
     Clicks are counted by all keys at once before anything is joined, so a user with most
-    of a batch's clicks is left with a row per place and ad.
+    of a batch's clicks is left with a row per place and ad. A batch that failed between two of its
+    tables is run again as it was: the blacklist it sees is that of before, and counts begin from before.
     """
 
     def __init__(
@@ -46,117 +37,174 @@ class BlacklistLoop:
         threshold: int = THRESHOLD,
         top_n: int = 3,
         top_partition: Sequence[str] = tuple(ads.PROVINCE_KEYS),
-        fold_every: int = 32,
+        buckets: int = BUCKETS,
     ) -> None:
-        def log(name, schema, keys, mode):
-            return BatchLog(f"{folder}/{name}", schema, keys, mode, fold_every=fold_every)
-
         self.threshold = threshold
         self.top_n = top_n
         self.top_partition = list(top_partition)
-        self.blacklist = log("ad_blacklist", schemas.AD_BLACKLIST, ["userid"], INSERT)
-        self.user_counts = log(
-            "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS, INCREMENT
+        self.blacklist = ListedOnce(f"{folder}/ad_blacklist", schemas.AD_BLACKLIST)
+        self.user_counts = KeyedTable(
+            f"{folder}/ad_user_click_count", schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS, buckets=buckets, spread=["userid"]
         )
-        self.stats = log("ad_stat", schemas.AD_STAT, ads.STAT_KEYS, INCREMENT)
-        self.top = log(
-            "ad_province_top3", schemas.AD_PROVINCE_TOP3, self.top_partition, REPLACE_GROUP
+        self.stats = KeyedTable(f"{folder}/ad_stat", schemas.AD_STAT, ads.STAT_KEYS)
+        self.top = KeyedTable(
+            f"{folder}/ad_province_top3", schemas.AD_PROVINCE_TOP3, [*self.top_partition, "adid"], REPLACE_GROUP, self.top_partition
         )
 
-        self.logs = [self.blacklist, self.user_counts, self.stats, self.top]
-        self.numbers = Numbers(folder, self.logs)
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        number = self.numbers.of(spark, batch_id)
-        counted = ads.count_by(
-            ads.with_date(batch), ["date", "province", "city", "userid", "adid"]
-        )
-        listed = self.blacklist.state(spark, number - 1)
-        kept = ads.drop_listed(counted, listed).persist()
+        run = Run.of(spark, batch_id)
+        counted = ads.count_by(ads.with_date(batch), ["date", "province", "city", "userid", "adid"])
+        kept = ads.drop_listed(counted, self.blacklist.before(spark, run)).persist()
         try:
-            dates = _dates(kept)
-            mine = ads.sum_by(kept, ads.USER_KEYS)
-            self.user_counts.write(mine, number)
-            keys = mine.select(*ads.USER_KEYS)
-            now = ads.current_counts(keys, self.user_counts.state(spark, number, dates, keys))
-            over = ads.users_over(now, self.threshold)
-            self.blacklist.write(new_rows(listed, over, ["userid"]), number)
-            self.stats.write(ads.sum_by(kept, ads.STAT_KEYS), number)
-            groups = _touched(self.stats, kept, number, dates, self.top_partition)
-            self.top.write(ads.top_ads(groups, self.top_n, self.top_partition), number)
+            counts = self.user_counts.write(ads.sum_by(kept, ads.USER_KEYS), run)
+            stats = self.stats.write(ads.sum_by(kept, ads.STAT_KEYS), run)
+            self._rank(stats if "date" in self.top_partition else self.stats.latest(spark), kept, run)
+            # Last, because Spark forgets what is kept from a table's files when they change.
+            self.blacklist.write(ads.users_over(counts.where(run.made()), self.threshold), run)
         finally:
             kept.unpersist()
 
+    def _rank(self, stats: DataFrame, kept: DataFrame, run: Run) -> None:
+        groups = kept.select(*self.top_partition).distinct()
+        now = stats.join(groups, self.top_partition, "left_semi")
+        best = ads.top_ads(now, self.top_n, self.top_partition).persist()
+        try:
+            self.top.write(best, run)
+        finally:
+            best.unpersist()
 
-class StatsSink:
-    """Adds the clicks of each batch to the counts per date, province, city and ad, and stores the
-    top ads of the dates and provinces they belong to. Nothing is kept in a state store."""
 
-    def __init__(self, folder: str, top_n: int = 3, fold_every: int = 32) -> None:
-        self.top_n = top_n
-        self.stats = BatchLog(
-            f"{folder}/ad_stat", schemas.AD_STAT, ads.STAT_KEYS, INCREMENT, fold_every=fold_every
-        )
-        self.top = BatchLog(
-            f"{folder}/ad_province_top3",
-            schemas.AD_PROVINCE_TOP3,
-            ads.PROVINCE_KEYS,
-            REPLACE_GROUP,
-            fold_every=fold_every,
-        )
-        self.logs = [self.stats, self.top]
-        self.numbers = Numbers(folder, self.logs)
+class ClickTrend:
+    """Adds the clicks of each batch to the counts per minute of event time and ad, however late they come; a batch
+    replaces the hours it has clicks of."""
+
+    def __init__(self, folder: str) -> None:
+        self.trend = KeyedTable(f"{folder}/ad_click_trend", schemas.AD_CLICK_TREND, ads.TREND_KEYS, by=["date", "hour"])
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        number = self.numbers.of(batch.sparkSession, batch_id)
-        counted = ads.stat_counts(batch).persist()
+        counted = ads.minute_counts(batch).persist()
         try:
-            self.stats.write(counted, number)
-            now = _touched(self.stats, counted, number, _dates(counted), ads.PROVINCE_KEYS)
-            self.top.write(ads.top_ads(now, self.top_n), number)
+            self.trend.write(counted, Run.of(batch.sparkSession, batch_id))
         finally:
             counted.unpersist()
 
 
-class TrendSink:
-    """Adds the clicks of each batch to the counts per minute of event time and ad.
+class RunningCounts:
+    """Clicks counted by ``keys`` in Spark's state store, and the table of these counts.
 
-    Counts by arrival: a click counts however late it comes.
+    ``running`` is a streaming aggregate in update mode: per key and span of arrival (``span``, by the clock that Spark notes for
+    each batch and keeps for a batch run again) the count so far. The watermark is on the arrival, which never goes
+    back: no click is too late, whatever its own time; and a span's counts leave the state when it is over, so
+    the state holds the keys of one span. A late click is counted in the span it comes in, beside earlier
+    counts of its key, and ``totals`` adds them up. The table has a folder per date and span, so a batch replaces only
+    what arrived in the present span.
     """
 
-    def __init__(self, folder: str, fold_every: int = 32) -> None:
-        self.trend = BatchLog(
-            f"{folder}/ad_click_trend",
-            schemas.AD_CLICK_TREND,
-            ads.TREND_KEYS,
-            INCREMENT,
-            fold_every=fold_every,
+    KEYS: Sequence[str] = ()
+    SCHEMA: T.StructType
+
+    def __init__(self, folder: str, span: str = "1 hour") -> None:
+        self.span = span
+        schema = T.StructType([*self.SCHEMA.fields, T.StructField("arrived", T.StringType())])
+        self.table = KeyedTable(f"{folder}/counts", schema, [*self.KEYS, "arrived"], OVERWRITE, ["date", "arrived"])
+
+    def grouping(self) -> list[Column]:
+        """What is counted by, from the columns of a click."""
+        raise NotImplementedError
+
+    def named(self, counts: DataFrame) -> DataFrame:
+        """The key columns, from those of ``grouping``."""
+        return counts
+
+    def running(self, clicks: DataFrame) -> DataFrame:
+        timed = clicks.select(*self.grouping(), F.current_timestamp().alias("_at")).withWatermark("_at", "0 seconds")
+        others = [c for c in timed.columns if c != "_at"]
+        counts = timed.groupBy(F.window("_at", self.span).alias("_span"), *others).agg(F.count(F.lit(1)).alias("clickCount"))
+        arrived = F.date_format(F.col("_span.start"), "yyyyMMdd-HHmmss").alias("arrived")
+        return self.named(counts.select(arrived, *others, "clickCount"))
+
+    def __call__(self, updates: DataFrame, batch_id: int) -> None:
+        updates = updates.persist()  # else the aggregate would run again for each use
+        try:
+            self.store(updates, Run.of(updates.sparkSession, batch_id))
+        finally:
+            updates.unpersist()
+
+    def store(self, updates: DataFrame, run: Run) -> None:
+        self.table.write(updates, run)
+
+    def totals(self, spark: SparkSession) -> DataFrame:
+        """The counts of all spans."""
+        return ads.sum_by(self.table.latest(spark), self.KEYS)
+
+
+class RunningStats(RunningCounts):
+    """Clicks per date, province, city and ad, and the top ads of the dates and provinces that clicks came for."""
+
+    KEYS, SCHEMA = ads.STAT_KEYS, schemas.AD_STAT
+
+    def __init__(self, folder: str, span: str = "1 hour", top_n: int = 3) -> None:
+        super().__init__(folder, span)
+        self.top_n = top_n
+        self.top = KeyedTable(
+            f"{folder}/ad_province_top3", schemas.AD_PROVINCE_TOP3, [*ads.PROVINCE_KEYS, "adid"], REPLACE_GROUP, ads.PROVINCE_KEYS
         )
-        self.logs = [self.trend]
-        self.numbers = Numbers(f"{folder}/ad_click_trend", self.logs)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.trend.write(ads.minute_counts(batch), self.numbers.of(batch.sparkSession, batch_id))
+    def grouping(self) -> list[Column]:
+        return [F.date_format("ts", DATE).alias("date"), F.col("province"), F.col("city"), F.col("adid")]
+
+    def store(self, updates: DataFrame, run: Run) -> None:
+        super().store(updates, run)
+        groups = updates.select(*ads.PROVINCE_KEYS).distinct()
+        dates = [row["date"] for row in updates.select("date").distinct().collect()]
+        stats = self.table.latest(updates.sparkSession).where(F.col("date").isin(dates) if dates else F.lit(False))
+        best = ads.top_ads(stats.join(groups, ads.PROVINCE_KEYS, "left_semi"), self.top_n).persist()
+        try:
+            self.top.write(best, run)
+        finally:
+            best.unpersist()
+
+
+class RunningTrend(RunningCounts):
+    """Clicks per minute of event time and ad."""
 
+    KEYS, SCHEMA = ads.TREND_KEYS, schemas.AD_CLICK_TREND
 
-class PaneSink:
-    """Adds the clicks of each batch to the counts per pane of ``seconds``, from which sliding
-    windows are read. Late clicks count."""
+    def grouping(self) -> list[Column]:
+        return [F.date_trunc("minute", "ts").alias("_minute"), F.col("adid")]
 
-    def __init__(self, folder: str, seconds: int, fold_every: int = 32) -> None:
+    def named(self, counts: DataFrame) -> DataFrame:
+        parts = minute_key_parts(F.date_format("_minute", MINUTE_KEY))
+        return counts.withColumns(dict(zip(("date", "hour", "minute"), parts))).drop("_minute")
+
+
+class RunningPanes(RunningCounts):
+    """Clicks per pane of ``seconds`` and ad, of which sliding windows are made (``ads.slide_panes``): a click is counted once,
+    not once for each window it falls in."""
+
+    KEYS, SCHEMA = ["date", "pane", "adid"], schemas.AD_PANES
+
+    def __init__(self, folder: str, seconds: int, span: str = "1 hour") -> None:
+        super().__init__(folder, span)
         self.seconds = seconds
-        self.panes = BatchLog(
-            f"{folder}/ad_panes",
-            schemas.AD_PANES,
-            ["date", "pane", "adid"],
-            INCREMENT,
-            fold_every=fold_every,
-        )
-        self.logs = [self.panes]
-        self.numbers = Numbers(f"{folder}/ad_panes", self.logs)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        counted = ads.pane_counts(batch, self.seconds)
-        dated = counted.withColumn("date", F.date_format("pane", DATE))
-        self.panes.write(dated, self.numbers.of(batch.sparkSession, batch_id))
+    def grouping(self) -> list[Column]:
+        at = F.unix_seconds("ts")
+        return [F.timestamp_seconds(at - F.pmod(at, F.lit(self.seconds))).alias("pane"), F.col("adid")]
+
+    def named(self, counts: DataFrame) -> DataFrame:
+        return counts.withColumn("date", F.date_format("pane", DATE))
+
+
+def closed_windows(clicks: DataFrame, length: int, slide: int, late: str = "1 minute") -> DataFrame:
+    """A stream of the sliding windows that are over, each once, ``(start, end, adid, clickCount)``; for append mode.
+
+    Two aggregates in a chain, panes and then windows over the panes' time. A window is over when a click ``late`` after its end
+    has come; clicks that are later than that are in no window here, so keep ``RunningPanes`` where all must count.
+    """
+    pane = F.window("ts", f"{ads.pane_seconds(length, slide)} seconds").alias("pane")
+    panes = clicks.withWatermark("ts", late).groupBy(pane, "adid").agg(F.count(F.lit(1)).alias("clickCount"))
+    window = F.window(F.window_time("pane"), f"{length} seconds", f"{slide} seconds").alias("w")
+    counted = panes.groupBy(window, "adid").agg(F.sum("clickCount").alias("clickCount"))
+    return counted.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "adid", "clickCount")

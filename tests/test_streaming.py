@@ -1,17 +1,18 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.operators.upsert import INCREMENT, OVERWRITE, REPLACE_GROUP, upsert
-from clickloom.plans.ad_job import start_ad_job
-from clickloom.shared import materialize, remove, shared_folder
+from clickloom.plans.ad_job import AdJob, start_ad_job
+from clickloom.shared import materialize, names_in, shared_folder
 from clickloom.sources import driver_tables
 from clickloom.sources.ad_log import file_lines, format_lines, parse_lines
-from clickloom.streaming.ads import BlacklistLoop, PaneSink, StatsSink, TrendSink
-from clickloom.streaming.log import INSERT, BatchLog
-from clickloom.streaming.run import run_available
+from clickloom.streaming.ads import BlacklistLoop, ClickTrend, RunningPanes, RunningStats, RunningTrend, closed_windows
+from clickloom.streaming.run import run_available, start
+from clickloom.streaming.tables import KeyedTable, ListedOnce, Run
 from tests.conftest import rows
 from tests.test_ads import clicks_of, loop
 
@@ -23,84 +24,87 @@ def folder(spark):
     return shared_folder(spark, "test")
 
 
+def files_of(spark, path):
+    """The data files below a folder."""
+    return {r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect()}
+
+
 @pytest.mark.parametrize("mode", [INCREMENT, OVERWRITE, REPLACE_GROUP])
-def test_log_equals_upserts_in_turn(spark, folder, mode):
+def test_table_equals_upserts_in_turn(spark, folder, mode):
+    """Every batch written twice, as after a failure; a new query goes on where the last one was."""
     dice = random.Random(mode)
-    keys = ads.PROVINCE_KEYS if mode == REPLACE_GROUP else ads.STAT_KEYS
-    log = BatchLog(folder, schemas.AD_STAT, keys, mode, fold_every=2)
+    by = ads.PROVINCE_KEYS if mode == REPLACE_GROUP else ["date"]
+    keys = by if mode == REPLACE_GROUP else ads.STAT_KEYS
+    stored = KeyedTable(folder, schemas.AD_STAT, ads.STAT_KEYS, mode, by, buckets=0 if mode == REPLACE_GROUP else 2)
     table = spark.createDataFrame([], STAT)
-    for batch in range(6):
+    assert rows(stored.latest(spark)) == []
+    for batch in range(5):
         drawn = {
-            (f"2024-01-0{dice.randint(1, 2)}", dice.choice("pq"), "c", dice.randint(1, 3)): dice.randint(1, 9)
+            (f"2024-01-0{dice.randint(1, 2)}", dice.choice("pq"), dice.choice(["c", None]), dice.randint(1, 3)): dice.randint(1, 9)
             for _ in range(4)
         }
         update = spark.createDataFrame([(*k, n) for k, n in drawn.items()], STAT)
-        log.write(update, batch)
-        table = spark.createDataFrame(rows(upsert(table, update, keys, mode)), STAT)
-        if batch in (2, 4):
-            log.fold(spark, drop_folded=batch == 4)
-        columns = schemas.AD_STAT.names
-        assert rows(log.state(spark, batch)) == rows(table.select(columns))
-    assert rows(log.latest(spark)) == rows(table)
-    one_day = log.state(spark, 5, ["2024-01-02"])
-    assert rows(one_day) == rows(table.where("date = '2024-01-02'"))
-
-
-def test_folders_read_for_a_state(spark, folder):
-    log = BatchLog(folder, schemas.AD_BLACKLIST, ["userid"], INSERT, fold_every=2)
-    rows_ = [spark.createDataFrame([(i,)], schemas.AD_BLACKLIST) for i in range(7)]
-    for i in range(7):
-        log.write(rows_[i], i)
-    assert log._folders(spark, -1) == [] and log._folders(spark, 2) == [(0, [0, 1, 2])]
-    log.fold(spark)
-    assert log._folders(spark, 6) == [(2, [3]), (0, [4, 5, 6])]
-    log.write(rows_[0], 7)
-    log.fold(spark, drop_folded=True)
-    assert log._folders(spark, 7) == [(2, [3]), (1, [5]), (0, [6, 7])]
-    assert sorted(log._ends(spark, 0)) == [6, 7] and log._ends(spark, 1) == [5]
-    assert rows(log.latest(spark)) == [(i,) for i in range(7)]
-
-
-def test_newest_batch_is_a_complete_one(spark, folder):
-    log = BatchLog(folder, schemas.AD_BLACKLIST, ["userid"], INSERT)
-    assert log.newest(spark) == -1 and rows(log.latest(spark)) == []
-    log.write(spark.createDataFrame([(1,)], schemas.AD_BLACKLIST), 0)
-    spark.createDataFrame([(2,)], schemas.AD_BLACKLIST).write.parquet(f"{folder}/level0/batch=1")
-    remove(spark, f"{folder}/level0/batch=1/_SUCCESS")
-    assert log.newest(spark) == 0 and rows(log.latest(spark)) == [(1,)]
+        run = Run("first" if batch < 3 else "second", batch % 3)
+        stored.write(update, run)
+        stored.write(update, run)
+        if mode == REPLACE_GROUP:
+            table = spark.createDataFrame(rows(upsert(table, update, keys, mode)), STAT)
+        else:  # a null city equals a null city in the table
+            named = lambda df: df.fillna("null", "city")
+            table = spark.createDataFrame(rows(upsert(named(table), named(update), keys, mode).select(*schemas.AD_STAT.names)), STAT)
+        assert rows(stored.latest(spark).fillna("null", "city")) == rows(table.fillna("null", "city"))
+
+
+def test_a_batch_replaces_only_the_folders_it_touches(spark, folder):
+    stored = KeyedTable(folder, schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS, buckets=8, spread=["userid"])
+    day = lambda d, users: spark.createDataFrame([(d, u, 1, 1) for u in users], schemas.AD_USER_CLICK_COUNT)
+    stored.write(day("2024-01-01", range(50)).union(day("2024-01-02", range(50))), Run("q", 0))
+    before = files_of(spark, folder)
+    written = stored.write(day("2024-01-02", [7]), Run("q", 1))
+    gone, new = before - files_of(spark, folder), files_of(spark, folder) - before
+    assert len(gone) == len(new) == 1
+    assert all("date=2024-01-02" in f and "bucket=" in f for f in gone | new)
+    assert rows(written.where(Run("q", 1).made()).select("date", "userid", "clickCount")) == [("2024-01-02", 7, 2)]
+    plan = written._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "date=2024-01-01" not in plan  # only the folder of the batch's date is listed
+
+
+def test_groups_are_replaced_as_folders(spark, folder):
+    stored = KeyedTable(folder, schemas.AD_PROVINCE_TOP3, ads.PROVINCE_KEYS, REPLACE_GROUP, ads.PROVINCE_KEYS)
+    made = lambda *tops: spark.createDataFrame(list(tops), schemas.AD_PROVINCE_TOP3)
+    stored.write(made(("d", "p", 1, 5), ("d", "p", 2, 4), ("d", "q/r s", 1, 9)), Run("q", 0))
+    before = files_of(spark, folder)
+    stored.write(made(("d", "p", 3, 7)), Run("q", 1))
+    assert rows(stored.latest(spark)) == [("d", "p", 3, 7), ("d", "q/r s", 1, 9)]
+    assert [f for f in before & files_of(spark, folder)] == [f for f in before if "province=q" in f]
+
+
+def test_listed_in_earlier_batches(spark, folder):
+    listed = ListedOnce(folder, schemas.AD_BLACKLIST)
+    users = lambda *ids: spark.createDataFrame([(i,) for i in ids], schemas.AD_BLACKLIST)
+    assert rows(listed.latest(spark)) == [] and rows(listed.before(spark, Run("q", 0))) == []
+    listed.write(users(), Run("q", 0))
+    listed.write(users(1, 2), Run("q", 1))
+    listed.write(users(2, 3), Run("q", 1))  # run again
+    listed.write(users(5), Run("r", 1))
+    assert rows(listed.before(spark, Run("q", 1))) == [(5,)]
+    assert rows(listed.before(spark, Run("q", 2))) == rows(listed.latest(spark)) == [(2,), (3,), (5,)]
 
 
 def test_tables_outlive_their_checkpoint(spark, folder):
-    """The counts go on under a new checkpoint, and the rows of a state are looked up by key."""
+    """The counts go on under a new checkpoint."""
     batches = random_batches(8)
     for number, batch in enumerate(batches):
         arrive(spark, f"{folder}/in{number}", batch)
         clicks = parse_lines(file_lines(spark, f"{folder}/in{number}"))
-        sinks = [StatsSink(f"{folder}/stats"), TrendSink(f"{folder}/trend"), BlacklistLoop(f"{folder}/loop", 1000)]
+        sinks = [ClickTrend(f"{folder}/trend"), BlacklistLoop(f"{folder}/loop", 1000)]
         for i, sink in enumerate(sinks):
             run_available(clicks, sink, f"{folder}/checkpoint{i}-{number}")
     everything = clicks_of(spark, sum(batches, []))
-    assert rows(sinks[0].stats.latest(spark)) == rows(ads.stat_counts(everything))
-    assert rows(sinks[1].trend.latest(spark)) == rows(ads.minute_counts(everything))
-    assert rows(sinks[2].stats.latest(spark)) == rows(ads.stat_counts(everything))
-    keys = spark.createDataFrame([("2024-01-01", 1, 1)], "date string, userid bigint, adid bigint")
-    state = sinks[2].user_counts.state(spark, 2, ["2024-01-01"], keys)
-    assert rows(state) == rows(ads.user_counts(everything).where("date = '2024-01-01' and userid = 1 and adid = 1"))
-    plan = state._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the join is below the merge
-
-
-def test_retried_batch_counts_once(spark, folder):
-    log = BatchLog(folder, schemas.AD_STAT, ads.STAT_KEYS, INCREMENT, fold_every=2)
-    rows_ = spark.createDataFrame([("2024-01-01", "p", "c", 1, 5)], STAT)
-    for batch in (0, 0, 1, 1):
-        log.write(rows_, batch)
-    assert rows(log.latest(spark)) == [("2024-01-01", "p", "c", 1, 10)]
-
-
-def test_state_of_a_table_not_written_yet(spark, folder):
-    log = BatchLog(folder, schemas.AD_BLACKLIST, ["userid"], INSERT)
-    assert rows(log.state(spark, -1)) == []
+    assert rows(sinks[0].trend.latest(spark)) == rows(ads.minute_counts(everything))
+    assert rows(sinks[1].stats.latest(spark)) == rows(ads.stat_counts(everything))
+    assert rows(sinks[1].user_counts.latest(spark)) == rows(ads.user_counts(everything))
 
 
 def random_batches(seed, days=2):
@@ -122,7 +126,7 @@ def test_blacklist_loop_over_restarts(spark, folder):
     """Three batches, the query stopped and started again after each."""
     threshold = 4
     batches = random_batches(1)
-    state = BlacklistLoop(f"{folder}/tables", threshold, fold_every=2)
+    state = BlacklistLoop(f"{folder}/tables", threshold)
     for batch in batches:
         arrive(spark, f"{folder}/in", batch)
         clicks = parse_lines(file_lines(spark, f"{folder}/in"))
@@ -164,32 +168,65 @@ def test_top_by_province_over_all_dates(spark, folder):
 
 
 def test_running_statistics_equal_batch(spark, folder):
+    """Three batches, the query stopped and started again after each; its counts are in the state store."""
     batches = random_batches(4)
-    sink = StatsSink(f"{folder}/tables", fold_every=2)
+    sink = RunningStats(f"{folder}/tables")
     for batch in batches:
         arrive(spark, f"{folder}/in", batch)
         clicks = parse_lines(file_lines(spark, f"{folder}/in"))
-        run_available(clicks, sink, f"{folder}/checkpoint")
+        run_available(sink.running(clicks), sink, f"{folder}/checkpoint", mode="update")
     expected = ads.stat_counts(clicks_of(spark, sum(batches, [])))
-    assert rows(sink.stats.latest(spark)) == rows(expected)
+    assert rows(sink.totals(spark)) == rows(expected)
     assert rows(sink.top.latest(spark)) == rows(ads.top_ads(expected))
 
 
+def newest_first(seed):
+    return [[(f"2024-01-0{day}{t[10:]}", u, a) for t, u, a in b] for day, b in zip((3, 2, 1), random_batches(seed))]
+
+
 def test_trend_and_sliding_panes_equal_batch(spark, folder):
     """Days arrive newest first, one file per micro-batch; nothing is too late."""
-    batches = [[(f"2024-01-0{day}{t[10:]}", u, a) for t, u, a in b] for day, b in zip((3, 2, 1), random_batches(5))]
+    batches = newest_first(5)
     for batch in batches:
         arrive(spark, f"{folder}/in", batch)
     clicks = parse_lines(file_lines(spark, f"{folder}/in", max_files=1))
-    trend, panes = TrendSink(f"{folder}/trend"), PaneSink(f"{folder}/panes", 10)
-    run_available(clicks, trend, f"{folder}/c1")
-    run_available(clicks, panes, f"{folder}/c2")
-    assert trend.trend.newest(spark) == 2
+    trend, panes, added = RunningTrend(f"{folder}/trend"), RunningPanes(f"{folder}/panes", 10), ClickTrend(f"{folder}/added")
+    run_available(trend.running(clicks), trend, f"{folder}/c1", mode="update")
+    run_available(panes.running(clicks), panes, f"{folder}/c2", mode="update")
+    run_available(clicks, added, f"{folder}/c3")
     everything = clicks_of(spark, sum(batches, []))
-    assert rows(trend.trend.latest(spark)) == rows(ads.minute_counts(everything))
-    assert rows(ads.slide_panes(panes.panes.latest(spark), 120, 10)) == rows(
-        ads.sliding_counts(everything, 120, 10)
-    )
+    assert rows(trend.totals(spark)) == rows(added.trend.latest(spark)) == rows(ads.minute_counts(everything))
+    assert rows(ads.slide_panes(panes.totals(spark), 120, 10)) == rows(ads.sliding_counts(everything, 120, 10))
+
+
+def test_state_goes_when_its_span_of_arrival_is_over(spark, folder):
+    """Old clicks that come late are counted, and the state does not keep what came in earlier spans."""
+    batches = newest_first(9)
+    trend = RunningTrend(f"{folder}/tables", span="1 second")
+    kept = []
+    for batch in batches:
+        arrive(spark, f"{folder}/in", batch)
+        clicks = parse_lines(file_lines(spark, f"{folder}/in"))
+        query = start(trend.running(clicks), trend, f"{folder}/c", every=None, mode="update")
+        query.awaitTermination()
+        progress = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+        kept.append(max(p["numRowsTotal"] for p in progress))
+        assert sum(p["numRowsDroppedByWatermark"] for p in progress) == 0
+    assert rows(trend.totals(spark)) == rows(ads.minute_counts(clicks_of(spark, sum(batches, []))))
+    assert kept[-1] <= 2 * 25  # of 75 clicks: no more than those of this batch and of the last
+
+
+def test_closed_windows_of_a_stream(spark, folder):
+    """Each window that ends by the watermark comes once, equal to the batch result."""
+    first = [(f"2024-01-01T10:0{m}:0{s}", u, u % 2) for u, (m, s) in enumerate([(0, 1), (0, 9), (1, 0), (2, 5), (4, 0)])]
+    for batch in (first, [("2024-01-01T10:09:00", 9, 1)]):
+        arrive(spark, f"{folder}/in", batch)
+    clicks = parse_lines(file_lines(spark, f"{folder}/in", max_files=1))
+    seen = []
+    run_available(closed_windows(clicks, 120, 10, late="10 seconds"), lambda df, _: seen.extend(df.collect()), f"{folder}/c")
+    over = F.col("end") <= F.lit("2024-01-01 10:08:50").cast("timestamp")
+    everything = clicks_of(spark, [*first, ("2024-01-01T10:09:00", 9, 1)])
+    assert sorted(map(tuple, seen), key=repr) == rows(ads.sliding_counts(everything, 120, 10).where(over))
 
 
 def test_stream_over_a_table_of_several_files(spark, folder):
@@ -199,25 +236,65 @@ def test_stream_over_a_table_of_several_files(spark, folder):
         spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
     events = spark.read.parquet(f"{source}/events.parquet").repartition(4)
     events.write.parquet(f"{folder}/events.parquet")
-    sink = TrendSink(f"{folder}/tables")
-    run_available(driver_tables.ad_click_stream(spark, folder, max_files=1), sink, f"{folder}/c")
-    assert sink.trend.newest(spark) == 3
-    assert rows(sink.trend.latest(spark)) == rows(ads.minute_counts(driver_tables.ad_clicks(spark, folder)))
+    sink = RunningTrend(f"{folder}/tables")
+    stream = sink.running(driver_tables.ad_click_stream(spark, folder, max_files=1))
+    query = start(stream, sink, f"{folder}/c", every=None, mode="update")
+    query.awaitTermination()
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 4
+    assert rows(sink.totals(spark)) == rows(ads.minute_counts(driver_tables.ad_clicks(spark, folder)))
+
+
+def job_tables(spark, folder):
+    job = AdJob(folder, 2)
+    tables = [job.loop.blacklist, job.loop.user_counts, job.loop.stats, job.loop.top, job.trend.trend]
+    return [rows(t.latest(spark)) for t in tables]
 
 
 def test_ad_job(spark, folder):
+    """One query, which reads its lines once per batch."""
     batch = random_batches(6, days=1)[0]
     arrive(spark, f"{folder}/in", batch)
-    queries = start_ad_job(
-        file_lines(spark, f"{folder}/in"), f"{folder}/job", threshold=2, every=None
-    )
-    for query in queries:
-        query.awaitTermination()
-        assert query.exception() is None
-    trend = TrendSink(f"{folder}/job/tables").trend.latest(spark)
-    assert rows(trend) == rows(ads.minute_counts(clicks_of(spark, batch)))
-    stats = BlacklistLoop(f"{folder}/job/tables").stats.latest(spark)
-    assert rows(stats) == rows(ads.stat_counts(clicks_of(spark, batch)))
+    query = start_ad_job(file_lines(spark, f"{folder}/in"), f"{folder}/job", threshold=2, every=None)
+    query.awaitTermination()
+    assert query.exception() is None
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 25
+    _, _, stats, _, trend = job_tables(spark, f"{folder}/job/tables")
+    assert trend == rows(ads.minute_counts(clicks_of(spark, batch)))
+    assert stats == rows(ads.stat_counts(clicks_of(spark, batch)))
+
+
+# The write of each table that fails once, and whether it fails before or after the table is there.
+FAILURES = [("user_counts", True), ("blacklist", False), ("blacklist", True), ("stats", True), ("top", False), ("trend", False)]
+
+
+@pytest.mark.parametrize("table, after", FAILURES)
+def test_job_that_fails_between_two_tables(spark, folder, monkeypatch, table, after):
+    """The second batch fails in the middle; the query is started again and runs it anew."""
+    batches = random_batches(7)
+    failing, failed = AdJob(f"{folder}/failing", 2), []
+    whole = AdJob(f"{folder}/whole", 2)
+    owner = failing.trend if table == "trend" else failing.loop
+    write = getattr(owner, table).write
+
+    def broken(updates, run):
+        if run.batch == 1 and not failed:
+            failed.append(table)
+            if after:
+                write(updates, run)
+            raise RuntimeError("lost")
+        return write(updates, run)
+
+    monkeypatch.setattr(getattr(owner, table), "write", broken)
+    for number, batch in enumerate(batches):
+        arrive(spark, f"{folder}/in", batch)
+        clicks = parse_lines(file_lines(spark, f"{folder}/in"))
+        run_available(clicks, whole, f"{folder}/c1")
+        if number == 1:
+            with pytest.raises(Exception, match="lost"):
+                run_available(clicks, failing, f"{folder}/c2")
+        run_available(clicks, failing, f"{folder}/c2")
+    assert failed and names_in(spark, f"{folder}/failing")
+    assert job_tables(spark, f"{folder}/failing") == job_tables(spark, f"{folder}/whole")
 
 
 def test_shuffle_partitions_hold_in_the_stream(spark, folder):
