@@ -22,10 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import partitions
-from clickloom.operators.skew import heavy_keys, salted_join
 from clickloom.shared import materialize
 
-BAND = 4
+BAND = 8
 # Positions of one conversation hashed in a row, and ids of one node written in a row.
 PIECE, WRITTEN = 1024, 1000
 KEY = ["depth", "p1", "p2"]
@@ -36,8 +35,8 @@ NO_IDS = hashlib.sha256(b"").hexdigest()
 def numbered_turns(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
-    """``(part, conv, n, t1, t2, bytes)``, the turns numbered from 1 in each conversation, with two hashes of role
-    and text; and ``(part, conv, before, turns)``, how many turns of the conversation lie before a part, and in all.
+    """``(part, conv, own, t1, t2, bytes)``, turns with two hashes of role and text, numbered from 1 in each
+    part of a conversation; and ``(part, conv, before, turns)``, how many turns lie before a part, and in all.
 
     Turns are ordered by ``turn``, null first; equal ones by their hashes. A null role or text counts as
     empty. Rows without a conversation belong to none and are left out. Parts are ranges of the order, so a
@@ -61,52 +60,57 @@ def numbered_turns(
     earlier = of_conv.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("before")
     parts = materialize(parts.select("part", "conv", before, F.sum("own").over(of_conv).alias("turns")), "trie-parts")
-    numbered = stored.withColumn("own", own).join(parts, ["part", "conv"])
-    numbered = numbered.select("part", "conv", (F.col("before") + F.col("own")).alias("n"), "t1", "t2", "bytes")
-    return numbered, parts
+    return stored.select("part", "conv", own.alias("own"), "t1", "t2", "bytes"), parts
 
 
-def shared_heads(numbered: DataFrame, parts: DataFrame, group: int, heads: Column, most: int) -> tuple[DataFrame, DataFrame]:
+def shared_heads(numbered: DataFrame, parts: DataFrame, group: int, heads: Column) -> tuple[DataFrame, DataFrame]:
     """``(conv, position, t1, t2, bytes, last)`` of rebuilt conversations, and ``(conv, turns)`` of all of them.
 
-    Conversation c gets the first ``heads`` (a column over ``conv``, at most ``most``) turns of
+    Conversation c gets the first ``heads`` (a column over ``conv``) turns of
     conversation c - c % ``group``, all if there are fewer and none if there is no such one, and then
     its own turns after its first ``heads``.
     """
-    base = F.col("conv") - F.col("conv") % group
-    sizes = parts.groupBy("conv").agg(F.max("turns").alias("own"))
+    sizes = parts.where("before = 0").select("conv", F.col("turns").alias("own"))  # the first part of each
     hosts = sizes.select(F.col("conv").alias("base"), F.col("own").alias("lent"))
-    convs = sizes.withColumn("base", base).join(hosts, "base", "left").withColumn("h", heads.cast("long"))
+    convs = sizes.withColumn("base", F.col("conv") - F.col("conv") % group).withColumn("h", heads.cast("long"))
+    convs = convs.join(hosts, "base", "left")
     lent = F.least(F.col("h"), F.coalesce(F.col("lent"), F.lit(0)))
     turns = lent + F.greatest(F.col("own") - F.col("h"), F.lit(0))
     convs = materialize(convs.select("conv", "base", "h", lent.alias("lent"), turns.alias("turns")), "trie-conversations")
-    made = ["conv", "position", "t1", "t2", "bytes", (F.col("position") == F.col("turns")).alias("last")]
+    target = F.struct("conv", "h", "lent", "turns")
+    guests = convs.groupBy("base").agg(F.collect_list(target).alias("guests"))  # fewer than twice ``group`` each
     # By part as well, so that a conversation of many rows stays cut.
-    told = parts.select("part", "conv").join(convs.drop("base"), "conv")
-    own = numbered.join(told, ["part", "conv"]).where(F.col("n") > F.col("h"))
-    own = own.withColumn("position", F.col("lent") + F.col("n") - F.col("h")).select(*made)
-    begun = numbered.where((F.col("n") <= most) & (base == F.col("conv"))).drop("part").withColumnRenamed("conv", "base")
-    begun = begun.join(convs, "base").where(F.col("n") <= F.col("h"))
-    begun = begun.withColumn("position", F.col("n")).select(*made)
-    return own.unionByName(begun), convs.select("conv", "turns")
-
-
-def paths(turns: DataFrame) -> DataFrame:
-    """``(conv, depth, p1, p2, q1, q2, bytes, last)``: the node of each turn (p) and the one before it (q)."""
+    told = parts.select("part", "conv", "before").join(convs.select("conv", target.alias("self")), "conv")
+    told = told.join(guests.withColumnRenamed("base", "conv"), "conv", "left")
+    rows = numbered.join(told, ["part", "conv"]).withColumn("n", F.col("before") + F.col("own"))
+    at = lambda g, position: F.struct(g["conv"].alias("conv"), position.alias("position"), (position == g["turns"]).alias("last"))
+    me = F.col("self")
+    own = F.when(F.col("n") > me["h"], F.array(at(me, me["lent"] + F.col("n") - me["h"])))
+    begun = F.transform(F.filter("guests", lambda g: F.col("n") <= g["h"]), lambda g: at(g, F.col("n")))
+    none = F.array().cast("array<struct<conv:long,position:long,last:boolean>>")
+    placed = F.explode(F.concat(F.coalesce(own, none), F.coalesce(begun, none))).alias("at")
+    return rows.select("t1", "t2", "bytes", placed).select("at.conv", "at.position", "t1", "t2", "bytes", "at.last"), convs.select("conv", "turns")
+
+
+def paths(turns: DataFrame, depth: int) -> DataFrame:
+    """``(conv, depth, p1, p2, q1, q2, bytes, last)``: the node of each turn (p) and the one before it (q); ``depth`` is the
+    greatest."""
     hashed = lambda i: F.xxhash64(F.lit(i), "position", "t1", "t2")
     rows = turns.select(
         "conv", F.col("position").cast("long").alias("depth"), hashed(3).alias("h1"), hashed(4).alias("h2"), "bytes", "last",
         F.floor((F.col("position") - 1) / PIECE).alias("piece"),
     )
     within = Window.partitionBy("conv", "piece").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({f"r{i}": F.bit_xor(f"h{i}").over(within) for i in (1, 2)})
-    pieces = rows.groupBy("conv", "piece").agg(*[F.bit_xor(f"h{i}").alias(f"h{i}") for i in (1, 2)])
-    earlier = Window.partitionBy("conv").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    before = pieces.select("conv", "piece", *[F.bit_xor(f"h{i}").over(earlier).alias(f"b{i}") for i in (1, 2)])
-    rows = rows.join(before.where(F.col("b1").isNotNull()), ["conv", "piece"], "left")
-    p = [F.col(f"r{i}").bitwiseXOR(F.coalesce(f"b{i}", F.lit(0))) for i in (1, 2)]
-    q = [p[i - 1].bitwiseXOR(F.col(f"h{i}")).alias(f"q{i}") for i in (1, 2)]
-    return rows.select("conv", "depth", p[0].alias("p1"), p[1].alias("p2"), *q, "bytes", "last")
+    rows = rows.withColumns({f"p{i}": F.bit_xor(f"h{i}").over(within) for i in (1, 2)})
+    if depth > PIECE:  # put the pieces together by their last rows
+        rows = materialize(rows, "trie-pieces")
+        whole = rows.where(F.col("depth") % PIECE == 0)
+        earlier = Window.partitionBy("conv").orderBy("piece")
+        before = whole.select("conv", (F.col("piece") + 1).alias("piece"), *[F.bit_xor(f"p{i}").over(earlier).alias(f"b{i}") for i in (1, 2)])
+        rows = rows.join(before, ["conv", "piece"], "left")
+        rows = rows.withColumns({f"p{i}": F.col(f"p{i}").bitwiseXOR(F.coalesce(f"b{i}", F.lit(0))) for i in (1, 2)})
+    q = [F.col(f"p{i}").bitwiseXOR(F.col(f"h{i}")).alias(f"q{i}") for i in (1, 2)]
+    return rows.select("conv", "depth", "p1", "p2", *q, "bytes", "last")
 
 
 def _band(step: str = "step") -> Column:
@@ -203,7 +207,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     included; ``saved_tokens``, over its subtree, the bytes of a node's last text times its conversations but one;
     ``ends_sha256`` of the ascending ids of those that end there. No conversations give no rows, not even a root.
     """
-    path = materialize(paths(turns), "trie-paths")
+    depth = convs.agg(F.max("turns")).first()[0] or 0
+    path = materialize(paths(turns, depth), "trie-paths")
     nodes = path.groupBy(*KEY).agg(
         F.count("*").alias("n_convs"), F.min("conv").alias("conv"),
         *[F.max(c).alias(c) for c in ("q1", "q2", "bytes")],
@@ -219,7 +224,6 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         ((F.col("n_convs") - 1) * F.col("bytes")).alias("saved"),
     )
     weighed = materialize(weighed, "trie-weights")
-    depth = weighed.agg(F.max("step")).first()[0] or 0
     totals = _totals(path.select("conv", F.col("depth").alias("step"), key), weighed.drop("above"), depth)
     totals = totals.select("key", F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"))
     ends = path.where("last").select(*KEY, "conv")
@@ -241,8 +245,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     )
     parents = weighed.select(F.col("key").alias("above"), F.col("conv").alias("parent_conv_id"))
     parents = parents.unionByName(root.select(F.col("key").alias("above"), F.col("conv").alias("parent_conv_id")))
-    found = salted_join(weighed, parents, "above", "inner", heavy_keys(weighed, "above"), ["key"])
-    found = found.join(totals, "key").select(*root.columns).unionByName(root).join(ends, "key", "left")
+    # A node with very many children is one join key; adaptive execution cuts its rows, of which the other side has one.
+    found = weighed.join(parents, "above").join(totals, "key").select(*root.columns).unionByName(root).join(ends, "key", "left")
     return found.select(
         F.col("conv").alias("conv_id"), F.col("step").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves",
         "saved_tokens", F.coalesce("ends_sha256", F.lit(NO_IDS)).alias("ends_sha256"),

@@ -126,7 +126,7 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
-    rebuilt = prefix_trie.shared_heads(*turns, group=5, heads=remainder("conv", 9), most=8)
+    rebuilt = prefix_trie.shared_heads(*turns, group=5, heads=remainder("conv", 9))
     return prefix_trie.prefix_trie(*rebuilt)
 
 

@@ -131,7 +131,7 @@ TURNS = "conv_id long, turn long, role string, text string"
 def trie(spark, turns):
     df = spark.createDataFrame(turns, TURNS).withColumn("depth", F.lit("clash"))
     numbered = prefix_trie.numbered_turns(df)
-    return prefix_trie.prefix_trie(*prefix_trie.shared_heads(*numbered, 5, remainder("conv", 9), 8))
+    return prefix_trie.prefix_trie(*prefix_trie.shared_heads(*numbered, 5, remainder("conv", 9)))
 
 
 def drawn_turns(seed, convs, longest):
@@ -152,6 +152,7 @@ def found_nodes(df):
 def test_trie_equals_brute_force(spark, monkeypatch, seed, convs, longest):
     """Also with pieces and written rows of two, so that both are put together again."""
     monkeypatch.setattr(prefix_trie, "PIECE", 3)
+    monkeypatch.setattr(prefix_trie, "BAND", 3)
     monkeypatch.setattr(prefix_trie, "WRITTEN", 2)
     turns = drawn_turns(seed, convs, longest)
     assert found_nodes(trie(spark, turns)) == sorted(brute_trie(turns), key=repr)
