@@ -17,7 +17,8 @@ import hashlib
 import io
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime
 
 import pyarrow as pa
@@ -30,8 +31,9 @@ from clickloom.llm.common import partitions
 from clickloom.operators.skew import heavy_keys, salted_join
 from clickloom.shared import materialize, shared_folder
 
-# Records in a file; payload bytes passed on at once in a task.
-FILE_RECORDS = 5_000
+# Bytes after which a file is full, before compression (a longer record has a file of its own); payload bytes passed
+# on at once in a task.
+FILE_BYTES = 32_000_000
 BATCH_BYTES = 8_000_000
 # Payloads below this many bytes are stored each time.
 REVISIT_BYTES = 1_000
@@ -75,29 +77,31 @@ def http_response(payload: bytes, key: int | None, kind: str = "text/html; chars
 
 
 def _write(values: DataFrame, path: str, separator: str) -> None:
-    """Each value as it is, and ``separator`` after it; files of ``FILE_RECORDS`` values and one more."""
+    """Each value as a file, and ``separator`` after it."""
     out = values.select(F.col("value").cast("string")).write
     out = out.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-    out.option("maxRecordsPerFile", FILE_RECORDS + 1).option("lineSep", separator).text(path)
+    out.option("maxRecordsPerFile", 1).option("lineSep", separator).text(path)
 
 
 VALUE = StructType().add("value", BinaryType())
 
 
-def _in_files(records: Iterable[bytes], head) -> Iterator[pa.RecordBatch]:
-    """Batches of values with ``head()`` before every ``FILE_RECORDS``-th."""
-    held, size, n = [], 0, 0
+def _in_files(records: Iterable[bytes], head: Callable[[int], bytes], separator: bytes, most: int) -> Iterator[pa.RecordBatch]:
+    """The contents of a task's files: ``head(i)`` and records, as many as ``most`` bytes hold, or one."""
+    held: list[bytes] = []
+    size = i = 0
+
+    def file() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([separator.join([head(i), *held])], pa.binary())], names=["value"])
+
     for record in records:
-        if n % FILE_RECORDS == 0:
-            held.append(head(n // FILE_RECORDS))
-        n += 1
+        if held and size + len(record) > most:
+            yield file()
+            held, size, i = [], 0, i + 1
         held.append(record)
         size += len(record)
-        if size >= BATCH_BYTES:
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["value"])
-            held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["value"])
+        yield file()
 
 
 def write_arc(
@@ -108,6 +112,7 @@ def write_arc(
     url: str = "url",
     html: str = "html",
     date: str = "20240101000000",
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """One ARC record per row, its payload the ``html`` in UTF-8 (null: empty) as an HTTP response.
     A null url is ``-``. Tasks write what they read; an empty table writes no record."""
@@ -119,14 +124,32 @@ def write_arc(
                     block = http_response((h or "").encode("utf-8", "surrogatepass"), k)
                     yield arc_record(version, u, "0.0.0.0", date, "text/html", block)
 
-        yield from _in_files(records(), lambda i: arc_version_block(version, f"part-{i}.arc", date))
+        yield from _in_files(records(), lambda i: arc_version_block(version, f"part-{i}.arc", date), b"\n", file_bytes)
 
     source = pages.select(F.col(key).cast("long"), F.col(url).cast("string"), F.col(html).cast("string"))
     _write(source.mapInArrow(run, VALUE), path, "\n")
 
 
+class _Unpacked(io.RawIOBase):
+    """A gzip file that ends where it is cut off or damaged."""
+
+    def __init__(self, content: bytes) -> None:
+        self.file = gzip.GzipFile(fileobj=io.BytesIO(content))
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        try:
+            part = self.file.read1(len(buffer))
+        except (EOFError, OSError, zlib.error):
+            return 0
+        buffer[: len(part)] = part
+        return len(part)
+
+
 def _opened(content: bytes) -> io.BufferedIOBase:
-    return io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content))) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+    return io.BufferedReader(_Unpacked(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
 
 
 def parse_arc(stream: io.BufferedIOBase) -> Iterator[dict]:
@@ -169,12 +192,10 @@ def warc_date(date: str, other: str = _EPOCH) -> str:
 
 
 def split_http(block: bytes) -> tuple[bytes, bytes]:
-    """Header lines with the empty line after them, and payload."""
-    for end in (b"\r\n\r\n", b"\n\n"):
-        at = block.find(end)
-        if at >= 0:
-            return block[: at + len(end)], block[at + len(end) :]
-    return block, b""
+    """Header lines with the first empty line after them, and payload."""
+    found = [(at, len(end)) for end in (b"\r\n\r\n", b"\n\n") if (at := block.find(end)) >= 0]
+    cut = sum(min(found)) if found else len(block)
+    return block[:cut], block[cut:]
 
 
 def http_field(head: bytes, name: str) -> str | None:
@@ -203,22 +224,23 @@ def convert(record: dict, file: str, file_date: str = _EPOCH) -> dict:
     """The WARC record that says what an ARC record says, as ``RECORD``.
 
     The version block becomes ``warcinfo``, an HTTP response ``response``, all else ``resource``. The
-    identifier is a name-based UUID of file, offset, url, date and block digest.
+    identifier is a name-based UUID of file, offset, url, date and block digest. A field that the version
+    block does not declare is missing: no address or type, ``-`` as url, the date of the file.
     """
-    block, url = record["block"], record["url"]
+    block, url, date = record["block"], record.get("url", "-"), record.get("archive-date", "")
     digest = hashlib.sha1(block).hexdigest()
     kind = "warcinfo" if url.startswith("filedesc://") else "response" if block.startswith(b"HTTP/") else "resource"
     head, payload = split_http(block) if kind == "response" else (b"", block)
     key = http_field(head, "X-Record-Key") if kind == "response" else None
-    name = f"{file} {record['offset_in_file']} {url} {record['archive-date']} {digest}"
+    name = f"{file} {record['offset_in_file']} {url} {date} {digest}"
     return {
         "key": int(key) if key and re.fullmatch(r"-?\d+", key) else None,
         "record_type": kind,
         "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}",
         "target_uri": url,
-        "date": warc_date(record["archive-date"], file_date),
-        "ip": record["ip-address"],
-        "content_type": "application/http; msgtype=response" if kind == "response" else record["content-type"],
+        "date": warc_date(date, file_date),
+        "ip": record.get("ip-address"),
+        "content_type": "application/http; msgtype=response" if kind == "response" else record.get("content-type"),
         "payload_digest": hashlib.sha1(payload).hexdigest(),
         "payload_bytes": len(payload),
         "truncated": record["truncated"],
@@ -316,7 +338,7 @@ def warc_record(row: dict) -> bytes:
     return b"\r\n".join([WARC_VERSION, *lines, b"", block])
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     """The records that ``mark_revisits`` made, as WARC files that open with a ``warcinfo`` record.
     The version blocks of the ARC files are not written again."""
     names = records.columns
@@ -345,13 +367,14 @@ def write_warc(records: DataFrame, path: str) -> None:
             }
             return warc_record(info)
 
-        yield from _in_files(rows(), head)
+        yield from _in_files(rows(), head, b"\r\n\r\n", file_bytes)
 
     _write(records.where(F.col("record_type") != "warcinfo").mapInArrow(run, VALUE), path, "\r\n\r\n")
 
 
 def parse_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
-    """``(fields in lower case, block)`` of each record; lines between records are skipped."""
+    """``(fields in lower case, block)`` of each record; lines between records are skipped, and so
+    are records whose length is no number."""
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
@@ -359,7 +382,8 @@ def parse_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], byte
         while (line := stream.readline()) and line.strip():
             name, _, value = line.decode("utf-8", "replace").partition(":")
             fields[name.strip().lower()] = value.strip()
-        yield fields, stream.read(int(fields.get("content-length", "0")))
+        if (length := fields.get("content-length", "0")).isdecimal():
+            yield fields, stream.read(int(length))
 
 
 READ = (

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickloom.llm import decontaminate, hmm, near_dup, quality, secret_scan, toxicity, warc
+from clickloom.shared import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -61,6 +62,35 @@ def test_damaged_arc():
     assert warc.warc_date("not a date") == "1970-01-01T00:00:00Z" and warc.warc_date("199613") == "1970-01-01T00:00:00Z"
 
 
+def test_archives_out_of_the_ordinary():
+    """Other declared fields, bare line feeds, a gzip file cut short, a length that is no number."""
+    body = b"HTTP/1.0 200 OK\nServer: x\n\none\r\n\r\ntwo"
+    head = "2 0 x\nURL Content-type Archive-length\n"
+    version = f"filedesc://x 0.0.0.0 20200101000000 text/plain {len(head)}\n{head}\n".encode()
+    record = f"http://a/ text/html {len(body)}\n".encode() + body
+    made = [warc.convert(r, "x.arc", "2020-01-01T00:00:00Z") for r in warc.parse_arc(warc._opened(version + record))]
+    assert [(m["record_type"], m["target_uri"], m["date"], m["ip"]) for m in made[1:]] == [("response", "http://a/", "2020-01-01T00:00:00Z", None)]
+    assert made[1]["payload"] == b"one\r\n\r\ntwo" and made[1]["head"] == b"HTTP/1.0 200 OK\nServer: x\n\n"
+
+    noise = random.Random(1).randbytes(100_000)
+    whole = b"".join(warc.arc_record(1, f"http://{i}/", "1.2.3.4", "20200101000000", "text/plain", noise) for i in range(3))
+    packed = gzip.compress(whole)
+    cut = list(warc.parse_arc(warc._opened(packed[: len(packed) // 2])))
+    assert [r["truncated"] for r in cut] == [False, True] and noise.startswith(cut[1]["block"])
+
+    bad = b"WARC/1.1\r\nContent-Length: many\r\n\r\nx\r\n\r\nWARC/1.1\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    assert [block for _, block in warc.parse_warc(warc._opened(bad))] == [b"ok"]
+
+
+def test_files_are_bounded_by_bytes(spark):
+    pages = spark.createDataFrame([(i, f"http://{i}/", "x" * (1_000 if i else 9_000)) for i in range(20)], "page_id long, url string, html string")
+    path = shared_folder(spark, "arc-test")
+    warc.write_arc(pages.coalesce(1), path, file_bytes=3_000)
+    sizes = [len(gzip.decompress(bytes(r["content"]))) for r in spark.read.format("binaryFile").load(f"{path}/*.gz").collect()]
+    assert len(sizes) > 6 and sorted(sizes)[-2] < 3_500 < 9_000 < max(sizes)
+    assert warc.read_arc(spark, path).where("record_type = 'response'").count() == 20
+
+
 def test_archive_pages(spark):
     big, other = "é" * 600, "<p>\r\n\r\nWARC/1.1\r\n" + "y" * 2000
     rows = [(1, "u1", big), (5, "u 5", big), (3, None, big), (2, "u2", "small"), (4, "u4", "small"), (6, "u6", None),
