@@ -63,8 +63,11 @@ def per_slice(
     df: DataFrame, text: str, schema: StructType, work: Callable[[list[str]], dict[str, Any]], keep: list[str]
 ) -> DataFrame:
     """The ``keep`` columns of ``df`` and the columns that ``work`` makes of a list of texts
-    (a null text counts as empty); ``schema`` has the new ones. No row is added or lost."""
+    (a null text counts as empty); ``schema`` has the new ones, which get underscores before their names where
+    ``keep`` has such columns. No row is added or lost."""
     made = to_arrow_schema(schema)
+    kept = df.select(*[F.col(f"`{c}`") for c in keep])
+    names = [fresh(kept, name) for name in schema.fieldNames()]
     inner = [f"c{i}" for i in range(len(keep))]
     source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, inner)], F.col(f"`{text}`").cast("string").alias("text"))
     result = StructType(source.schema.fields[: len(keep)] + schema.fields)
@@ -77,7 +80,7 @@ def per_slice(
                 kept = [batch.column(i).slice(start, stop - start) for i in range(len(inner))]
                 yield pa.RecordBatch.from_arrays(kept + new, names=inner + made.names)
 
-    return source.mapInArrow(run, result).toDF(*keep, *schema.fieldNames())
+    return source.mapInArrow(run, result).toDF(*keep, *names)
 
 
 class WordIds(dict):

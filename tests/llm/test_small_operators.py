@@ -362,6 +362,17 @@ def test_without_leaks_keeps_the_rest(spark):
     assert decontaminate.without_leaks(table.limit(0), items).count() == 0
 
 
+def test_columns_of_the_same_names_are_kept(spark):
+    """New columns get other names where the kept ones have theirs."""
+    table = spark.createDataFrame([(1, "password=abcdefgh12 x", "a", "b", "c")], "doc_id long, text string, spans string, n_tokens string, fingerprint string")
+    found = secret_scan.find_secrets(table, keep=["doc_id", "spans"])
+    assert found.columns == ["doc_id", "spans", "_spans"] and found.first()["_spans"][0]["kind"] == "assign"
+    counted = token_counts.count_tokens(table, {"a"}, {"b"}, keep=["doc_id", "n_tokens"])
+    assert counted.columns == ["doc_id", "n_tokens", "n_words", "_n_tokens", "n_unknown"]
+    printed = chunk_prints.fingerprint(table, keep=["doc_id", "fingerprint"])
+    assert printed.columns == ["doc_id", "fingerprint", "_fingerprint"] and printed.first()["fingerprint"] == "c"
+
+
 def test_main_path_has_no_python(spark):
     table, items = docs(spark, "a"), spark.createDataFrame(ITEMS, "item_id long, text string")
     for df in (decontaminate.find_leaks(table, items), mixing.mix_sources(table, {"s": 0.5}, "s")):
