@@ -16,7 +16,7 @@ from clickloom.streaming.tables import KeyedTable, ListedOnce, Run
 
 THRESHOLD = 100
 # Folders of a day's user counts.
-BUCKETS = 16
+BUCKETS = 4
 
 
 class BlacklistLoop:
@@ -77,10 +77,10 @@ class BlacklistLoop:
 
 class ClickTrend:
     """Adds the clicks of each batch to the counts per minute of event time and ad, however late they come; a batch
-    replaces the hours it has clicks of."""
+    replaces the days it has clicks of."""
 
     def __init__(self, folder: str) -> None:
-        self.trend = KeyedTable(f"{folder}/ad_click_trend", schemas.AD_CLICK_TREND, ads.TREND_KEYS, by=["date", "hour"])
+        self.trend = KeyedTable(f"{folder}/ad_click_trend", schemas.AD_CLICK_TREND, ads.TREND_KEYS)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         counted = ads.minute_counts(batch).persist()

@@ -14,6 +14,8 @@ from clickloom.operators.upsert import INCREMENT, MODES, OVERWRITE, REPLACE_GROU
 from clickloom.shared import exists
 
 BUCKET = "bucket"
+# A folder is written by several tasks, by a hash of the keys, where there are fewer folders than tasks.
+PIECE = "_piece"
 # What a row of an incremented table says of its last change: the count before it, and the batch that made it.
 MARKS = T.StructType().add("before", "long").add("query", "string").add("batch", "long")
 
@@ -94,8 +96,14 @@ class KeyedTable:
         updates = self._placed(updates)
         touched = updates.select(*self.by).distinct().collect()
         if touched:
-            rows = updates if self.mode == REPLACE_GROUP else self._merged(self.among(spark, touched), updates, run)
-            writer = rows.hint("rebalance", *[F.col(c) for c in self.by]).write.partitionBy(*self.by)
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            piece = F.pmod(F.xxhash64(*self.keys), F.lit(-(-n // len(touched)))).alias(PIECE)
+            spread = lambda df: df.select("*", piece).repartition(n, *self.by, PIECE)
+            if self.mode == REPLACE_GROUP:
+                rows = spread(updates)
+            else:  # merged where it is written from
+                rows = self._merged(spread(self._both(self.among(spark, touched), updates)), run)
+            writer = rows.drop(PIECE).write.partitionBy(*self.by)
             writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
         return updates if self.mode == REPLACE_GROUP else self.among(spark, touched)
 
@@ -125,15 +133,17 @@ class KeyedTable:
         df = df.select(*[c for c in self.schema.names if c in df.columns])
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.spread), F.lit(self.buckets)).cast("int")) if self.buckets else df
 
-    def _merged(self, stored: DataFrame, updates: DataFrame, run: Run) -> DataFrame:
-        value = F.col("clickCount")
-        fresh = F.lit(None).cast("long").alias("fresh")
+    def _both(self, stored: DataFrame, updates: DataFrame) -> DataFrame:
+        """The stored rows, and those of the batch with their count as ``fresh``."""
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._stored.fields if f.name not in updates.columns]
-        held = stored.select("*", fresh)
-        came = updates.select("*", *nothing).withColumn("fresh", value).withColumn("clickCount", F.lit(None).cast("long"))
-        others = [c for c in self._stored.names if c not in self.keys]
-        rows = held.unionByName(came).groupBy(*self.keys).agg(*[F.max(c).alias(c) for c in [*others, "fresh"]])
-        added = F.col("fresh").isNotNull()
+        came = updates.select("*", *nothing).withColumns({"fresh": F.col("clickCount"), "clickCount": F.lit(None).cast("long")})
+        return stored.withColumn("fresh", F.lit(None).cast("long")).unionByName(came)
+
+    def _merged(self, rows: DataFrame, run: Run) -> DataFrame:
+        groups = [*self.keys, *[c for c in self.by if c not in self.keys], PIECE]
+        others = [c for c in rows.columns if c not in groups]
+        rows = rows.groupBy(*groups).agg(*[F.max(c).alias(c) for c in others])
+        added, value = F.col("fresh").isNotNull(), F.col("clickCount")
         if self.mode == OVERWRITE:
             return rows.withColumn("clickCount", F.coalesce("fresh", "clickCount")).drop("fresh")
         again = F.when(run.made(), F.col("before")).otherwise(F.coalesce("clickCount", F.lit(0)))
