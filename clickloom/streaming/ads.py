@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,9 +57,11 @@ class BlacklistLoop:
         counted = ads.count_by(ads.with_date(batch), ["date", "province", "city", "userid", "adid"])
         kept = ads.drop_listed(counted, self.blacklist.before(spark, run)).persist()
         try:
-            counts = self.user_counts.write(ads.sum_by(kept, ads.USER_KEYS), run)
-            stats = self.stats.write(ads.sum_by(kept, ads.STAT_KEYS), run)
-            self._rank(stats if "date" in self.top_partition else self.stats.latest(spark), kept, run)
+            places = self.user_counts.write(ads.sum_by(kept, ads.USER_KEYS), run)
+            counts = self.user_counts.among(spark, places)
+            places = self.stats.write(ads.sum_by(kept, ads.STAT_KEYS), run)
+            dated = "date" in self.top_partition
+            self._rank(self.stats.among(spark, places) if dated else self.stats.latest(spark), kept, run)
             # Last, because Spark forgets what is kept from a table's files when they change.
             self.blacklist.write(ads.users_over(counts.where(run.made()), self.threshold), run)
         finally:
@@ -131,8 +133,9 @@ class RunningCounts:
         finally:
             updates.unpersist()
 
-    def store(self, updates: DataFrame, run: Run) -> None:
-        self.table.write(updates, run)
+    def store(self, updates: DataFrame, run: Run) -> list[Row]:
+        """Put the counts that have changed into the table; the places of the folders they are in."""
+        return self.table.write(updates, run)
 
     def totals(self, spark: SparkSession) -> DataFrame:
         """The counts of all spans."""
@@ -154,16 +157,19 @@ class RunningStats(RunningCounts):
     def grouping(self) -> list[Column]:
         return [F.date_format("ts", DATE).alias("date"), F.col("province"), F.col("city"), F.col("adid")]
 
-    def store(self, updates: DataFrame, run: Run) -> None:
-        super().store(updates, run)
+    def store(self, updates: DataFrame, run: Run) -> list[Row]:
+        places = super().store(updates, run)
+        if not places:
+            return places
         groups = updates.select(*ads.PROVINCE_KEYS).distinct()
-        dates = [row["date"] for row in updates.select("date").distinct().collect()]
-        stats = self.table.latest(updates.sparkSession).where(F.col("date").isin(dates) if dates else F.lit(False))
+        dates = sorted({place["date"] for place in places})
+        stats = self.table.latest(updates.sparkSession).where(F.col("date").isin(dates))  # of all spans
         best = ads.top_ads(stats.join(groups, ads.PROVINCE_KEYS, "left_semi"), self.top_n).persist()
         try:
             self.top.write(best, run)
         finally:
             best.unpersist()
+        return places
 
 
 class RunningTrend(RunningCounts):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.operators.upsert import INCREMENT, MODES, OVERWRITE, REPLACE_GROUP
-from clickloom.shared import exists
+from clickloom.shared import exists, names_in
 
 BUCKET = "bucket"
 # A folder is written by several tasks, by a hash of the keys, where there are fewer folders than tasks.
@@ -87,10 +87,10 @@ class KeyedTable:
             return _empty(spark, self.schema)
         return spark.read.schema(self._stored).parquet(self.path).select(*self.schema.names)
 
-    def write(self, updates: DataFrame, run: Run) -> DataFrame:
-        """Merge the rows of a batch into the table; the rows now in the folders it touched, from the files.
+    def write(self, updates: DataFrame, run: Run) -> list[Row]:
+        """Merge the rows of a batch into the table; the places (values of ``by``) of the folders it touched.
 
-        ``updates`` has a row per key and is evaluated several times: persist it. Its folders' names reach the driver.
+        ``updates`` has a row per key and is evaluated several times: persist it.
         """
         spark = updates.sparkSession
         updates = self._placed(updates)
@@ -105,15 +105,15 @@ class KeyedTable:
                 rows = self._merged(spread(self._both(self.among(spark, touched), updates)), run)
             writer = rows.drop(PIECE).write.partitionBy(*self.by)
             writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
-        return updates if self.mode == REPLACE_GROUP else self.among(spark, touched)
+        return touched
 
     def among(self, spark: SparkSession, places: Sequence[Row]) -> DataFrame:
         """The stored rows in these folders; folders of other dates are not even listed."""
         if self.by[0] == "date":
-            folders = sorted({f"{self.path}/date={place[0]}" for place in places})
+            there = set(names_in(spark, self.path)) if places else set()
+            folders = [f"{self.path}/{name}" for name in sorted({f"date={place[0]}" for place in places} & there)]
         else:
-            folders = [self.path] if places else []
-        folders = [folder for folder in folders if exists(spark, folder)]
+            folders = [self.path] if places and exists(spark, self.path) else []
         if not folders:
             return _empty(spark, self._stored)
         rows = spark.read.schema(self._stored).option("basePath", self.path).parquet(*folders)
