@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Masters whose driver and executors are one process.
+LOCAL = re.compile(r"local(\[[^\]]*\])?")
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir``, or below the warehouse where that
-    is unset: both are places that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A fresh folder name below ``spark.checkpoint.dir``, a place that driver and executors share. Where that is unset
+    and all run in one process the warehouse is taken; on a cluster it must be set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not LOCAL.fullmatch(spark.sparkContext.master):
+            raise ValueError("name a folder that the driver and all executors share in spark.checkpoint.dir")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/clickloom/{label}-{uuid.uuid4().hex}"
 
 

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +65,17 @@ def test_jdbc_goes_to_the_driver_of_the_url(spark):
     """No database is started for the tests; the write ends where one would be looked up."""
     with pytest.raises(Exception, match="No suitable driver"):
         write_jdbc(spark.range(1), "jdbc:none:x", "t", properties={"user": "u"})
+
+
+@pytest.mark.parametrize("master, named, fits", [
+    ("local[8]", None, True), ("local", None, True), ("local[*,4]", None, True), ("yarn", None, False),
+    ("spark://h:7077", None, False), ("local-cluster[2,1,1000]", None, False), ("yarn", "hdfs:///shared/", True),
+])
+def test_shared_folder_of_a_cluster_must_be_named(master, named, fits):
+    conf = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": "file:/warehouse"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *_: conf[key]), sparkContext=SimpleNamespace(master=master))
+    if fits:
+        assert shared_folder(session, "x").startswith(f"{(named or 'file:/warehouse').rstrip('/')}/clickloom/x-")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session, "x")
