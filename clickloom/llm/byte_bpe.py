@@ -10,7 +10,9 @@ wait. Entries whose pair has changed meanwhile are skipped when they come up.
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -28,8 +30,8 @@ WORD_BITS = 8
 BITS = [1 << i for i in range(1 << WORD_BITS)]
 # Matches remembered by a task between slices of its texts, and the longest that are, in characters.
 MEMORY, REMEMBERED = 500_000, 64
-# Ids decoded at once in a task (a longer list is decoded alone).
-GROUP_IDS = 4_000_000
+# Characters encoded and ids decoded at once in a task (a longer text or list is handled alone).
+GROUP_CHARS, GROUP_IDS = 2_000_000, 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -141,10 +143,12 @@ class Memory(dict):
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
+        self.long: list[str] = []
 
     def learn(self, matches: Iterable[Sequence[str]]) -> None:
         """Merge those that are new."""
         new = set().union(*matches).difference(self)
+        self.long = [match for match in new if len(match) > REMEMBERED]
         spelled = {match: match.encode() for match in new}
         whole = {match: rank for match, data in spelled.items() if (rank := self.vocabulary.ranks.get(data)) is not None}
         parted = [match for match in new if match not in whole]
@@ -152,11 +156,21 @@ class Memory(dict):
         self.update(zip(parted, merge(self.vocabulary, [spelled[match] for match in parted])))
 
     def trim(self) -> None:
-        """Forget long matches, and all when there are too many."""
+        """Forget the long matches that were learned last, and all when there are too many."""
+        for match in self.long:
+            del self[match]
         if len(self) > MEMORY:
             self.clear()
-        for match in [m for m in self if len(m) > REMEMBERED]:
-            del self[match]
+
+
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without Python's search for cycles, of which many lists and tuples make much work: there are none in them."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
 
 
 def encode(
@@ -181,11 +195,12 @@ def encode(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, matcher = Memory(vocabulary.value), regex.compile(pattern)
         for batch in batches:
-            for start, stop, texts in text_slices(batch.column(len(inner))):
-                matches = list(map(matcher.findall, texts))
-                memory.learn(matches)
-                found = [list(chain.from_iterable(map(memory.__getitem__, own))) for own in matches]
-                memory.trim()
+            for start, stop, texts in text_slices(batch.column(len(inner)), GROUP_CHARS):
+                with uncollected():
+                    matches = list(map(matcher.findall, texts))
+                    memory.learn(matches)
+                    found = [list(chain.from_iterable(map(memory.__getitem__, own))) for own in matches]
+                    memory.trim()
                 offsets = np.cumsum([0, *map(len, found)])
                 flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=offsets[-1])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
