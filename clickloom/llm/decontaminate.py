@@ -1,20 +1,21 @@
 """Benchmark decontamination by templates. DataFrame functions only.
 
-Numbers, units after numbers and names become typed place-holders, so a question asked again with
-other values has the same template. Windows of words are hash-joined with those of the benchmark three
-ways: as they are, with place-holders, and with words that may be names for opening a sentence as names too; along an alignment of a document with an item, a name or unit of the item must have
-turned into one value, and windows with another one do not count.
+Numbers, units after numbers and names become typed place-holders, a run of one type a single one, so a question
+asked again with other values has the same template. Windows of words are hash-joined with those of the benchmark
+three ways: as they are, with place-holders, and with words that may be names for opening a sentence as names too;
+along an alignment of a document with an item, a name or unit of the item must have turned into one value, and
+windows with another one do not count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import fresh
 
 # Words in a window, and the fewest of them that are no place-holders. Windows with fewer are found as they
-# are, values and all, if they have as many words of any kind.
+# are, values and all.
 WINDOW = 8
 LITERALS = 4
 # Share of an item's windows that a document must have.
@@ -24,6 +25,9 @@ BLOCK = 250_000
 
 MARK = "\u0001"  # begins a place-holder; then its type and its value
 
+# Letters of scripts that put no blanks between words (Thai to Myanmar, Khmer, kana, ideographs): each is a word.
+UNSPACED = r"[\u0E00-\x{3FFFF}&&[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]]"
+
 UNITS = (
     "mm cm m km inch inches ft feet foot yd yard yards mile miles mg g kg lb lbs oz ton tons ml l liter liters "
     "litre litres s sec secs second seconds min mins minute minutes h hour hours day days week weeks month months "
@@ -38,9 +42,9 @@ def marked_words(text: Column) -> Column:
 
     A word with a digit is a number; one of ``UNITS`` after a number is a unit; a capitalised word
     after a lower-case word, a number or a comma is a name, and one elsewhere (where a sentence, a line
-    or a quotation begins) may be one.
+    or a quotation begins) may be one. A letter of a script without blanks is a word.
     """
-    text = F.coalesce(text, F.lit(""))
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), UNSPACED, " $0 ")
     names = F.regexp_replace(text, r" (?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{Nd},;] )(\p{Lu}\p{Ll}+)", f" {MARK}p$1")
     begun = rf"(?<!\S)([^\p{{L}}\p{{N}}\s{MARK}]*+)(?=\p{{Lu}}\p{{Ll}})"
     names = F.regexp_replace(names, begun, f"{MARK}s$1")
@@ -62,77 +66,109 @@ def _plain(word: Column) -> Column:
     return F.when(word.startswith(MARK), word.substr(F.lit(3), F.length(word))).otherwise(word)
 
 
-def _strict(word: Column) -> Column:
-    """Its type for a number, unit or certain name."""
-    return F.when(word.startswith(f"{MARK}s"), _plain(word)).when(word.startswith(MARK), F.substring(word, 1, 2)).otherwise(word)
+# The forms of a text, by number: as it is, with certain names, with all that may be names.
+PLAIN, STRICT, LOOSE = range(3)
+
+
+def _heads(loose: bool) -> Column:
+    """Places of ``words`` that begin a word of the form: all but those that go on a place-holder of their type."""
+
+    def begins(i: Column) -> Column:
+        word, last = F.get("words", i), F.get("words", i - 1)
+        kind, before = F.substring(word, 1, 2), F.substring(last, 1, 2)
+        goes_on = kind == before
+        if loose:
+            goes_on = goes_on | ((kind == f"{MARK}p") & (before == f"{MARK}s"))
+        return F.when(~word.startswith(MARK) | word.startswith(f"{MARK}s") | last.isNull(), True).otherwise(~goes_on)
 
+    return F.filter(_places(), begins)
 
-def _loose(word: Column) -> Column:
-    """Its type, where words that may be names are names."""
-    return F.when(word.startswith(f"{MARK}s"), f"{MARK}p").when(word.startswith(MARK), F.substring(word, 1, 2)).otherwise(word)
+
+def _places() -> Column:
+    return F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def _coded(df: DataFrame) -> DataFrame:
-    """``df(words)`` with the hashes of its words in the three forms."""
-    hashes = lambda form: F.transform("words", lambda w: F.xxhash64(form(w)))
-    return df.select("*", hashes(_plain).alias("plain"), hashes(_strict).alias("strict"), hashes(_loose).alias("loose"))
+    """``df(words)`` with the places where words of the two template forms begin, and the hashes of the words in
+    the three forms (of a place-holder its type)."""
 
+    def code(loose: bool):
+        def of(i: Column) -> Column:
+            word = F.get("words", i)
+            if loose:
+                word = F.when(word.startswith(f"{MARK}s"), f"{MARK}p").otherwise(word)
+            typed = word.startswith(MARK) & ~word.startswith(f"{MARK}s")
+            return F.when(typed, F.xxhash64(F.substring(word, 1, 2))).otherwise(F.get("plain", i))
 
-def _windows(size: int) -> Column:
-    """``(pos, hash)`` of the distinct forms of all windows."""
-    forms = ("plain", "strict", "loose")
-    of = lambda i: F.array_distinct(F.array(*[F.xxhash64(F.slice(f, i, size)) for f in forms]))
-    starts = F.sequence(F.lit(1), F.size("words") - (size - 1))
-    hashes = F.flatten(F.transform(starts, lambda i: F.transform(of(i), lambda h: F.struct(i.alias("pos"), h.alias("hash")))))
-    # Each form is named twice, so that Spark does not make its array anew for each window.
-    long_enough = F.least(*[F.size(f) for f in ("words", *forms)]) >= size
-    return F.when(long_enough, hashes).otherwise(F.array().cast("array<struct<pos:int,hash:long>>"))
+        return of
 
+    plain = F.transform("words", lambda w: F.xxhash64(_plain(w)))
+    df = df.select("*", _heads(False).alias("strict_at"), _heads(True).alias("loose_at"), plain.alias("plain"))
+    strict, loose = F.transform("strict_at", code(False)), F.transform("loose_at", code(True))
+    return df.select("*", strict.alias("strict"), loose.alias("loose"))
 
-def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(item_id, size, strong, n_windows, n_strong, item_pos, hash, item_words)``, a row for each distinct form
-    of each window of an item.
 
-    An item with fewer than ``window`` words is one window of its own size. In a form where a window has fewer
-    than ``LITERALS`` words besides place-holders it says too little and is left out; as it is, with its values,
-    it has a row all the same. ``strong`` windows have enough words where certain names alone are place-holders.
-    Items of fewer than ``LITERALS`` words of any kind are left out.
+def _token(words: str, start: Column, stop: Column) -> Column:
+    """The word or the whole place-holder at the places ``start`` to ``stop`` (exclusive) of ``words``."""
+    rest = F.transform(F.slice(words, start + 2, stop - start - 1), lambda w: F.concat(F.lit(" "), _plain(w)))
+    return F.concat(F.get(words, start), F.array_join(rest, ""))
+
+
+def _typed(token: Column, form: Column) -> Column:
+    """Whether the token makes a window of the form another one than that of the form before."""
+    may_be = token.startswith(f"{MARK}s")
+    return F.when(form == STRICT, token.startswith(MARK) & ~may_be).when(form == LOOSE, may_be).otherwise(True)
+
+
+def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``(item_id, size, span, strong, n_windows, n_strong, item_pos, hash, tokens)``, a row for each distinct form
+    of each window of an item: it begins at the word ``item_pos``, has ``size`` words of its form and spans ``span``
+    words of the text; ``tokens`` are ``(place, token)``.
+
+    An item with fewer than ``window`` words is one window of its own size, however short. In a form where a window
+    has fewer than ``LITERALS`` words besides place-holders it says too little and is left out; as it is, with its
+    values, every window has a row. ``strong`` places begin a window that has enough words where certain names alone
+    are place-holders. Items without words have no rows.
     """
     words = _coded(items.select(F.col(item).alias("item_id"), marked_words(F.col(text)).alias("words")))
-    words = words.withColumn("size", F.least(F.lit(window), F.size("words")))
-    at = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)).alias("item_pos")
-    rows = words.select("item_id", "size", at, "words", "plain", "strict", "loose")
-    cut = lambda c: F.slice(c, F.col("item_pos"), F.col("size"))
-    hashes = [F.xxhash64(cut(c)).alias(c) for c in ("plain", "strict", "loose")]
-    rows = rows.select("item_id", "size", "item_pos", cut("words").alias("item_words"), *hashes)
-    loose = F.size(F.filter("item_words", lambda w: ~w.startswith(MARK)))
-    strict = F.size(F.filter("item_words", lambda w: ~w.startswith(MARK) | w.startswith(f"{MARK}s")))
-    rows = rows.where(F.col("size") >= LITERALS).withColumn("strong", strict >= LITERALS)
-    strict = F.when(F.col("strong"), F.col("strict")).otherwise(F.col("plain"))
-    forms = F.array(F.col("plain"), strict, F.when(loose >= LITERALS, F.col("loose")).otherwise(F.col("plain")))
-    rows = rows.select("item_id", "size", "strong", "item_pos", F.explode(F.array_distinct(forms)).alias("hash"), "item_words")
-    of_strong = F.count_distinct(F.when(F.col("strong"), F.col("item_pos")))
-    counts = rows.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"), of_strong.alias("n_strong"))
-    return rows.join(counts, "item_id")
-
-
-def _pairs(item: Column, doc: Column, start: Column) -> Column:
+    form = lambda n, at, codes: F.struct(F.lit(n).alias("form"), at.alias("at"), F.col(codes).alias("codes"))
+    forms = F.array(form(PLAIN, _places(), "plain"), form(STRICT, F.col("strict_at"), "strict"), form(LOOSE, F.col("loose_at"), "loose"))
+    rows = words.where(F.size("words") > 0).select("item_id", "words", F.explode(forms).alias("f")).select("item_id", "words", "f.*")
+    rows = rows.withColumn("size", F.least(F.lit(window), F.size("at")))
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("at") - F.col("size"))))
+    after = lambda k: F.coalesce(F.get("at", k), F.size("words"))
+    made = lambda k: F.struct(F.get("at", k).alias("place"), _token("words", F.get("at", k), after(k + 1)).alias("token"))
+    start = F.get("at", F.col("i"))
+    rows = rows.select(
+        "item_id", "form", "size", start.alias("item_pos"), (after(F.col("i") + F.col("size")) - start).alias("span"),
+        F.xxhash64(F.slice("codes", F.col("i") + 1, F.col("size"))).alias("hash"),
+        F.transform(F.sequence(F.col("i"), F.col("i") + F.col("size") - 1), made).alias("tokens"),
+    )
+    literal = lambda t: ~t["token"].startswith(MARK) | ((F.col("form") == STRICT) & t["token"].startswith(f"{MARK}s"))
+    rows = rows.where((F.col("form") == PLAIN) | (F.size(F.filter("tokens", literal)) >= LITERALS))
+    place, whole = Window.partitionBy("item_id", "item_pos"), Window.partitionBy("item_id")
+    places = lambda kind: F.size(F.collect_set(F.when(kind, F.col("item_pos"))).over(whole)).cast("long")
+    rows = rows.withColumn("strong", F.max(F.col("form") == STRICT).over(place))
+    rows = rows.withColumn("n_windows", places(F.col("form") == PLAIN)).withColumn("n_strong", places(F.col("strong")))
+    return rows.where(F.exists("tokens", lambda t: _typed(t["token"], F.col("form")))).drop("form")
+
+
+def _pairs(tokens: Column, doc: Column) -> Column:
     """``(place in the item, item value, document value, certain)`` of what is a place-holder in the item's
-    window or may be one; ``start`` is the place of their first word."""
-    both = F.arrays_zip(item.alias("item"), doc.alias("doc"))
+    window or may be one."""
 
-    def slot(p: Column, i: Column) -> Column:
-        kind = F.when(p["item"].startswith(f"{MARK}s"), f"{MARK}p").otherwise(F.substring(p["item"], 1, 2))
+    def slot(t: Column, i: Column) -> Column:
+        may_be = t["token"].startswith(f"{MARK}s")
+        kind = F.when(may_be, f"{MARK}p").otherwise(F.substring(t["token"], 1, 2))
         value = lambda w: F.concat(kind, _plain(w))
-        certain = ~p["item"].startswith(f"{MARK}s")
-        made = F.struct((start + i).alias("place"), value(p["item"]).alias("item"), value(p["doc"]).alias("doc"), certain.alias("certain"))
-        return F.when(p["item"].startswith(MARK), made)
+        made = F.struct(t["place"].alias("place"), value(t["token"]).alias("item"), value(F.get(doc, i)).alias("doc"), (~may_be).alias("certain"))
+        return F.when(t["token"].startswith(MARK), made)
 
-    return F.filter(F.transform(both, slot), lambda s: s.isNotNull())
+    return F.filter(F.transform(tokens, slot), lambda s: s.isNotNull())
 
 
 def _settled(lines: DataFrame) -> DataFrame:
-    """``lines(at, size, slots)`` without the windows that hold a minority value of a name or unit.
+    """``lines(at, span, slots)`` without the windows that hold a minority value of a name or unit.
 
     Numbers may be equal by chance, so each place of one is a slot of its own. A name or unit that has turned into
     several values keeps the one at most places, its own if that is among those; where several others
@@ -155,7 +191,7 @@ def _settled(lines: DataFrame) -> DataFrame:
     lines = lines.where(~F.col("clash") | ~tied)
     lost = F.filter("slots", lambda s: F.array_contains("beaten", F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
     lines = lines.withColumn("lost", F.transform(lost, lambda s: s["place"]))
-    inside = lambda place, i: (place >= i) & (place < i + F.col("size"))
+    inside = lambda place, i: (place >= i) & (place < i + F.col("span"))
     at = F.filter("at", lambda i: ~F.exists("lost", lambda place: inside(place, i)))
     lines = lines.withColumn("at", F.when(F.col("clash"), at).otherwise(F.col("at")))
     slots = F.filter("slots", lambda s: F.exists("at", lambda i: inside(s["place"], i)))
@@ -163,42 +199,60 @@ def _settled(lines: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(doc_id, item_id, n_windows, n_strong, strong, item_pos, size, shift, slots)``: every window that a document and
+    """``(doc_id, item_id, n_windows, n_strong, strong, item_pos, span, shift, slots)``: every window that a document and
     an item have in common, with its place-holder values.
 
-    The benchmark is the stated query set: its windows are joined in blocks of at most ``BLOCK``,
-    each broadcast, so the documents are never shuffled, however large the benchmark is.
+    The documents are read once for windows of all sizes. The benchmark is the stated query set: its windows are
+    joined in blocks of at most ``BLOCK`` on average, each broadcast, so the documents are never shuffled, however
+    large the benchmark is; each further block reads them again.
     """
     wanted = benchmark_windows(items, window=window)
     shape = wanted.groupBy("size").agg(F.count("*").alias("n")).collect()  # at most ``window`` rows
+    sizes, blocks = sorted(r["size"] for r in shape), max(1, -(-sum(r["n"] for r in shape) // BLOCK))
     made = _coded(docs.select(F.col(key).alias("doc_id"), marked_words(F.col(text)).alias("words")))
+    kept = ("doc_id", "words", "strict_at", "loose_at")
+    # The outer form: for the other one Spark adds a filter on the array's size below, and makes
+    # every expression of the array anew. Places beyond the end of a form have shorter windows, which are right too.
+    seen = made.select(*kept, "plain", "strict", "loose", F.posexplode_outer("plain").alias("at", "code"))
+    hashes = [F.xxhash64(F.slice(form, F.col("at") + 1, size)) for size in sizes for form in ("plain", "strict", "loose")]
+    hashes = F.array(*hashes) if hashes else F.array().cast("array<bigint>")
+    seen = seen.select(*kept, "at", F.posexplode_outer(hashes).alias("form", "hash"))
     parts = []
-    for row in sorted(shape):
-        size, blocks = row["size"], -(-row["n"] // BLOCK)
-        seen = made.select("doc_id", "words", _windows(size).alias("hashes"))
-        # The outer form: for the other one Spark adds a filter on the array's size below, and makes
-        # every expression of the array anew for each window in it.
-        seen = seen.select("doc_id", "words", F.explode_outer("hashes").alias("at"))
-        seen = seen.select("doc_id", "words", F.col("at.pos").alias("pos"), F.col("at.hash").alias("hash"))
-        for block in range(blocks):
-            some = wanted.where(F.col("size") == size).drop("size")
-            if blocks > 1:
-                some = some.where(F.pmod(F.xxhash64("item_id", "item_pos"), F.lit(blocks)) == block)
-            hit = seen.join(F.broadcast(some), "hash")
-            slots = _pairs(F.col("item_words"), F.slice("words", F.col("pos"), size), F.col("item_pos"))
-            shift = (F.col("pos") - F.col("item_pos")).alias("shift")
-            counts = ("n_windows", "n_strong", "strong")
-            parts.append(hit.select("doc_id", "item_id", *counts, "item_pos", F.lit(size).alias("size"), shift, slots.alias("slots")))
-    if not parts:
-        doc_kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-        empty = "n_windows long, n_strong long, strong boolean, item_pos int, size int, shift int, slots array<struct<place:int,item:string,doc:string,certain:boolean>>"
-        return docs.sparkSession.createDataFrame([], f"doc_id {doc_kind}, item_id {item_kind}, {empty}")
+    for block in range(blocks):
+        some = wanted
+        if blocks > 1:
+            some = some.where(F.pmod(F.xxhash64("item_id", "item_pos"), F.lit(blocks)) == block)
+        parts.append(_hits(seen.join(F.broadcast(some), "hash").withColumn("form", F.col("form") % 3)))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     return found
 
 
+def _hits(hit: DataFrame) -> DataFrame:
+    """The joined windows with their values, those left out that an earlier form has as well."""
+    # Without functions of arrays' elements, so that the windows are cut where they are joined and no row
+    # carries its whole text on.
+    plain = F.col("form") == PLAIN
+    heads = F.when(F.col("form") == STRICT, F.col("strict_at")).otherwise(F.col("loose_at"))
+    end = F.col("at") + F.col("size")
+    hit = hit.withColumn("first", F.when(plain, F.col("at")).otherwise(F.get(heads, F.col("at"))))
+    hit = hit.withColumn("stop", F.when(plain, end).otherwise(F.coalesce(F.get(heads, end), F.size("words"))))
+    hit = hit.withColumn("cut", F.slice("words", F.col("first") + 1, F.col("stop") - F.col("first")))
+    certain = F.array_join("cut", " ").rlike(f"{MARK}[nup]")
+    may_be = F.array_join("cut", " ").contains(f"{MARK}s")
+    hit = hit.where(plain | ((F.col("form") == STRICT) & certain) | ((F.col("form") == LOOSE) & may_be))
+    starts = F.slice(heads, F.col("at") + 1, F.col("size"))
+    counts = ("n_windows", "n_strong", "strong")
+    hit = hit.select("doc_id", "item_id", *counts, "item_pos", "span", "form", "first", "stop", "cut", starts.alias("starts"), "tokens")
+    after = lambda k: F.coalesce(F.get("starts", k + 1), F.col("stop")) - F.col("first")
+    of_form = F.transform("starts", lambda p, k: _token("cut", p - F.col("first"), after(k)))
+    own = F.when(plain, F.col("cut")).otherwise(of_form)
+    shift = (F.col("first") - F.col("item_pos")).alias("shift")
+    hit = hit.select("doc_id", "item_id", *counts, "item_pos", "span", shift, "tokens", own.alias("own"))
+    return hit.select("doc_id", "item_id", *counts, "item_pos", "span", "shift", _pairs(F.col("tokens"), F.col("own")).alias("slots"))
+
+
 def find_leaks(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, share: float = SHARE
 ) -> DataFrame:
@@ -210,9 +264,11 @@ def find_leaks(
     alignment is a chance match and dropped. Equal numbers may turn into different ones. ``matched`` counts the
     item's windows, ``share`` is their part of all its windows or of the strong ones, whichever is more, ``slots``
     the place-holder values of the item in them (of words that may be names, those that changed), and ``changed``
-    those that the document has another value for. Null and empty texts leak nothing; items of fewer than
-    ``LITERALS`` words are in no result; repeated rows of one id count as one document, and so do null ids. A group has
-    no more rows than an item has windows, times their repetitions in one document.
+    those that the document has another value for. Null and empty texts leak nothing and items without words are in no
+    result; an item of a word or two is found wherever a document has these. Very long texts are read whole, in one
+    task each; repeated rows of one id count as one document, and so do null ids. A name asked again with more
+    or fewer words moves what follows, so consistency is judged piece by piece. A group has no more rows than an item
+    has windows, times their repetitions in one document.
     """
     found = matches(docs, items, key, text, window)
     lines = found.groupBy("doc_id", "item_id", "shift").agg(
@@ -220,7 +276,7 @@ def find_leaks(
         F.collect_set(F.when(F.col("strong"), F.col("item_pos"))).alias("strong"),
         F.max("n_windows").alias("n_windows"),
         F.max("n_strong").alias("n_strong"),
-        F.max("size").alias("size"),
+        F.max("span").alias("span"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     lines = _settled(lines)

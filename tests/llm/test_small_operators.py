@@ -277,7 +277,7 @@ def test_same_and_changed_values_are_caught(spark):
         spark, before + asked + after, before + changed + after, before + torn + after, ITEMS[1][1].upper(), "Yes no.", None, "",
         "the train is late and we were there for hours without a word. " * 300,
     )
-    assert set(found) == {(0, 0), (1, 0), (3, 1)}
+    assert set(found) == {(0, 0), (1, 0), (3, 1), (4, 2)}
     assert found[0, 0]["changed"] == 0 and found[1, 0]["changed"] == 3 and found[1, 0]["share"] > 0.9
 
 
@@ -315,8 +315,33 @@ def test_items_of_values_are_found_as_they_are(spark):
     texts = [f"so they asked: {asked} and waited" for _, asked in items[:5]] + ["What is 24 + 45? 1, 1, 2, 4, 5, 8, 13, 20, 34, 54"]
     texts += [items[5][1].split(":")[0].replace("11", "12").replace("10", "11")]
     found = leaks(spark, *texts, items=items)
-    assert set(found) == {(0, 0), (1, 1), (2, 2), (3, 3), (6, 5)}
-    assert all(found[i, i]["share"] == 1 for i in range(4)) and all(found[i, i]["changed"] == 0 for i in (0, 2, 3))
+    assert set(found) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (6, 5)}
+    assert all(found[i, i]["share"] == 1 for i in range(5)) and all(found[i, i]["changed"] == 0 for i in (0, 2, 3))
+
+
+def test_short_items_and_texts_without_blanks(spark):
+    cjk = "小明有五个苹果他给了妹妹两个又买了三个请问现在他一共有多少个苹果呢"
+    items = [(0, "What is 2+2?"), (1, "Capital France Paris"), (2, cjk), (3, "...")]
+    texts = ["Now: what is 2+2? he said", "of the capital, France: Paris!", "前面的话。" + cjk + "后面的话。", "what is 2+3 in France", cjk[:12] + "后面的话", "..."]
+    found = leaks(spark, *texts, items=items)
+    assert set(found) == {(0, 0), (1, 1), (2, 2)} and all(r["share"] == 1 for r in found.values())
+
+
+def test_names_of_several_words(spark):
+    asked = "On Monday the farmer Tom had 12 goats and sold some of them to his neighbour Anna, so how many goats did Tom keep for himself in the end?"
+    again = asked.replace("Tom", "Mary Jane").replace("Anna", "Ada von Berg").replace("12", "1 200")
+    opened = "Tom walks along the river for an hour each day. Tom rests under the old tree and then walks home again."
+    other = opened.replace("Tom", "Mary Jane Smith")
+    found = leaks(spark, again, other, asked.replace("Tom", "Mary Jane").lower(), items=[(0, asked), (1, opened)])
+    assert {(0, 0), (1, 1)} <= set(found)
+    assert found[1, 1]["share"] == 1 and found[1, 1]["changed"] >= 1 and found[0, 0]["changed"] >= 3
+
+
+def test_documents_are_read_once_for_items_of_all_sizes(spark, tmp_path):
+    docs(spark, "one two three").write.parquet(f"{tmp_path}/docs")
+    items = spark.createDataFrame([(n, " ".join(f"w{chr(97 + i)}" for i in range(n))) for n in range(1, 30)], "item_id long, text string")
+    plan = decontaminate.find_leaks(spark.read.parquet(f"{tmp_path}/docs"), items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Python" not in plan
 
 
 def test_template_words(spark):
