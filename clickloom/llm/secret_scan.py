@@ -50,19 +50,19 @@ CLASSES = (
 )
 
 # A window that one of these finds is no secret: words without digits, digits alone, UUIDs, file
-# names and paths of words, and place-holders. Rules for whole strings begin with ^; the others
-# explain the letters and digits around what they find, and nothing beyond.
+# names and paths of words, place-holders, and the example key of a public manual. Rules for whole strings begin
+# with ^; of the others, each match explains the windows that overlap it. A place-holder word counts where
+# a run of letters and digits begins or ends with it: further inside, it is there by chance.
 ALLOWED = (
     r"^[^0-9]*$",
     r"^[0-9=_/+-]*$",
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r"(?i)example|sample|placeholder|xxxx|0123456789|abcdefgh",
+    r"(?i)(?<![0-9a-z])(?:example|sample|placeholder)|(?:example|sample|placeholder)(?![0-9a-z])",
+    r"(?i)xxxx|0123456789|abcdefgh",
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
     r"^(?:[A-Za-z]+|[0-9]+)(?:[/_-](?:[A-Za-z]+|[0-9]+))+$",
 )
 
-# The longest run of letters and digits that a place-holder inside it explains as a whole.
-EXPLAINED = 64
-
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
 
@@ -93,19 +93,11 @@ def window_entropies(run: str, width: int) -> Iterator[float]:
 
 
 def explained(candidate: str, rules: list[str]) -> list[int]:
-    """How many letters before each place ``rules`` explain; a found part explains its run of letters and
-    digits, or itself alone in a run of more than ``EXPLAINED``."""
+    """How many letters before each place are in a match of ``rules``."""
     marks = bytearray(len(candidate))
     for rule in rules:
         for m in re.finditer(rule, candidate):
-            start, end = m.span()
-            while start and end - start <= EXPLAINED and candidate[start - 1].isalnum():
-                start -= 1
-            while end < len(candidate) and end - start <= EXPLAINED and candidate[end].isalnum():
-                end += 1
-            if end - start > EXPLAINED:
-                start, end = m.span()
-            marks[start:end] = b"\1" * (end - start)
+            marks[m.start() : m.end()] = b"\1" * (m.end() - m.start())
     return list(accumulate(marks, initial=0))
 
 

@@ -116,8 +116,54 @@ def test_entropy_spans_and_allow_list():
     spans = secret_scan.entropy_spans(f"see {key} here")
     assert spans and spans[0][0] >= 4 and spans[-1][2] <= 4 + len(key)
     for clean in ("internationalisationofeverything", "12345678901234567890123", "123e4567-e89b-12d3-a456-426614174000",
-                  "path/to/some/long/directory/name", "EXAMPLE" + key):
+                  "path/to/some/long/directory/name", "EXAMPLE" + key[:19], key[:19] + "-example"):
         assert secret_scan.entropy_spans(clean) == []
+    found = secret_scan.entropy_spans("EXAMPLE" + key)
+    assert found and found[0][0] >= 7 and found[-1][2] == 37
+
+
+def spans_by_force(text):
+    """Every window of every run by itself, with plain entropies; the places of all of them."""
+    marked = set()
+    whole = [r for r in secret_scan.ALLOWED if r.startswith("^")]
+    inner = [r for r in secret_scan.ALLOWED if not r.startswith("^")]
+    for c in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        if len(c[0]) < 20 or any(re.search(r, c[0]) for r in whole):
+            continue
+        known = {i for r in inner for m in re.finditer(r, c[0]) for i in range(*m.span())}
+        for kind in secret_scan.CLASSES:
+            for run in re.finditer(kind.run, c[0]):
+                for i in range(run.start(), run.end() - kind.width + 1):
+                    window = c[0][i : i + kind.width]
+                    if plain_entropy(window) >= kind.bits - 1e-9 and not known & set(range(i, i + kind.width)):
+                        if not any(re.search(r, window) for r in whole):
+                            marked |= set(range(c.start() + i, c.start() + i + kind.width))
+    return marked
+
+
+def test_entropy_spans_match_brute_force():
+    draw = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    parts = ["sample", "EXAMPLE", "xxxx", "0123456789", "/", " ", "-", "word", "123e4567-e89b-12d3-a456-426614174000", "é", "deadbeef"]
+    some = 0
+    for _ in range(120):
+        text = "".join(
+            draw.choice(parts) if draw.random() < 0.4 else "".join(draw.choice(letters) for _ in range(draw.randint(1, 40)))
+            for _ in range(draw.randint(0, 12))
+        )
+        got = {i for start, _, end in secret_scan.entropy_spans(text) for i in range(start, end)}
+        assert got == spans_by_force(text), text
+        some += bool(got)
+    assert some > 40
+
+
+def test_a_place_holder_inside_a_key_is_there_by_chance():
+    draw = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrtuvwyz0123456789"
+    key = "".join(draw.choice(letters) for _ in range(36))
+    for text in (key[:18] + "sample" + key[18:], key[:18] + "Example" + key[18:]):
+        assert secret_scan.entropy_spans(f"see {text} here") != []
+    assert secret_scan.entropy_spans("secret_key=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
 
 
 def test_a_place_holder_hides_only_what_is_around_it():
