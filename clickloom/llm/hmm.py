@@ -32,7 +32,7 @@ ROUNDS = 5
 # Characters of the texts that are stored as one block, and tokens (with padding) worked on at once.
 BLOCK_CHARS = 4_000_000
 CELLS = 400_000
-# Training sequences are cut to this many tokens; scoring never cuts.
+# Tokens of a long training text that are worked on at once; the parts are joined exactly.
 SEGMENT = 1024
 END = b""  # the token after the last word
 
@@ -106,7 +106,7 @@ def count_words(blocks: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """``start``: of a text and of a cut training sequence; ``move``: state x state; ``emit``: class x state."""
+    """``start``: of a text; ``move``: state x state; ``emit``: class x state."""
 
     start: np.ndarray
     move: np.ndarray
@@ -118,17 +118,17 @@ class Model:
         emit = (class_totals[:, None] + 0.1) * draw.uniform(0.5, 1.5, (CLASSES, STATES))
         move = np.full((STATES, STATES), 0.1 / (STATES - 1))
         np.fill_diagonal(move, 0.9)
-        return cls(np.full((2, STATES), 1 / STATES), move, emit / emit.sum(axis=0))
+        return cls(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> Model:
         """From added-up Baum-Welch counts, laid out as ``cells`` does, with a little for the unseen."""
-        start, move, emit = np.split(counts, [2 * STATES, 2 * STATES + STATES * STATES])
-        start, move, emit = start.reshape(2, -1) + 0.1, move.reshape(STATES, -1) + 0.1, emit.reshape(CLASSES, -1) + 0.01
-        return cls(start / start.sum(axis=1, keepdims=True), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+        start, move, emit = np.split(counts, [STATES, STATES + STATES * STATES])
+        start, move, emit = start + 0.1, move.reshape(STATES, -1) + 0.1, emit.reshape(CLASSES, -1) + 0.01
+        return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-N_CELLS = 2 * STATES + STATES * STATES + CLASSES * STATES
+N_CELLS = STATES + STATES * STATES + CLASSES * STATES
 
 
 def _groups(sizes: np.ndarray) -> Iterator[np.ndarray]:
@@ -154,7 +154,7 @@ def log_likelihoods(model: Model, classes: np.ndarray, starts: np.ndarray, sizes
     for own in _groups(sizes):
         seen, live = _padded(classes, starts[own], sizes[own])
         total = np.zeros(len(own))
-        state = np.broadcast_to(model.start[0], (len(own), STATES))
+        state = np.broadcast_to(model.start, (len(own), STATES))
         for t, n in enumerate(live):
             state = (state[:n] if t == 0 else state[:n] @ model.move) * model.emit[seen[t, :n]]
             scale = state.sum(axis=1)
@@ -164,18 +164,65 @@ def log_likelihoods(model: Model, classes: np.ndarray, starts: np.ndarray, sizes
     return out
 
 
-def add_counts(
-    counts: np.ndarray, model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, kind: np.ndarray
-) -> None:
-    """Add the expected counts of the sequences to ``counts``; ``kind`` is 1 where a sequence goes on with a text."""
-    begin, move, emit = np.split(counts, [2 * STATES, 2 * STATES + STATES * STATES])
-    begin, move = begin.reshape(2, -1), move.reshape(STATES, -1)  # views: added in place
+def _transfers(model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each sequence the matrix that takes the odds of the states at its first token, before that is seen, to those
+    at its last token; scaled by one number a sequence."""
+    out = np.zeros((len(sizes), STATES, STATES))
     for own in _groups(sizes):
         seen, live = _padded(classes, starts[own], sizes[own])
+        logs = np.zeros((len(own), STATES))
+        state = np.broadcast_to(np.eye(STATES), (len(own), STATES, STATES))
+        for t, n in enumerate(live):
+            state = (state[:n] if t == 0 else state[:n] @ model.move) * model.emit[seen[t, :n], None, :]
+            scale = state.sum(axis=2)
+            state = state / scale[:, :, None]
+            logs[:n] += np.log(scale)
+            done = live[t + 1] if t + 1 < len(live) else 0
+            out[own[done:n]] = state[done:]
+        out[own] *= np.exp(logs - logs.max(axis=1, keepdims=True))[:, :, None]
+    return out
+
+
+def _joined(model: Model, steps: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the parts of texts, in order, with their transfer matrices: the odds of the states at the last token of the
+    part before (of a text's ``first`` part: zero), and of what follows, given the state at its last token."""
+    before, later = np.zeros((len(steps), STATES)), np.ones((len(steps), STATES))
+    for i in range(1, len(steps)):
+        if not first[i]:
+            odds = (model.start if first[i - 1] else before[i - 1] @ model.move) @ steps[i - 1]
+            before[i] = odds / odds.sum()
+    for i in range(len(steps) - 2, -1, -1):
+        if not first[i + 1]:
+            odds = model.move @ (steps[i + 1] @ later[i + 1])
+            later[i] = odds / odds.sum()
+    return before, later
+
+
+def add_counts(counts: np.ndarray, model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+    """Add the expected counts of the sequences to ``counts``.
+
+    A sequence of more than ``SEGMENT`` tokens is worked on in parts side by side. Each part's transfer matrix, multiplied
+    along the text, gives the exact forward and backward odds where parts meet, so the counts are those of the
+    whole sequence and memory is bounded by the parts.
+    """
+    begin, move, emit = np.split(counts, [STATES, STATES + STATES * STATES])
+    move = move.reshape(STATES, -1)  # a view: added in place
+    parts = -(-sizes // SEGMENT)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    starts = np.repeat(starts, parts) + nth * SEGMENT
+    sizes, long = np.minimum(np.repeat(sizes, parts) - nth * SEGMENT, SEGMENT), np.repeat(parts > 1, parts)
+    before, later = np.zeros((len(sizes), STATES)), np.ones((len(sizes), STATES))
+    before[long], later[long] = _joined(model, _transfers(model, classes, starts[long], sizes[long]), nth[long] == 0)
+    for own in _groups(sizes):
+        seen, live = _padded(classes, starts[own], sizes[own])
+        goes_on = nth[own] > 0
         forward, scales, emitted = [], [], []
         for t, n in enumerate(live):
             odds = model.emit[seen[t, :n]]
-            state = (model.start[kind[own]] if t == 0 else forward[-1][:n] @ model.move) * odds
+            if t == 0:
+                state = np.where(goes_on[:, None], before[own] @ model.move, model.start) * odds
+            else:
+                state = forward[-1][:n] @ model.move * odds
             scale = state.sum(axis=1, keepdims=True)
             forward.append(state / scale)
             scales.append(scale)
@@ -183,18 +230,20 @@ def add_counts(
         after = np.ones((0, STATES))
         tokens, weights = [], []
         for t in range(len(live) - 1, -1, -1):
-            n, later = live[t], len(after)
-            back = np.ones((n, STATES))
-            if later:
+            n, more = live[t], len(after)
+            back = later[own[:n]]
+            back = back / (forward[t] * back).sum(axis=1, keepdims=True)
+            if more:
                 pull = after * emitted[t + 1] / scales[t + 1]
-                move += model.move * (forward[t][:later].T @ pull)
-                back[:later] = pull @ model.move.T
+                move += model.move * (forward[t][:more].T @ pull)
+                back[:more] = pull @ model.move.T
             share = forward[t] * back
             tokens.append(seen[t, :n])
             weights.append(share)
             after = back
-        for k in (0, 1):
-            begin[k] += weights[-1][kind[own] == k].sum(axis=0)
+        begin += weights[-1][~goes_on].sum(axis=0)
+        pull = (after * emitted[0] / scales[0])[goes_on]
+        move += model.move * (before[own][goes_on].T @ pull)
         token, weight = np.concatenate(tokens), np.concatenate(weights)
         for s in range(STATES):
             emit[s::STATES] += np.bincount(token, weights=weight[:, s], minlength=CLASSES)
@@ -223,12 +272,7 @@ def train(blocks: DataFrame, class_totals: np.ndarray, rounds: int = ROUNDS) ->
                     flat, starts, sizes = _read(batch, i)
                     classes = batch.column("classes")[i].values.to_numpy()[flat]
                     learn = ~batch.column("held_out")[i].values.to_numpy(zero_copy_only=False).astype(bool)
-                    starts, sizes = starts[learn], sizes[learn]
-                    pieces = -(-sizes // SEGMENT)
-                    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                    begin = np.repeat(starts, pieces) + nth * SEGMENT
-                    own = np.minimum(np.repeat(sizes, pieces) - nth * SEGMENT, SEGMENT)
-                    add_counts(counts, shared.value, classes, begin, own, (nth > 0).astype(np.int64))
+                    add_counts(counts, shared.value, classes, starts[learn], sizes[learn])
             cells = np.flatnonzero(counts).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], schema=names)
 

@@ -300,14 +300,14 @@ def test_forward_is_the_sum_over_all_paths(monkeypatch):
     monkeypatch.setattr(hmm, "CLASSES", 5)
     monkeypatch.setattr(hmm, "STATES", 2)
     draw = np.random.default_rng(1)
-    model = hmm.Model(*(x / x.sum(axis=a, keepdims=True) for x, a in ((draw.random((2, 2)), 1), (draw.random((2, 2)), 1), (draw.random((5, 2)), 0))))
+    model = hmm.Model(*(x / x.sum(axis=a, keepdims=True) for x, a in ((draw.random(2), 0), (draw.random((2, 2)), 1), (draw.random((5, 2)), 0))))
     flat, sizes = np.array([0, 3, 4, 1, 2, 2, 0]), np.array([4, 1, 2])
     starts = np.cumsum(sizes) - sizes
     want = []
     for s, n in zip(starts, sizes):
         total = 0.0
         for path in np.ndindex(*(2,) * n):
-            p = model.start[0][path[0]] * model.emit[flat[s], path[0]]
+            p = model.start[path[0]] * model.emit[flat[s], path[0]]
             for t in range(1, n):
                 p *= model.move[path[t - 1], path[t]] * model.emit[flat[s + t], path[t]]
             total += p
@@ -325,11 +325,52 @@ def test_rounds_raise_the_likelihood_and_counts_add_up():
         likely = hmm.log_likelihoods(model, flat, starts, sizes).sum()
         assert likely > last - 1e-6
         last, counts = likely, np.zeros(hmm.N_CELLS)
-        hmm.add_counts(counts, model, flat, starts, sizes, np.zeros(len(sizes), dtype=np.int64))
+        hmm.add_counts(counts, model, flat, starts, sizes)
         assert counts.sum() == pytest.approx(len(sizes) + (sizes - 1).sum() + sizes.sum())
         model = hmm.Model.from_counts(counts)
 
 
+def test_counts_are_those_of_whole_texts_whatever_the_part(monkeypatch):
+    draw = np.random.default_rng(3)
+    sizes = np.array([1, 700, 3, 64, 65, 128, 2, 1, 333])
+    flat = draw.integers(0, hmm.CLASSES, sizes.sum()).astype(np.int32)
+    flat[::2] = draw.integers(0, 9, len(flat[::2]))
+    starts = np.cumsum(sizes) - sizes
+    model = hmm.Model.initial(np.bincount(flat, minlength=hmm.CLASSES))
+    model.start[:] = [0.5, 0.2, 0.1, 0.1, 0.05, 0.05]
+    found = []
+    for part in (10_000, 64, 7, 1):
+        monkeypatch.setattr(hmm, "SEGMENT", part)
+        found.append(np.zeros(hmm.N_CELLS))
+        hmm.add_counts(found[-1], model, flat, starts, sizes)
+    for other in found[1:]:
+        np.testing.assert_allclose(other, found[0], rtol=1e-8, atol=1e-10)
+    hmm.add_counts(found[0], model, flat, starts[:0], sizes[:0])
+
+
+def test_counts_are_the_expectations_over_all_paths(monkeypatch):
+    monkeypatch.setattr(hmm, "CLASSES", 5)
+    monkeypatch.setattr(hmm, "STATES", 2)
+    monkeypatch.setattr(hmm, "SEGMENT", 3)
+    draw = np.random.default_rng(4)
+    model = hmm.Model(*(x / x.sum(axis=a, keepdims=True) for x, a in ((draw.random(2), 0), (draw.random((2, 2)), 1), (draw.random((5, 2)), 0))))
+    flat = np.array([0, 3, 4, 1, 2, 2, 0, 4])
+    want, total = np.zeros(2 + 4 + 10), 0.0
+    for path in np.ndindex(*(2,) * len(flat)):
+        own = np.zeros(len(want))
+        own[path[0]] += 1
+        p = model.start[path[0]]
+        for t, s in enumerate(path):
+            p *= model.emit[flat[t], s] * (model.move[path[t - 1], s] if t else 1)
+            own[6 + 2 * flat[t] + s] += 1
+            if t:
+                own[2 + 2 * path[t - 1] + s] += 1
+        want, total = want + p * own, total + p
+    got = np.zeros(len(want))
+    hmm.add_counts(got, model, flat, np.array([0]), np.array([len(flat)]))
+    assert got == pytest.approx(want / total)
+
+
 def test_scores_of_texts(spark, monkeypatch):
     monkeypatch.setattr(hmm, "BLOCK_CHARS", 200)
     draw = random.Random(8)
