@@ -32,8 +32,11 @@ ROUNDS = 5
 # Characters of the texts that are stored as one block, and tokens (with padding) worked on at once.
 BLOCK_CHARS = 4_000_000
 CELLS = 400_000
-# Tokens of a long training text that are worked on at once; the parts are joined exactly.
-SEGMENT = 1024
+# Tokens of a long text that are worked on at once; the parts are joined exactly.
+SEGMENT = 512
+# Tokens between two scalings of the odds: a step leaves 1e-27 of them at least (an unseen move times an unseen class
+# in ``Model.from_counts`` over 1e12 tokens), so these many steps stay far above the smallest double.
+RESCALE = 8
 END = b""  # the token after the last word
 
 BLOCKS = (
@@ -148,105 +151,170 @@ def _padded(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np
     return np.ascontiguousarray(out.T), np.searchsorted(-sizes, -np.arange(out.shape[1]), side="left")
 
 
-def log_likelihoods(model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Natural logarithm of the probability of each sequence of classes, by the scaled forward recursion."""
-    out = np.zeros(len(sizes))
+def _parts(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and sizes of the parts of the sequences, of ``SEGMENT`` tokens but for the last; which part each is (from
+    0), and of which sequence."""
+    parts = -(-sizes // SEGMENT)
+    of = np.repeat(np.arange(len(sizes)), parts)
+    nth = np.arange(len(of)) - (np.cumsum(parts) - parts)[of]
+    return starts[of] + nth * SEGMENT, np.minimum(sizes[of] - nth * SEGMENT, SEGMENT), nth, of
+
+
+def _ends(
+    model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, odds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Natural logarithm of the probability of each sequence of classes, and the odds of the states at its last token,
+    by the scaled forward recursion; ``odds`` are those at its first token, before that is seen."""
+    logs, last = np.zeros(len(sizes)), np.zeros((len(sizes), STATES))
+    emit, move = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
     for own in _groups(sizes):
         seen, live = _padded(classes, starts[own], sizes[own])
         total = np.zeros(len(own))
-        state = np.broadcast_to(model.start, (len(own), STATES))
         for t, n in enumerate(live):
-            state = (state[:n] if t == 0 else state[:n] @ model.move) * model.emit[seen[t, :n]]
-            scale = state.sum(axis=1)
-            state = state / scale[:, None]
-            total[:n] += np.log(scale)
-        out[own] = total
-    return out
-
-
-def _transfers(model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For each sequence the matrix that takes the odds of the states at its first token, before that is seen, to those
-    at its last token; scaled by one number a sequence."""
-    out = np.zeros((len(sizes), STATES, STATES))
+            state = emit.take(seen[t, :n], axis=1) * (move @ state[:, :n] if t else odds[own].T)
+            done = live[t + 1] if t + 1 < len(live) else 0
+            at = done if t % RESCALE else 0
+            if at < n:
+                scale = state[:, at:].sum(axis=0)
+                state[:, at:] /= scale
+                total[at:n] += np.log(scale)
+            if done < n:
+                last[own[done:n]] = state[:, done:].T
+        logs[own] = total
+    return logs, last
+
+
+def _transfers(model: Model, classes: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each sequence, all of one ``size``, the matrix that takes the odds of the states at its first token, before
+    that is seen, to those at its last token; scaled by one number a sequence, whose natural logarithm comes second."""
+    out, logs = np.zeros((len(starts), STATES, STATES)), np.zeros(len(starts))
+    emit, move = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+    for own in _groups(np.full(len(starts), size * STATES)):
+        # State at the token, state at the first token, sequence.
+        state = np.repeat(np.eye(STATES)[:, :, None], len(own), axis=2)
+        for t in range(size):
+            if t:
+                state = (move @ state.reshape(STATES, -1)).reshape(state.shape)
+            state *= emit.take(classes[starts[own] + t], axis=1)[:, None, :]
+            if t % RESCALE == 0:
+                scale = state.sum(axis=(0, 1))
+                state /= scale
+                logs[own] += np.log(scale)
+        out[own] = state.transpose(2, 1, 0)
+    return out, logs
+
+
+def _followed(model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each sequence the odds of all of it, given the state at the token before."""
+    out = np.zeros((len(sizes), STATES))
+    emit = np.ascontiguousarray(model.emit.T)
     for own in _groups(sizes):
         seen, live = _padded(classes, starts[own], sizes[own])
-        logs = np.zeros((len(own), STATES))
-        state = np.broadcast_to(np.eye(STATES), (len(own), STATES, STATES))
-        for t, n in enumerate(live):
-            state = (state[:n] if t == 0 else state[:n] @ model.move) * model.emit[seen[t, :n], None, :]
-            scale = state.sum(axis=2)
-            state = state / scale[:, :, None]
-            logs[:n] += np.log(scale)
-            done = live[t + 1] if t + 1 < len(live) else 0
-            out[own[done:n]] = state[done:]
-        out[own] *= np.exp(logs - logs.max(axis=1, keepdims=True))[:, :, None]
+        state = np.ones((STATES, len(own)))
+        for t in range(len(live) - 1, -1, -1):
+            n = live[t]
+            pull = model.move @ (emit.take(seen[t, :n], axis=1) * state[:, :n])
+            state[:, :n] = pull if t % RESCALE else pull / pull.sum(axis=0)
+        out[own] = state.T
     return out
 
 
-def _joined(model: Model, steps: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the parts of texts, in order, with their transfer matrices: the odds of the states at the last token of the
-    part before (of a text's ``first`` part: zero), and of what follows, given the state at its last token."""
-    before, later = np.zeros((len(steps), STATES)), np.ones((len(steps), STATES))
-    for i in range(1, len(steps)):
-        if not first[i]:
-            odds = (model.start if first[i - 1] else before[i - 1] @ model.move) @ steps[i - 1]
-            before[i] = odds / odds.sum()
-    for i in range(len(steps) - 2, -1, -1):
-        if not first[i + 1]:
-            odds = model.move @ (steps[i + 1] @ later[i + 1])
-            later[i] = odds / odds.sum()
-    return before, later
+def _before(
+    model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the parts of texts of several, in order: the odds of the states at the last token of the part before (of a
+    text's ``first`` part: zero), the natural logarithm of the probability of the part after what is before it (of a
+    text's last part: zero), the numbers of the parts that are neither first nor last, and their transfer matrices.
+
+    What a first part leads to is a vector; only the parts between need matrices.
+    """
+    before, logs, last = np.zeros((len(sizes), STATES)), np.zeros(len(sizes)), np.append(first[1:], True)
+    between = np.flatnonzero(~first & ~last)
+    steps, scales = _transfers(model, classes, starts[between], SEGMENT)
+    start = np.broadcast_to(model.start, (first.sum(), STATES))
+    logs[first], before[1:][first[:-1]] = _ends(model, classes, starts[first], sizes[first], start)
+    for i, step, scale in zip(between, steps, scales):
+        odds = before[i] @ model.move @ step
+        logs[i] = np.log(odds.sum()) + scale
+        before[i + 1] = odds / odds.sum()
+    return before, logs, between, steps
+
+
+def _later(
+    model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray,
+    between: np.ndarray, steps: np.ndarray,
+) -> np.ndarray:
+    """For the same parts the odds of what follows, given the state at the last token (of a text's last part: one)."""
+    later, last = np.ones((len(sizes), STATES)), np.append(first[1:], True)
+    later[:-1][last[1:]] = _followed(model, classes, starts[last], sizes[last])
+    for i, step in zip(between[::-1], steps[::-1]):
+        odds = model.move @ (step @ later[i])
+        later[i - 1] = odds / odds.sum()
+    return later
+
+
+def log_likelihoods(model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each sequence of classes; long ones are worked on in parts, as in
+    ``add_counts``."""
+    starts, sizes, nth, of = _parts(starts, sizes)
+    last = np.append(nth[1:] == 0, True)[: len(nth)]
+    before, logs, long = np.zeros((len(sizes), STATES)), np.zeros(len(sizes)), (nth > 0) | ~last
+    if long.any():
+        before[long], logs[long], *_ = _before(model, classes, starts[long], sizes[long], nth[long] == 0)
+    odds = np.where(nth[last, None] > 0, before[last] @ model.move, model.start)
+    logs[last] = _ends(model, classes, starts[last], sizes[last], odds)[0]
+    return np.bincount(of, weights=logs)
 
 
 def add_counts(counts: np.ndarray, model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
     """Add the expected counts of the sequences to ``counts``.
 
-    A sequence of more than ``SEGMENT`` tokens is worked on in parts side by side. Each part's transfer matrix, multiplied
-    along the text, gives the exact forward and backward odds where parts meet, so the counts are those of the
-    whole sequence and memory is bounded by the parts.
+    A sequence of more than ``SEGMENT`` tokens is worked on in parts side by side. ``_before`` and ``_later`` give the exact
+    forward and backward odds where parts meet, so the counts are those of the whole sequence and memory is
+    bounded by the parts.
     """
-    begin, move, emit = np.split(counts, [STATES, STATES + STATES * STATES])
-    move = move.reshape(STATES, -1)  # a view: added in place
-    parts = -(-sizes // SEGMENT)
-    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    starts = np.repeat(starts, parts) + nth * SEGMENT
-    sizes, long = np.minimum(np.repeat(sizes, parts) - nth * SEGMENT, SEGMENT), np.repeat(parts > 1, parts)
-    before, later = np.zeros((len(sizes), STATES)), np.ones((len(sizes), STATES))
-    before[long], later[long] = _joined(model, _transfers(model, classes, starts[long], sizes[long]), nth[long] == 0)
+    begin, moved, emitted = np.split(counts, [STATES, STATES + STATES * STATES])
+    moved = moved.reshape(STATES, -1)  # a view: added in place
+    emit, move = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+    long = sizes > SEGMENT
+    starts, sizes, nth, of = _parts(starts, sizes)
+    before, later, long = np.zeros((len(sizes), STATES)), np.ones((len(sizes), STATES)), long[of]
+    if long.any():
+        part = (model, classes, starts[long], sizes[long], nth[long] == 0)
+        before[long], _, between, steps = _before(*part)
+        later[long] = _later(*part, between, steps)
     for own in _groups(sizes):
         seen, live = _padded(classes, starts[own], sizes[own])
-        goes_on = nth[own] > 0
-        forward, scales, emitted = [], [], []
+        goes_on, ends = nth[own] > 0, np.ascontiguousarray(later[own].T)
+        odds, forward = [], []  # state by sequence; the odds of the tokens are divided by the scale of the forward odds
         for t, n in enumerate(live):
-            odds = model.emit[seen[t, :n]]
-            if t == 0:
-                state = np.where(goes_on[:, None], before[own] @ model.move, model.start) * odds
-            else:
-                state = forward[-1][:n] @ model.move * odds
-            scale = state.sum(axis=1, keepdims=True)
-            forward.append(state / scale)
-            scales.append(scale)
-            emitted.append(odds)
-        after = np.ones((0, STATES))
-        tokens, weights = [], []
+            own_odds = emit.take(seen[t, :n], axis=1)
+            state = move @ forward[-1][:, :n] if t else np.where(goes_on, move @ before[own].T, model.start[:, None])
+            state *= own_odds
+            if t % RESCALE == 0:
+                scale = 1 / state.sum(axis=0)
+                state *= scale
+                own_odds *= scale
+            forward.append(state)
+            odds.append(own_odds)
+        after, pairs = np.ones((STATES, 0)), np.zeros((STATES, STATES))
         for t in range(len(live) - 1, -1, -1):
-            n, more = live[t], len(after)
-            back = later[own[:n]]
-            back = back / (forward[t] * back).sum(axis=1, keepdims=True)
+            n, more = live[t], after.shape[1]
+            state, back = forward[t], np.empty((STATES, n))
             if more:
-                pull = after * emitted[t + 1] / scales[t + 1]
-                move += model.move * (forward[t][:more].T @ pull)
-                back[:more] = pull @ model.move.T
-            share = forward[t] * back
-            tokens.append(seen[t, :n])
-            weights.append(share)
+                pull = after * odds[t + 1]
+                pairs += state[:, :more] @ pull.T
+                np.matmul(model.move, pull, out=back[:, :more])
+            if more < n:
+                back[:, more:] = ends[:, more:n] / (state[:, more:] * ends[:, more:n]).sum(axis=0)
+            state *= back  # the shares of the states from here on
             after = back
-        begin += weights[-1][~goes_on].sum(axis=0)
-        pull = (after * emitted[0] / scales[0])[goes_on]
-        move += model.move * (before[own][goes_on].T @ pull)
-        token, weight = np.concatenate(tokens), np.concatenate(weights)
+        begin += forward[0][:, ~goes_on].sum(axis=1)
+        pairs += before[own][goes_on].T @ (after * odds[0])[:, goes_on].T
+        moved += model.move * pairs
+        token, weight = np.concatenate([seen[t, :n] for t, n in enumerate(live)]), np.concatenate(forward, axis=1)
         for s in range(STATES):
-            emit[s::STATES] += np.bincount(token, weights=weight[:, s], minlength=CLASSES)
+            emitted[s::STATES] += np.bincount(token, weights=weight[s], minlength=CLASSES)
 
 
 def _read(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

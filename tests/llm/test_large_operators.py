@@ -371,6 +371,52 @@ def test_counts_are_the_expectations_over_all_paths(monkeypatch):
     assert got == pytest.approx(want / total)
 
 
+def test_long_texts_are_scored_in_parts_and_only_parts_between_need_matrices(monkeypatch):
+    draw = np.random.default_rng(5)
+    sizes = np.array([1, 9, 20, 10, 47, 11, 30, 3, 21])
+    flat = draw.integers(0, 50, sizes.sum()).astype(np.int32)
+    starts = np.cumsum(sizes) - sizes
+    model = hmm.Model.initial(np.bincount(flat, minlength=hmm.CLASSES))
+    want = []
+    for s, n in zip(starts, sizes):
+        state, total = model.start, 0.0
+        for t in range(n):
+            state = (state @ model.move if t else state) * model.emit[flat[s + t]]
+            total, state = total + math.log(state.sum()), state / state.sum()
+        want.append(total)
+    steps, parts, padded, transfers = [], [], hmm._padded, hmm._transfers
+    monkeypatch.setattr(hmm, "SEGMENT", 10)
+    monkeypatch.setattr(hmm, "_padded", lambda c, s, n: steps.append(int(n[0])) or padded(c, s, n))
+    monkeypatch.setattr(hmm, "_transfers", lambda m, c, s, n: parts.append(len(s)) or transfers(m, c, s, n))
+    assert hmm.log_likelihoods(model, flat, starts, sizes) == pytest.approx(want, rel=1e-10)
+    hmm.add_counts(np.zeros(hmm.N_CELLS), model, flat, starts, sizes)
+    assert max(steps) <= 10
+    assert parts == [sum(max(0, -(-n // 10) - 2) for n in sizes)] * 2
+    assert hmm.log_likelihoods(model, flat, starts[:0], sizes[:0]).shape == (0,)
+
+
+def test_odds_of_a_very_large_corpus_do_not_vanish_between_scalings(monkeypatch):
+    draw = np.random.default_rng(6)
+    sizes = np.array([1, 2, 7, 8, 9, 40, 200])
+    flat = draw.integers(0, hmm.STATES, sizes.sum()).astype(np.int32)
+    starts = np.cumsum(sizes) - sizes
+    move = np.full((hmm.STATES, hmm.STATES), 1e-13) + np.eye(hmm.STATES)
+    emit = np.full((hmm.CLASSES, hmm.STATES), 1e-14)
+    emit[: hmm.STATES] += np.eye(hmm.STATES)  # each state has a word of its own, and never moves
+    model = hmm.Model(np.full(hmm.STATES, 1 / hmm.STATES), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    found = []
+    for rescale, part in ((1, 10_000), (hmm.RESCALE, 10_000), (hmm.RESCALE, 16)):
+        monkeypatch.setattr(hmm, "RESCALE", rescale)
+        monkeypatch.setattr(hmm, "SEGMENT", part)
+        counts = np.zeros(hmm.N_CELLS)
+        hmm.add_counts(counts, model, flat, starts, sizes)
+        found.append((hmm.log_likelihoods(model, flat, starts, sizes), counts))
+    assert np.isfinite(found[0][0]).all() and found[0][1].sum() == pytest.approx(len(sizes) + (sizes - 1).sum() + sizes.sum())
+    for likely, counts in found[1:]:
+        np.testing.assert_allclose(likely, found[0][0], rtol=1e-10)
+        np.testing.assert_allclose(counts, found[0][1], rtol=1e-8, atol=1e-10)
+
+
 def test_scores_of_texts(spark, monkeypatch):
     monkeypatch.setattr(hmm, "BLOCK_CHARS", 200)
     draw = random.Random(8)
